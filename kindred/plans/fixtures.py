@@ -33,3 +33,27 @@ def fx_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("kind"),
                     ascii_alnum_lower(F.col("p_name")).alias("value"),
                     (F.col("p_partkey") % 5).cast("int").alias("check_admin"))
+
+
+def fx_reviewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviewed report rows with gaps, built from ``events``: ``pos`` is the file
+    order, ``id``/``kind``/``value``/``check_admin`` are present only on some
+    rows (empty text and zeros included) and ``sim_id`` ("similar to id") links
+    the row to another user id."""
+    e = read_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    return e.select(
+        eid.alias("pos"),
+        F.when(eid % 3 == 1, F.col("user_id")).alias("id"),
+        F.when(eid % 4 == 0, F.col("value").cast("string")).when(eid % 4 == 1, F.lit("")).alias("value"),
+        F.when(eid % 3 == 0, F.col("event_type")).alias("kind"),
+        F.when(eid % 2 == 0, (eid % 5).cast("int")).alias("check_admin"),
+        F.when(eid % 3 == 2, F.col("user_id")).alias("sim_id"))
+
+
+def fx_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges ``c -> c + 1`` over all customers, kind = block of 100 keys: one
+    chain of 101 ids per kind (many star rounds)."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.floor((F.col("c_custkey") - 1) / 100).cast("long").alias("kind"),
+                    F.col("c_custkey").alias("src"), (F.col("c_custkey") + 1).alias("dst"))

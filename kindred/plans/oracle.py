@@ -52,3 +52,47 @@ def band_any(x: str, bits: int, bands: int) -> str:
 def score_expr(a: str, b: str) -> str:
     m = f"greatest(length({a}), length({b}))"
     return (f"(CASE WHEN {m} = 0 THEN 100.0 ELSE round_even(({m} - levenshtein({a}, {b}))::DOUBLE / {m} * 100, 2) END)")
+
+
+REVIEWED_CTE = """rv AS (
+  SELECT event_id AS pos,
+         CASE WHEN event_id % 3 = 1 THEN user_id END AS id,
+         CASE WHEN event_id % 4 = 0 THEN CAST(value AS VARCHAR) WHEN event_id % 4 = 1 THEN '' END AS value,
+         CASE WHEN event_id % 3 = 0 THEN event_type END AS kind,
+         CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 5 AS INTEGER) END AS check_admin,
+         CASE WHEN event_id % 3 = 2 THEN user_id END AS sim_id
+  FROM events),
+fl0 AS (
+  SELECT *,
+    last_value(CASE WHEN id IS NOT NULL AND id <> 0 THEN id END IGNORE NULLS) OVER w AS l_id,
+    last_value(CASE WHEN value IS NOT NULL AND value <> '' THEN value END IGNORE NULLS) OVER w AS l_value,
+    last_value(CASE WHEN kind IS NOT NULL AND kind <> '' THEN kind END IGNORE NULLS) OVER w AS l_kind,
+    last_value(CASE WHEN check_admin IS NOT NULL AND check_admin <> 0 THEN check_admin END IGNORE NULLS) OVER w AS l_ca
+  FROM rv WINDOW w AS (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+filled AS (
+  SELECT pos,
+    CASE WHEN (id IS NULL OR id = 0) AND l_id IS NOT NULL THEN l_id ELSE id END AS id,
+    CASE WHEN (value IS NULL OR value = '') AND l_value IS NOT NULL THEN l_value ELSE value END AS value,
+    CASE WHEN (kind IS NULL OR kind = '') AND l_kind IS NOT NULL THEN l_kind ELSE kind END AS kind,
+    CASE WHEN (check_admin IS NULL OR check_admin = 0) AND l_ca IS NOT NULL THEN l_ca ELSE check_admin END AS check_admin,
+    sim_id,
+    (id IS NULL OR id = 0) AND l_id IS NOT NULL AS filled_id,
+    (value IS NULL OR value = '') AND l_value IS NOT NULL AS filled_value,
+    (kind IS NULL OR kind = '') AND l_kind IS NOT NULL AS filled_kind,
+    (check_admin IS NULL OR check_admin = 0) AND l_ca IS NOT NULL AS filled_check_admin
+  FROM fl0)"""
+
+
+def components_ctes(edges: str) -> str:
+    """``comp(kind, id, component)`` from ``edges(kind, src, dst)`` by recursive reachability."""
+    return f"""e0 AS (
+  SELECT DISTINCT kind, CAST(src AS BIGINT) AS a, CAST(dst AS BIGINT) AS b FROM {edges}
+  WHERE kind IS NOT NULL AND coalesce(src, 0) <> 0 AND coalesce(dst, 0) <> 0 AND src <> dst),
+e AS (SELECT kind, a, b FROM e0 UNION SELECT kind, b, a FROM e0),
+reach AS (
+  WITH RECURSIVE r(kind, node, lbl) AS (
+    SELECT kind, a, a FROM e
+    UNION
+    SELECT r.kind, e.b, r.lbl FROM r JOIN e ON r.kind = e.kind AND r.node = e.a)
+  SELECT kind, node, min(lbl) AS lbl FROM r GROUP BY kind, node),
+comp AS (SELECT kind, node AS id, lbl AS component FROM reach)"""

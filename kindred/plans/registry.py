@@ -77,6 +77,97 @@ def q_j3(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates_exact(fx.fx_docs(spark, d), T_DOCS)
 
 
+# ---------------------------------------------------------------------------
+# Related-ID pipeline
+# ---------------------------------------------------------------------------
+
+def _filled(spark, d):
+    from kindred.plans.related import fill_reviewed
+    return fill_reviewed(fx.fx_reviewed(spark, d))
+
+
+@register("W1", f"""WITH {O.REVIEWED_CTE}
+SELECT pos, id, value, kind, check_admin, sim_id FROM filled""")
+def q_w1(spark, d):
+    return _filled(spark, d).select("pos", "id", "value", "kind", "check_admin", "sim_id")
+
+
+@register("A6", f"""WITH {O.REVIEWED_CTE}
+SELECT sum(CAST(filled_id AS BIGINT)) AS filled_id, sum(CAST(filled_value AS BIGINT)) AS filled_value,
+       sum(CAST(filled_kind AS BIGINT)) AS filled_kind, sum(CAST(filled_check_admin AS BIGINT)) AS filled_check_admin
+FROM filled""")
+def q_a6(spark, d):
+    from kindred.plans.related import filled_counts
+    return filled_counts(_filled(spark, d))
+
+
+CHAINS_SQL = """chains AS (SELECT CAST(floor((c_custkey - 1) / 100) AS BIGINT) AS kind, c_custkey AS src,
+                          c_custkey + 1 AS dst FROM customer)"""
+
+
+@register("G1", f"""WITH {CHAINS_SQL}, {O.components_ctes('chains')}
+SELECT kind, id, component FROM comp""")
+def q_g1(spark, d):
+    from kindred.operators.graph import connected_components
+    return connected_components(fx.fx_chains(spark, d))
+
+
+@register("G2", f"""WITH {CHAINS_SQL}, {O.components_ctes('chains')},
+st AS (SELECT kind, component, max(id) AS mx, count(DISTINCT id) AS n FROM comp GROUP BY kind, component)
+SELECT c.kind, c.component, c.id FROM comp c JOIN st USING (kind, component) WHERE c.id <> st.mx OR st.n = 1""")
+def q_g2(spark, d):
+    from kindred.operators.graph import connected_components, drop_largest
+    return drop_largest(connected_components(fx.fx_chains(spark, d))).select("kind", "component", "id")
+
+
+REVIEWED_COMP = f"""{O.REVIEWED_CTE},
+redges AS (SELECT kind, id AS src, sim_id AS dst FROM filled),
+{O.components_ctes('redges')}"""
+
+
+@register("G3", f"""WITH {REVIEWED_COMP},
+st AS (SELECT kind, component, max(id) AS mx, count(DISTINCT id) AS n FROM comp GROUP BY kind, component),
+kept AS (SELECT c.kind, c.component, c.id FROM comp c JOIN st USING (kind, component) WHERE c.id <> st.mx OR st.n = 1)
+SELECT kind, component, id FROM kept WHERE id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def q_g3(spark, d):
+    from kindred.plans.related import related_pipeline
+    from kindred.session import read_table
+    ex = read_table(spark, d, "labels").filter("toxic = 1").select("doc_id")
+    return related_pipeline(fx.fx_reviewed(spark, d), ex).select("kind", "component", "id")
+
+
+@register("A4", f"""WITH {REVIEWED_COMP},
+per AS (SELECT kind, count(DISTINCT component) AS g, count(*) AS n FROM comp GROUP BY kind),
+kinds AS (SELECT DISTINCT kind FROM filled WHERE kind IS NOT NULL),
+full_ AS (SELECT k.kind, coalesce(p.g, 0) AS g, coalesce(p.n, 0) AS n FROM kinds k LEFT JOIN per p USING (kind))
+SELECT kind, CAST(sum(g) AS BIGINT) AS related_groups, CAST(sum(n) AS BIGINT) AS total_related_ids,
+       CAST(count(*) AS BIGINT) AS kinds
+FROM full_ GROUP BY ROLLUP (kind)""")
+def q_a4(spark, d):
+    from kindred.plans.related import group_summary, related_groups
+    filled = _filled(spark, d)
+    return group_summary(filled, related_groups(filled))
+
+
+@register("A5", f"""WITH {REVIEWED_COMP},
+per AS (SELECT kind, count(DISTINCT component) AS related_groups FROM comp GROUP BY kind),
+first_ AS (SELECT kind, min(pos) AS first_pos FROM filled WHERE kind IS NOT NULL GROUP BY kind)
+SELECT kind, related_groups FROM per JOIN first_ USING (kind) WHERE related_groups > 0
+ORDER BY related_groups DESC, first_pos LIMIT 5""")
+def q_a5(spark, d):
+    from kindred.plans.related import related_groups, top_kinds
+    filled = _filled(spark, d)
+    return top_kinds(filled, related_groups(filled))
+
+
+@register("P16", """SELECT doc_id AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def q_p16(spark, d):
+    from kindred.plans.related import exclude_ids
+    from kindred.session import read_table
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("id"))
+    return exclude_ids(docs, read_table(spark, d, "labels").filter("toxic = 1").select("doc_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -57,3 +57,27 @@ def fx_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select(F.floor((F.col("c_custkey") - 1) / 100).cast("long").alias("kind"),
                     F.col("c_custkey").alias("src"), (F.col("c_custkey") + 1).alias("dst"))
+
+
+def fx_blueprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exam blueprint rows from ``part``: level, section, kind, score, counts."""
+    p = read_table(spark, sf_dir, "part")
+    return p.select(((F.col("p_size") % 7) + 1).cast("int").alias("level"), F.col("p_type").alias("section"),
+                    F.col("p_brand").alias("kind"), F.col("p_retailprice").alias("score"),
+                    F.lit(1).cast("long").alias("count_question"),
+                    F.array(F.lit(1).cast("long")).alias("sub_count_question"))
+
+
+def fx_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Review-workbook sheets from five tables; every 7th value is blank."""
+    def blank(df: DataFrame, pos: str) -> DataFrame:
+        # the row position survives in ``_pos``; every column value is blanked
+        return df.select(*[F.when(F.col(pos) % 7 == 0, F.lit(None)).otherwise(F.col(c)).alias(c)
+                           for c in df.columns], F.col(pos).alias("_pos"))
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    reg = read_table(spark, sf_dir, "region")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    return {"events": ev, "documents": docs, "embeddings": emb, "region": reg, "part": part,
+            "_blank": blank}

@@ -77,6 +77,317 @@ def q_j3(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates_exact(fx.fx_docs(spark, d), T_DOCS)
 
 
+def _sig_sql(cte: str) -> str:
+    return f"""WITH {cte},
+t AS (SELECT * FROM docs),
+{O.simhash_ctes('t', BITS)}"""
+
+
+@register("F5", _sig_sql(O.DOCS_CTE) + f"\nSELECT kind, id, CAST(len AS INTEGER) AS len, {O.signed('h')} AS h FROM sig")
+def q_f5(spark, d):
+    from kindred.operators.simjoin import signatures
+    return signatures(fx.fx_docs(spark, d), BITS, materialize=False)
+
+
+@register("F8", _sig_sql(O.DOCS_CTE) + f"""
+SELECT kind, id, CAST(b AS INTEGER) AS band, CAST((h >> (b * {BITS // BANDS})) & {(1 << (BITS // BANDS)) - 1} AS BIGINT) AS key
+FROM sig, (SELECT unnest(range({BANDS})) AS b) bands""")
+def q_f8(spark, d):
+    from kindred.functions.similarity import band_keys
+    from kindred.operators.simjoin import signatures
+    sig = signatures(fx.fx_docs(spark, d), BITS, materialize=False)
+    return sig.select("kind", "id", F.explode(band_keys("h", BITS, BANDS)).alias("b")).select(
+        "kind", "id", F.col("b.band").alias("band"), F.col("b.key").alias("key"))
+
+
+@register("J8", f"""WITH {O.DOCS_CTE},
+t AS (SELECT * FROM docs WHERE length(value) > 0),
+{O.simhash_ctes('t', BITS)},
+c AS (SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id)
+SELECT kind, id, sim_id, CAST(bit_count(x) AS INTEGER) AS hamming, 1.0 - bit_count(x) / {float(BITS)} AS simhash_similarity
+FROM c WHERE bit_count(x) <= {_ham(T_DOCS)} AND {O.band_any('x', BITS, BANDS)}""")
+def q_j8(spark, d):
+    from kindred.functions.similarity import hamming_threshold
+    from kindred.operators.simjoin import _texts, lsh_pairs, signatures
+    sig = signatures(_texts(fx.fx_docs(spark, d), False), BITS)
+    p = lsh_pairs(sig, hamming_threshold(T_DOCS, BITS), BITS, BANDS)
+    h = sig.select("kind", "id", "h")
+    hr = sig.select("kind", F.col("id").alias("sim_id"), F.col("h").alias("h2"))
+    x = p.join(h, ["kind", "id"]).join(hr, ["kind", "sim_id"])
+    from kindred.functions.similarity import hamming, simhash_similarity
+    return x.select("kind", "id", "sim_id", hamming("h", "h2").alias("hamming"),
+                    simhash_similarity("h", "h2", BITS).alias("simhash_similarity"))
+
+
+PREFILTER = 0.7 * T_DOCS   # the reference prefilters at 70 % of the threshold
+
+
+@register("J4", f"""WITH {O.DOCS_CTE}, t AS (SELECT * FROM docs WHERE length(value) > 0)
+SELECT a.kind, a.id, b.id AS sim_id FROM t a JOIN t b ON a.kind = b.kind AND a.id < b.id
+WHERE least(length(a.value), length(b.value)) / greatest(length(a.value), length(b.value)) >= {PREFILTER / 100}""")
+def q_j4(spark, d):
+    from kindred.operators.simjoin import length_ratio_pairs
+    return length_ratio_pairs(fx.fx_docs(spark, d), PREFILTER)
+
+
+@register("J5", f"""WITH {O.DOCS_CTE}, t AS (SELECT * FROM docs WHERE length(value) > 0),
+k AS (SELECT kind, CAST(floor(min(length(value)) * {PREFILTER / 100}) AS INTEGER) AS k FROM t GROUP BY kind),
+p AS (SELECT t.kind, t.id, substr(t.value, 1, k.k) AS pfx FROM t JOIN k USING (kind) WHERE length(t.value) >= k.k)
+SELECT a.kind, a.id, b.id AS sim_id FROM p a JOIN p b ON a.kind = b.kind AND a.pfx = b.pfx AND a.id < b.id""")
+def q_j5(spark, d):
+    from kindred.operators.simjoin import prefix_pairs
+    return prefix_pairs(fx.fx_docs(spark, d), PREFILTER)
+
+
+@register("J6", f"""WITH {O.DOCS_CTE}, t AS (SELECT kind, id, length(value) AS len FROM docs)
+SELECT a.kind, a.id, b.id AS sim_id FROM t a JOIN t b ON a.kind = b.kind
+  AND (a.len < b.len OR (a.len = b.len AND a.id < b.id))
+  AND b.len <= floor(a.len / 0.7) AND b.len >= floor(a.len * 0.7)""")
+def q_j6(spark, d):
+    from kindred.operators.simjoin import length_window_pairs
+    return length_window_pairs(fx.fx_docs(spark, d), 0.7, pos="id")
+
+
+# --- short names from part: exact copies, hot buckets -----------------------
+T_SHORT = 75.0
+
+
+def _short_pairs_sql(where: str) -> str:
+    return _pairs_sql(where, T_SHORT, O.SHORT_CTE)
+
+
+J9S_SQL = _short_pairs_sql(f"bit_count(c.x) <= {_ham(T_SHORT)} AND {O.band_any('c.x', BITS, BANDS)}")
+J3S_SQL = f"""WITH {O.SHORT_CTE},
+t AS (SELECT * FROM docs WHERE length(value) > 0),
+s AS (
+  SELECT l.kind, l.id, r.id AS sim_id, {O.score_expr('l.value', 'r.value')} AS score
+  FROM t l JOIN t r ON l.kind = r.kind AND l.id < r.id)
+SELECT kind, id, sim_id, score FROM s WHERE score >= {T_SHORT}"""
+
+
+@register("J9S", J9S_SQL)
+def q_j9s(spark, d):
+    from kindred.operators.simjoin import near_duplicates_lsh
+    return near_duplicates_lsh(fx.fx_short(spark, d), T_SHORT, BITS, BANDS)
+
+
+@register("J3S", J3S_SQL)
+def q_j3s(spark, d):
+    from kindred.operators.simjoin import near_duplicates_exact
+    return near_duplicates_exact(fx.fx_short(spark, d), T_SHORT)
+
+
+@register("J10", f"""WITH {O.DOCS_CTE},
+t0 AS (SELECT * FROM docs WHERE length(value) > 0),
+sz AS (SELECT kind, count(*) AS n FROM docs GROUP BY kind),
+t AS (SELECT t0.*, sz.n FROM t0 JOIN sz USING (kind)),
+{O.simhash_ctes('t', BITS)},
+c AS (SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
+s AS (
+  SELECT c.kind, c.id, c.sim_id, {O.score_expr('l.value', 'r.value')} AS score
+  FROM c JOIN t l ON l.kind = c.kind AND l.id = c.id JOIN t r ON r.kind = c.kind AND r.id = c.sim_id
+  WHERE bit_count(c.x) <= {_ham(50)} AND (l.n <= 10 OR {O.band_any('c.x', BITS, BANDS)})
+    AND least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(50 - 0.005) / 100})
+SELECT kind, id, sim_id, score FROM s WHERE score >= 50.0""")
+def q_j10(spark, d):
+    from kindred.operators.simjoin import near_duplicates
+    return near_duplicates(fx.fx_docs(spark, d), 50.0, "auto", BITS, BANDS)
+
+
+@register("A7", f"""WITH a AS ({J9S_SQL}), b AS ({J3S_SQL}),
+cnt AS (SELECT (SELECT count(*) FROM a) AS pa, (SELECT count(*) FROM b) AS pb,
+               (SELECT count(*) FROM a JOIN b USING (kind, id, sim_id)) AS common)
+SELECT CAST(pa AS BIGINT) AS pairs_a, CAST(pb AS BIGINT) AS pairs_b, CAST(common AS BIGINT) AS common,
+       CASE WHEN pa = 0 THEN 0.0 ELSE common / pa END AS precision,
+       CASE WHEN pb = 0 THEN 0.0 ELSE common / pb END AS recall,
+       CASE WHEN common = 0 THEN 0.0 ELSE 2.0 * (common / pa) * (common / pb) / ((common / pa) + (common / pb)) END AS f1
+FROM cnt""")
+def q_a7(spark, d):
+    from kindred.operators.report import pair_agreement
+    return pair_agreement(q_j9s(spark, d), q_j3s(spark, d))
+
+
+@register("A8", f"""WITH p AS ({J9S_SQL}),
+m AS (SELECT kind, id FROM p UNION SELECT kind, sim_id FROM p),
+tot AS (SELECT p_brand AS kind, count(*) AS total FROM part GROUP BY p_brand),
+mt AS (SELECT kind, count(DISTINCT id) AS matched FROM m GROUP BY kind)
+SELECT tot.kind, CAST(total AS BIGINT) AS total, CAST(coalesce(matched, 0) AS BIGINT) AS matched,
+       coalesce(matched, 0) / total AS match_rate
+FROM tot LEFT JOIN mt USING (kind)""")
+def q_a8(spark, d):
+    from kindred.operators.report import match_rate
+    return match_rate(fx.fx_short(spark, d), q_j9s(spark, d))
+
+
+@register("A9", f"""WITH {O.SHORT_CTE},
+t AS (SELECT * FROM docs WHERE length(value) > 0),
+{O.simhash_ctes('t', BITS)},
+c AS (SELECT a.kind, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
+cand AS (SELECT kind, count(*) AS candidates FROM c WHERE bit_count(x) <= {_ham(T_SHORT)} AND {O.band_any('x', BITS, BANDS)} GROUP BY kind),
+n AS (SELECT kind, count(*) AS n FROM t GROUP BY kind)
+SELECT n.kind, CAST(n.n AS BIGINT) AS n, CAST(coalesce(candidates, 0) AS BIGINT) AS candidates,
+       CAST(n.n * (n.n - 1) / 2 AS BIGINT) AS all_pairs,
+       CASE WHEN n.n < 2 THEN 0.0 ELSE coalesce(candidates, 0) / (n.n * (n.n - 1) / 2) END AS candidate_ratio
+FROM n LEFT JOIN cand USING (kind)""")
+def q_a9(spark, d):
+    from kindred.functions.similarity import hamming_threshold
+    from kindred.operators.report import candidate_reduction
+    from kindred.operators.simjoin import _texts, lsh_pairs, signatures
+    t = _texts(fx.fx_short(spark, d), False)
+    cands = lsh_pairs(signatures(t, BITS), hamming_threshold(T_SHORT, BITS), BITS, BANDS)
+    return candidate_reduction(t, cands)
+
+
+@register("A2", f"""WITH p0 AS ({J9S_SQL}),
+p AS (SELECT kind, id, sim_id, score FROM p0 UNION ALL SELECT kind, sim_id, id, score FROM p0)
+SELECT kind, id, CAST(count(*) AS BIGINT) AS n_matches, max(score) AS best_score,
+       min(sim_id) FILTER (WHERE score = best) AS best_sim_id
+FROM (SELECT *, max(score) OVER (PARTITION BY kind, id) AS best FROM p) GROUP BY kind, id""")
+def q_a2(spark, d):
+    from kindred.operators.report import match_summary
+    from kindred.operators.simjoin import mirror
+    return match_summary(mirror(q_j9s(spark, d)))
+
+
+@register("P15", f"""WITH {O.SHORT_CTE}, p AS ({J9S_SQL})
+SELECT id, kind, check_admin FROM docs WHERE id IN (SELECT id FROM p UNION SELECT sim_id FROM p)""")
+def q_p15(spark, d):
+    from kindred.operators.simjoin import mirror
+    rows = fx.fx_short(spark, d)
+    m = mirror(q_j9s(spark, d)).select("id").distinct()
+    return rows.join(m, "id", "left_semi").select("id", "kind", "check_admin")
+
+
+@register("P1", """SELECT doc_id AS id, lang || '_' || source AS kind FROM documents
+WHERE lang || '_' || source IN ('en_src1', 'fr_src2', 'de_src3')""")
+def q_p1(spark, d):
+    from kindred.operators.report import kind_filter
+    return kind_filter(fx.fx_docs(spark, d), ["en_src1", "fr_src2", "de_src3"]).select("id", "kind")
+
+
+@register("P17", """WITH w AS (SELECT DISTINCT p_brand AS word FROM part UNION ALL SELECT 'Brand#00'),
+f AS (SELECT p_brand AS word, min(p_partkey) AS pk FROM part GROUP BY p_brand)
+SELECT w.word, f.pk AS p_partkey, p.p_name FROM w LEFT JOIN f USING (word) LEFT JOIN part p ON p.p_partkey = f.pk""")
+def q_p17(spark, d):
+    from kindred.operators.report import lookup_first
+    from kindred.session import read_table
+    part = read_table(spark, d, "part")
+    words = part.select(F.col("p_brand").alias("word")).distinct().unionByName(
+        spark.range(1).select(F.lit("Brand#00").alias("word")))
+    data = part.select(F.col("p_brand").alias("word"), "p_partkey", "p_name")
+    return lookup_first(words, data, "word", "p_partkey")
+
+
+# ---------------------------------------------------------------------------
+# Reports and orderings
+# ---------------------------------------------------------------------------
+
+@register("A3", f"""WITH {O.DOCS_CTE}
+SELECT kind, CAST(count(*) FILTER (WHERE check_admin IN (0, 1, 2, 3, 4)) AS BIGINT) AS total_questions,
+""" + ",\n".join(f"CAST(count(*) FILTER (WHERE check_admin = {c}) AS BIGINT) AS check_admin_{c}" for c in range(5))
+          + "\nFROM docs GROUP BY kind")
+def q_a3(spark, d):
+    from kindred.operators.report import status_counts
+    return status_counts(fx.fx_docs(spark, d))
+
+
+BLUEPRINT_CTE = """bp AS (SELECT CAST(p_size % 7 + 1 AS INTEGER) AS level, p_type AS section, p_brand AS kind,
+                      p_retailprice AS score, CAST(1 AS BIGINT) AS count_question FROM part)"""
+
+
+@register("A10", f"""WITH {BLUEPRINT_CTE}
+SELECT level, section, CAST(sum(count_question) AS BIGINT) AS questions, CAST(sum(count_question) AS BIGINT) AS sub_questions,
+       sum(score) AS score FROM bp GROUP BY level, section""")
+def q_a10(spark, d):
+    from kindred.operators.report import blueprint_totals
+    return blueprint_totals(fx.fx_blueprint(spark, d))
+
+
+@register("A10D", f"""WITH {BLUEPRINT_CTE}, {O.SHORT_CTE},
+dm AS (SELECT kind, CAST(sum(count_question) AS BIGINT) AS demand FROM bp GROUP BY kind),
+st AS (SELECT kind, count(*) FILTER (WHERE check_admin = 1) AS stock FROM docs GROUP BY kind)
+SELECT dm.kind, demand, CAST(coalesce(stock, 0) AS BIGINT) AS stock,
+       CAST(greatest(demand - coalesce(stock, 0), 0) AS BIGINT) AS shortfall FROM dm LEFT JOIN st USING (kind)""")
+def q_a10d(spark, d):
+    from kindred.operators.report import status_counts, stock_vs_demand
+    return stock_vs_demand(fx.fx_blueprint(spark, d), status_counts(fx.fx_short(spark, d)))
+
+
+@register("R1", f"""WITH p0 AS ({J9S_SQL}), {O.SHORT_CTE},
+p AS (SELECT kind, id, sim_id, score FROM p0 UNION ALL SELECT kind, sim_id, id, score FROM p0),
+items AS (SELECT kind, id, id AS pos, value, check_admin FROM docs),
+m AS (SELECT p.kind, p.id, p.sim_id, p.score, o.value AS sim_value, o.check_admin AS sim_check_admin
+      FROM p LEFT JOIN items o ON o.kind = p.kind AND o.id = p.sim_id),
+j AS (SELECT i.kind, i.id, i.pos, i.value, i.check_admin, m.sim_id, m.score, m.sim_value, m.sim_check_admin
+      FROM items i LEFT JOIN m ON m.kind = i.kind AND m.id = i.id),
+s AS (SELECT *, row_number() OVER (PARTITION BY kind, id ORDER BY sim_id NULLS FIRST) AS seq FROM j),
+r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY pos, seq) AS rw FROM s),
+sp AS (SELECT kind, id, min(rw) AS first_row, max(rw) AS last_row FROM r GROUP BY kind, id)
+SELECT r.kind, r.id AS item_id, CAST(seq AS INTEGER) AS seq, CAST(rw AS BIGINT) AS row,
+       CAST(first_row AS BIGINT) AS first_row, CAST(last_row AS BIGINT) AS last_row,
+       CASE WHEN seq = 1 THEN CAST(r.id AS VARCHAR) ELSE '' END AS id,
+       CASE WHEN seq = 1 THEN r.value ELSE '' END AS value,
+       CASE WHEN seq = 1 THEN CAST(r.check_admin AS VARCHAR) ELSE '' END AS check_admin,
+       coalesce(CAST(sim_id AS VARCHAR), '') AS sim_id, coalesce(sim_value, '') AS sim_value,
+       CASE WHEN score IS NULL OR isnan(score) OR isinf(score) THEN '' ELSE CAST(score AS VARCHAR) || '%' END AS score_text,
+       coalesce(CAST(sim_check_admin AS VARCHAR), '') AS sim_check_admin, '' AS confirm
+FROM r JOIN sp ON sp.kind = r.kind AND sp.id = r.id""")
+def q_r1(spark, d):
+    from kindred.operators.report import report_rows
+    from kindred.operators.simjoin import mirror
+    items = fx.fx_short(spark, d).withColumn("pos", F.col("id"))
+    return report_rows(items, mirror(q_j9s(spark, d)))
+
+
+@register("O1", f"""WITH {O.DOCS_CTE}, k AS (SELECT DISTINCT kind FROM docs)
+SELECT kind, CAST(52 + dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS sheet_pos FROM k""")
+def q_o1(spark, d):
+    from kindred.operators.report import kind_order
+    return kind_order(fx.fx_docs(spark, d))
+
+
+@register("O3", f"""WITH {O.DOCS_CTE}
+SELECT id, kind, check_admin FROM docs WHERE check_admin = 1 UNION ALL
+SELECT id, kind, check_admin FROM docs WHERE check_admin = 2 UNION ALL
+SELECT id, kind, check_admin FROM docs WHERE check_admin = 3 UNION ALL
+SELECT id, kind, check_admin FROM docs WHERE check_admin = 4""")
+def q_o3(spark, d):
+    from kindred.sources.io import union_inputs
+    docs = fx.fx_docs(spark, d).select("id", "kind", "check_admin")
+    return union_inputs([docs.filter(F.col("check_admin") == c) for c in (1, 2, 3, 4)])
+
+
+@register("O5", f"""SELECT kind, id, sim_id FROM ({J9S_SQL}) INTERSECT SELECT kind, id, sim_id FROM ({J3S_SQL})""")
+def q_o5(spark, d):
+    return q_j9s(spark, d).select("kind", "id", "sim_id").intersect(q_j3s(spark, d).select("kind", "id", "sim_id"))
+
+
+def _sheet_sql(name: str, col: str, pos: str) -> str:
+    return (f"SELECT '{name}' AS sheet, '{col}' AS column_name, CASE WHEN {pos} % 7 = 0 THEN NULL "
+            f"ELSE CAST({col} AS VARCHAR) END AS v, {pos} AS pos FROM {name}")
+
+
+@register("A1", f"""WITH u AS (
+  {_sheet_sql('events', 'event_id', 'event_id')} UNION ALL
+  {_sheet_sql('documents', 'doc_id', 'doc_id')} UNION ALL
+  {_sheet_sql('embeddings', 'vec_id', 'vec_id')} UNION ALL
+  SELECT 'region', 'r_regionkey', CAST(r_regionkey AS VARCHAR), r_regionkey FROM region UNION ALL
+  {_sheet_sql('part', 'p_partkey', 'p_partkey')}),
+c AS (SELECT sheet, column_name, CAST(count(v) AS BIGINT) AS total_ids, CAST(count(DISTINCT v) AS BIGINT) AS unique_ids
+      FROM u GROUP BY sheet, column_name),
+f AS (SELECT sheet, v, min(pos) AS first_pos FROM u WHERE v IS NOT NULL GROUP BY sheet, v),
+t AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY first_pos, v) AS rn FROM f),
+sm AS (SELECT sheet, string_agg(v, ',' ORDER BY rn) AS sample_ids FROM t WHERE rn <= 5 GROUP BY sheet)
+SELECT c.sheet, column_name, total_ids, unique_ids, coalesce(sample_ids, '') AS sample_ids FROM c LEFT JOIN sm USING (sheet)""")
+def q_a1(spark, d):
+    from kindred.operators.report import id_audit
+    sheets = fx.fx_sheets(spark, d)
+    blank = sheets.pop("_blank")
+    pos = {"events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "part": "p_partkey"}
+    blanked = {k: (blank(v, pos[k]) if k in pos else v) for k, v in sheets.items()}
+    return id_audit(blanked, pos_cols={**{k: "_pos" for k in pos}, "region": "r_regionkey"})
+
+
 # ---------------------------------------------------------------------------
 # Related-ID pipeline
 # ---------------------------------------------------------------------------

@@ -1,0 +1,108 @@
+"""Text of HTML fragments through a real HTML tokenizer.
+
+Regexes cannot decide what is text in HTML (``</p>`` inside a script, entities,
+comments), so these three checks run the standard-library ``html.parser`` in
+an Arrow-batched pandas UDF.  Rows without any tag skip the parser.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
+
+_TAG = re.compile(r"<.*?>")
+_LATIN_OR_NUM = re.compile(r"[a-zA-Z0-9]+")
+
+
+class _Collector(HTMLParser):
+    """Collects every text node (data, comments, doctype, CDATA) in order and
+    counts ``<p>`` start tags."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes: list[str] = []
+        self.p_open = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "p":
+            self.p_open += 1
+
+    def handle_startendtag(self, tag, attrs):
+        if tag == "p":
+            self.p_open += 1
+
+    def handle_data(self, data):
+        self.nodes.append(data)
+
+    def handle_comment(self, data):
+        self.nodes.append(data)
+
+    def handle_decl(self, decl):
+        # a doctype contributes its name, as a parsed document tree shows it
+        self.nodes.append(decl[len("DOCTYPE "):] if decl.upper().startswith("DOCTYPE ") else decl)
+
+    def unknown_decl(self, data):
+        self.nodes.append(data[len("CDATA["):] if data.startswith("CDATA[") else data)
+
+
+def _parse(text: str) -> _Collector:
+    c = _Collector()
+    c.feed(text)
+    c.close()
+    return c
+
+
+def html_text(text: str | None) -> str | None:
+    if text is None or not _TAG.search(text):
+        return text
+    return "".join(_parse(text).nodes)
+
+
+def html_text_latin(text: str | None) -> str | None:
+    if text is None or not _TAG.search(text):
+        return text
+    kept = "".join(s.strip() for s in _parse(text).nodes if _LATIN_OR_NUM.search(s.strip()))
+    return "()" + kept if text.startswith("()<") else kept
+
+
+def p_balanced(text: str | None) -> bool | None:
+    if text is None:
+        return None
+    if not _TAG.search(text):
+        return True
+    return _parse(text).p_open == text.count("</p>")
+
+
+@F.pandas_udf(StringType())
+def _text_udf(s: pd.Series) -> pd.Series:
+    return pd.Series([html_text(x) for x in s.tolist()], dtype=object)
+
+
+@F.pandas_udf(StringType())
+def _latin_udf(s: pd.Series) -> pd.Series:
+    return pd.Series([html_text_latin(x) for x in s.tolist()], dtype=object)
+
+
+@F.pandas_udf(BooleanType())
+def _p_udf(s: pd.Series) -> pd.Series:
+    return pd.Series([p_balanced(x) for x in s.tolist()], dtype=object)
+
+
+def text_of_html(c: Column) -> Column:
+    """P13."""
+    return _text_udf(c)
+
+
+def latin_text_of_html(c: Column) -> Column:
+    """P14."""
+    return _latin_udf(c)
+
+
+def p_tags_balanced(c: Column) -> Column:
+    """T10 (parsed form)."""
+    return _p_udf(c)

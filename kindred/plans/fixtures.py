@@ -81,3 +81,23 @@ def fx_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     return {"events": ev, "documents": docs, "embeddings": emb, "region": reg, "part": part,
             "_blank": blank}
+
+
+def fx_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested questions from ``conversations``: system turns are the general
+    text, each user turn is a content item answered by the next turn when that
+    turn is the assistant's.  Arrays are built per conversation (bounded)."""
+    from pyspark.sql import Window
+    c = read_table(spark, sf_dir, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = c.select("conv_id", "turn", "role", "text", F.lead("role").over(w).alias("nrole"),
+                 F.lead("text").over(w).alias("ntext"))
+    item = F.struct(F.col("turn"), F.col("text").alias("Q_text"),
+                    F.when(F.col("nrole") == "assistant", F.array(F.col("ntext")))
+                    .otherwise(F.array().cast("array<string>")).alias("A_text"))
+    g = c.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.when(F.col("role") == "system", F.struct("turn", "text")))).alias("_sys"),
+        F.array_sort(F.collect_list(F.when(F.col("role") == "user", item))).alias("_items"))
+    general = F.struct(F.transform("_sys", lambda x: x["text"]).alias("G_text"), F.lit("").alias("G_text_audio"))
+    content = F.transform("_items", lambda x: F.struct(x["Q_text"].alias("Q_text"), x["A_text"].alias("A_text")))
+    return g.select(F.col("conv_id").alias("id"), general.alias("general"), content.alias("content"))

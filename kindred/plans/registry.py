@@ -485,3 +485,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# query modules that register themselves
+from kindred.plans import text_queries  # noqa: E402,F401

@@ -110,7 +110,7 @@ def q_p7(spark, d):
   replace(replace(replace(upper(
     regexp_replace(regexp_replace(regexp_replace(regexp_replace(
       regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '^,+|,+$', '', 'g'),
-    '(?:。)+$', ''), '(?:\\.)+$', ''), '(?:\\?)+$', ''), '(?:？)+$', '')), 'ß', 'SS'), ',', ''), ' ', '') AS clean
+    '(?:。)+$', ''), '(?:\\.)+$', ''), '(?:\\?)+$', ''), '(?:？)+$', '')), 'ẞ', 'SS'), ',', ''), ' ', '') AS clean
 FROM conversations""")
 def q_p9(spark, d):
     return _convs(spark, d).select("conv_id", "turn", X.clean_b(F.col("text")).alias("clean"))

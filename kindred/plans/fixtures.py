@@ -101,3 +101,59 @@ def fx_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     general = F.struct(F.transform("_sys", lambda x: x["text"]).alias("G_text"), F.lit("").alias("G_text_audio"))
     content = F.transform("_items", lambda x: F.struct(x["Q_text"].alias("Q_text"), x["A_text"].alias("A_text")))
     return g.select(F.col("conv_id").alias("id"), general.alias("general"), content.alias("content"))
+
+
+SKILL_BY_LINE = ["Listening", "Reading", "Writing", "Translation"]   # by l_linenumber % 4
+
+
+def _exam_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+    li = read_table(spark, sf_dir, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    name = F.element_at(F.array(*[F.lit(x) for x in SKILL_BY_LINE]), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    rows = li.select("l_orderkey", F.row_number().over(w).alias("rn"), name.alias("name"),
+                     F.col("l_quantity").cast("int").alias("time"), "l_linenumber", "l_partkey", "l_suppkey")
+    return rows
+
+
+def fx_exams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exams from ``orders`` with their ``lineitem`` rows as parts (at most seven
+    per order, so the per-order arrays are bounded)."""
+    rows = _exam_parts(spark, sf_dir)
+    parts = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("rn", "name", "time"))).alias("_p"))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    n = (F.col("o_orderkey") % 90 + 1).cast("string")
+    tl = F.create_map(F.lit("vi"), F.concat(F.lit("Đề thi "), n), F.lit("en"), F.concat(F.lit("Test "), n),
+                      F.lit("ko"), F.concat(n, F.lit(" 번 시험지")), F.lit("ja"), F.concat(F.lit("テスト "), n),
+                      F.lit("fr"), F.concat(F.lit("Test "), n), F.lit("ru"), F.concat(F.lit("Тест "), n))
+    j = o.join(parts, o.o_orderkey == parts.l_orderkey, "left")
+    return j.select(F.col("o_orderkey").alias("id"), ((F.col("o_orderkey") % 6) + 1).cast("int").alias("level"),
+                    F.concat(F.lit("Test "), n).alias("title"), tl.alias("title_lang"),
+                    F.coalesce(F.transform("_p", lambda x: F.struct(x["name"].alias("name"), x["time"].alias("time"))),
+                               F.array().cast("array<struct<name:string,time:int>>")).alias("parts"),
+                    (F.col("o_orderkey") % 90 + 1).cast("long").alias("test"), F.col("o_orderkey").alias("pos"))
+
+
+def fx_exams_ai(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AI exams: fields partly missing, titles partly not ``Test n``, parts
+    with missing time/name, only some languages present."""
+    rows = _exam_parts(spark, sf_dir)
+    part = F.struct(F.col("rn"), F.when(F.col("l_linenumber") != 2, F.col("name")).alias("name"),
+                    F.when(F.col("l_linenumber") != 3, F.col("time")).alias("time"))
+    parts = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(part)).alias("_p"))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    n = (k % 90 + 1).cast("string")
+    title = F.when(k % 4 != 0, F.concat(F.lit("Test "), (k % 90 + 61).cast("string"))).otherwise(
+        F.concat(F.lit("Exam "), n))
+    tl = F.when(k % 3 == 0, F.create_map(F.lit("en"), F.concat(F.lit("Test "), (k % 90 + 61).cast("string")),
+                                         F.lit("ko"), F.concat((k % 90 + 61).cast("string"), F.lit(" 번 시험지"))))
+    j = o.join(parts, o.o_orderkey == parts.l_orderkey, "left")
+    return j.select(
+        k.alias("id"), F.when(k % 5 != 0, ((k % 6) + 1).cast("int")).alias("level"), title.alias("title"),
+        tl.alias("title_lang"),
+        F.coalesce(F.transform("_p", lambda x: F.struct(x["name"].alias("name"), x["time"].alias("time"))),
+                   F.array().cast("array<struct<name:string,time:int>>")).alias("parts"),
+        F.when(k % 7 != 0, F.lit(1)).alias("active"), F.lit(None).cast("int").alias("type"),
+        F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("time"),
+        F.lit(None).cast("int").alias("sequence"), k.alias("pos"))

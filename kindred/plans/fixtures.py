@@ -157,3 +157,34 @@ def fx_exams_ai(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 != 0, F.lit(1)).alias("active"), F.lit(None).cast("int").alias("type"),
         F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("time"),
         F.lit(None).cast("int").alias("sequence"), k.alias("pos"))
+
+
+def fx_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translation maps from ``conversations``: ``en`` on user turns, ``vi`` on
+    every non-system turn, an empty ``ko`` on every third turn, ``fr`` on system turns."""
+    c = read_table(spark, sf_dir, "conversations")
+    ent = F.array(
+        F.struct(F.lit("en").alias("k"), F.when(F.col("role") == "user", F.col("text")).alias("v")),
+        F.struct(F.lit("vi").alias("k"), F.when(F.col("role") != "system", F.col("text")).alias("v")),
+        F.struct(F.lit("ko").alias("k"), F.when(F.col("turn") % 3 == 0, F.lit("")).alias("v")),
+        F.struct(F.lit("fr").alias("k"), F.when(F.col("role") == "system", F.concat(F.lit("fr:"), F.col("text")))
+                 .alias("v")))
+    m = F.map_from_entries(F.filter(ent, lambda e: e["v"].isNotNull()))
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), m.alias("translate"))
+
+
+def fx_exam_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AI exams as delivered: ``parts``/``groups``/``title_lang`` as JSON text;
+    every 11th order has its ``parts`` text cut short (invalid), every 13th its
+    ``groups``; ``groups`` is ragged (lines with an even number are nested)."""
+    ex = fx_exams(spark, sf_dir)
+    k = F.col("id")
+    parts_txt = F.to_json("parts")
+    parts_txt = F.when(k % 11 == 0, F.expr("substring(to_json(parts), 1, greatest(length(to_json(parts)) - 2, 1))")
+                       ).otherwise(parts_txt)
+    groups = F.concat(F.lit("["), F.array_join(F.transform("parts", lambda p, i: F.when(
+        i % 2 == 1, F.concat(F.lit("["), (i + 1).cast("string"), F.lit(","), p["time"].cast("string"), F.lit("]")))
+        .otherwise((i + 1).cast("string"))), ","), F.lit("]"))
+    groups = F.when(k % 13 == 0, F.lit("[1, [2")).otherwise(groups)
+    return ex.select("id", "level", "title", parts_txt.alias("parts"), groups.alias("groups"),
+                     F.to_json("title_lang").alias("title_lang"))

@@ -490,3 +490,4 @@ def oracle_sql() -> dict[str, str]:
 # query modules that register themselves
 from kindred.plans import text_queries  # noqa: E402,F401
 from kindred.plans import exam_queries  # noqa: E402,F401
+from kindred.plans import misc_queries  # noqa: E402,F401

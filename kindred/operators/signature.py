@@ -9,10 +9,14 @@ a text inside the task that read it: the shuffle carries one row per text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 
 def md5_low64(s: Column) -> Column:
@@ -20,11 +24,39 @@ def md5_low64(s: Column) -> Column:
     return F.conv(F.substring(F.md5(s), 17, 16), 16, -10).cast("long")
 
 
+def simhash_value(text: str | None, bits: int = 64) -> int | None:
+    """SimHash of one text as a signed 64-bit integer (numpy vote over shingles)."""
+    if text is None:
+        return None
+    if not text:
+        return 0
+    n = len(text)
+    shingles = [text[i:i + 3] for i in range(n - 2)] if n >= 3 else [text]
+    low = b"".join(hashlib.md5(s.encode("utf-8")).digest()[8:] for s in shingles)
+    words = np.frombuffer(low, dtype=">u8").astype("<u8")
+    ones = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0,
+                                                                                              dtype=np.int64)
+    sig = 0
+    for i in np.flatnonzero(2 * ones[:bits] > len(shingles)):
+        sig |= 1 << int(i)
+    return sig - (1 << 64) if sig >= 1 << 63 else sig
+
+
+@F.pandas_udf(LongType())
+def _simhash_udf(texts: pd.Series) -> pd.Series:
+    return pd.Series([simhash_value(t) for t in texts.tolist()], dtype="Int64")
+
+
 def simhash(df: DataFrame, text: str = "value", keys: Sequence[str] = ("kind", "id"),
-            bits: int = 64, out: str = "h") -> DataFrame:
+            bits: int = 64, out: str = "h", engine: str = "numpy") -> DataFrame:
     """Return ``keys + [len, h]``: text length and its ``bits``-bit SimHash.
 
-    Empty text has signature 0 (no shingle votes)."""
+    Empty text has signature 0 (no shingle votes).  ``engine='numpy'`` hashes
+    each text inside an Arrow batch (one row per text, no exploded shingle
+    rows); ``engine='sql'`` is the all-built-in form: explode shingles, MD5,
+    and a 64-column vote aggregated per text (about 30x slower here)."""
+    if engine == "numpy" and bits == 64:
+        return df.select(*keys, F.length(F.col(text)).alias("len"), _simhash_udf(F.col(text)).alias(out))
     if not 1 <= bits <= 64:
         raise ValueError("bits must be in 1..64")
     n = F.length(F.col(text))

@@ -53,9 +53,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (never executor-local)."""
+    """Materialise ``df`` in the reliable checkpoint folder (never executor-local).
+
+    A reliable checkpoint of an unpersisted plan computes it twice (once for the
+    eager action, once to write the files), so the plan is persisted for the
+    duration of the write and released afterwards; later reads come from the
+    checkpoint files, which survive the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

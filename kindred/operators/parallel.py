@@ -29,8 +29,12 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(n, *cols)
 
 
-def balance(df: DataFrame, *cols: str) -> DataFrame:
-    """Always hash-partition by unique ``cols`` into the target count, so a
-    CPU-heavy projection that follows is evenly spread whatever AQE decided
-    for the shuffles before it."""
-    return df.repartition(target_partitions(df), *cols)
+def balance(df: DataFrame, *cols: str, tasks_per_core: int = 4) -> DataFrame:
+    """Always hash-partition by unique ``cols`` so a CPU-heavy projection that
+    follows is evenly spread whatever AQE decided for the shuffles before it.
+    Per-row costs are heavy-tailed (edit distance grows with the product of the
+    lengths), so there are several partitions per core: the scheduler hands the
+    next partition to whichever core is free and stragglers even out."""
+    spark = df.sparkSession
+    n = max(target_partitions(df), tasks_per_core * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *cols)

@@ -75,3 +75,55 @@ def q_t17(spark, d):
 def q_t18(spark, d):
     j = fx.fx_exam_json(spark, d)
     return j.select("id", F.posexplode(flatten_json_list(F.col("groups"))).alias("pos", "item"))
+
+
+@register("F4", """WITH d AS (SELECT p_partkey AS id, p_brand AS kind,
+                         lower(regexp_replace(p_name, '[^a-zA-Z0-9]', '', 'g')) AS value FROM part),
+p AS (SELECT a.kind, a.id, b.id AS sim_id, a.value AS s1, b.value AS s2 FROM d a JOIN d b
+      ON a.kind = b.kind AND a.id < b.id
+      WHERE length(a.value) > 0 AND least(length(a.value), length(b.value)) / greatest(length(a.value), length(b.value)) >= 0.9)
+SELECT kind, id, sim_id, CAST(levenshtein(s1, s2) AS INTEGER) AS distance,
+       (greatest(length(s1), length(s2)) - levenshtein(s1, s2)) / greatest(length(s1), length(s2)) AS similarity,
+       CAST(round_even((greatest(length(s1), length(s2)) - levenshtein(s1, s2)) / greatest(length(s1), length(s2)) * 100, 2)
+            AS VARCHAR) || '%' AS percentage
+FROM p""")
+def q_f4(spark, d):
+    # F1-F4 on the length-compatible pairs of part names: distance, similarity, percent text
+    from kindred.functions.similarity import pair_detail
+    from kindred.operators.simjoin import length_ratio_pairs
+    rows = fx.fx_short(spark, d)
+    pairs = length_ratio_pairs(rows, 90.0)
+    t = rows.select("kind", "id", F.col("value").alias("s1"))
+    u = rows.select("kind", F.col("id").alias("sim_id"), F.col("value").alias("s2"))
+    x = pairs.join(t, ["kind", "id"]).join(u, ["kind", "sim_id"]).select("kind", "id", "sim_id",
+                                                                         pair_detail("s1", "s2").alias("p"))
+    return x.select("kind", "id", "sim_id", F.col("p.distance").alias("distance"),
+                    F.col("p.similarity").alias("similarity"), F.col("p.percentage").alias("percentage"))
+
+
+@register("P8", """WITH s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, text
+                  FROM conversations WHERE role = 'system')
+SELECT conv_id AS id, CAST(pos AS INTEGER) AS pos,
+       trim(regexp_replace(lower(regexp_replace(text, '[-&;''"<>]', ' ', 'g')), '\\s+', ' ', 'g')) AS clean FROM s""")
+def q_p8(spark, d):
+    from kindred.functions.text import clean_a_array
+    q = fx.fx_questions(spark, d)
+    return q.select("id", F.posexplode(clean_a_array(F.col("general.G_text"))).alias("pos", "clean"))
+
+
+@register("O2", """WITH ai AS (SELECT o_orderkey AS id,
+    CASE WHEN o_orderkey % 4 <> 0 THEN 'Test ' || (o_orderkey % 90 + 61) ELSE 'Exam ' || (o_orderkey % 90 + 1) END AS title
+  FROM orders),
+k AS (SELECT id, coalesce(TRY_CAST(nullif(regexp_extract(trim(title), '(\\d+)$', 1), '') AS BIGINT),
+                          TRY_CAST(nullif(regexp_extract(trim(title), '^(\\d+)\\s+번', 1), '') AS BIGINT)) AS num FROM ai)
+SELECT id, CASE WHEN num IS NULL OR num = 0 THEN 0 ELSE num END AS sort_key,
+       CAST(row_number() OVER (ORDER BY CASE WHEN num IS NULL OR num = 0 THEN 0 ELSE num END, id) AS BIGINT) AS sort_rank
+FROM k""")
+def q_o2(spark, d):
+    # exams ordered by the number in their raw title (none -> 0), stable by id
+    from kindred.operators.fill import sequential_ids
+    ex = fx.fx_exams_ai(spark, d)
+    n = E.title_number("title")
+    keyed = ex.select("id", F.when(n.isNull() | (n == 0), F.lit(0)).otherwise(n).cast("long").alias("sort_key"))
+    out = sequential_ids(keyed, ["sort_key", "id"], 1, out="sort_rank", chunk_cols=["sort_key"], pos="id")
+    return out.select("id", "sort_key", "sort_rank")

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference processes whole files only: no stream source, watermark, window or
+state exists in it, so this package registers no streaming operator.  The batch
+operators are DataFrame functions and run unchanged inside ``foreachBatch`` if a
+deployment feeds files incrementally.
+"""

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import similarity as S
-from kindred.functions.editdistance import edit_distance, fast_levenshtein
+from kindred.functions.editdistance import banded_distance, edit_distance, fast_levenshtein
 
 
 def dp(a, b):
@@ -70,3 +70,27 @@ def test_hamming_and_bands(spark):
     assert r.h == 2 and r.s == 1 - 2 / 64
     keys = df.select(S.band_keys(F.lit(-1).cast("long"), 64, 16).alias("k")).first().k
     assert len(keys) == 16 and all(k.key == 15 for k in keys)
+
+
+def test_banded_distance_matches_dp():
+    rnd = random.Random(2)
+    for _ in range(3000):
+        size = rnd.choice([5, 20, 60, 150])
+        a = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, size)))
+        if rnd.random() < 0.5:
+            b = list(a)
+            for _ in range(rnd.randint(0, 12)):
+                if b and rnd.random() < 0.5:
+                    b.pop(rnd.randrange(len(b)))
+                else:
+                    b.insert(rnd.randint(0, len(b)), rnd.choice("abcd"))
+            b = "".join(b)
+        else:
+            b = "".join(rnd.choice("abc") for _ in range(rnd.randint(0, size)))
+        if len(a) < len(b):
+            a, b = b, a
+        d = dp(a, b)
+        k = rnd.randint(0, max(1, size))
+        if not b or k >= len(b):
+            continue
+        assert banded_distance(a, b, k) == (d if d <= k else -1)

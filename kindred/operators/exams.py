@@ -39,12 +39,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a one-element ``transform``):
+    Catalyst does not share subexpressions inside CASE branches or lambdas, so
+    a regex result used three times would otherwise run three times."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def title_number(title) -> Column:
     """Trailing digits of the stripped title, else leading ``n 번``; null otherwise."""
-    t = py_strip(_c(title))
-    tail = F.regexp_extract(t, r"(?U)(\d+)$", 1)
-    head = F.regexp_extract(t, r"(?U)^(\d+)\s+번", 1)
-    return F.coalesce(F.nullif(tail, F.lit("")).try_cast("long"), F.nullif(head, F.lit("")).try_cast("long"))
+    def body(t):
+        tail = F.regexp_extract(t, r"(?U)(\d+)$", 1)
+        head = F.regexp_extract(t, r"(?U)^(\d+)\s+번", 1)
+        return F.coalesce(F.nullif(tail, F.lit("")).try_cast("long"), F.nullif(head, F.lit("")).try_cast("long"))
+    return _let(py_strip(_c(title)), body)
 
 
 def skill_suffix(skill, lang) -> Column:
@@ -167,22 +175,29 @@ def fill_exam_translations(parts) -> Column:
         p["content"], lambda grp: grp.withField("Questions", F.transform(grp["Questions"], question)))))
 
 
+def _decrement_step(t: Column, otherwise: Column, lit_fmt: tuple[str, str], by: int):
+    def step(n):
+        old_s = F.concat(F.lit(lit_fmt[0]), n.cast("string"), F.lit(lit_fmt[1]))
+        new_s = F.concat(F.lit(lit_fmt[0]), F.greatest(n - by, F.lit(1)).cast("string"), F.lit(lit_fmt[1]))
+        return F.when(n.isNotNull(), F.replace(t, old_s, new_s)).otherwise(otherwise)
+    return step
+
+
 def decrement_title(title, by: int = 60) -> Column:
     """First matching pattern (Test, Đề thi, leading n 번, テスト, Тест) has its
     number lowered by ``by`` (at least 1); every occurrence of that text changes."""
-    t = _c(title)
-    out = t
-    for prefix in reversed(DECREMENT_PREFIXES):
-        if prefix is None:
-            pat, lit_fmt = r"^(\d+)\s+번", ("", " 번")
-        else:
-            pat, lit_fmt = "(?U)" + prefix + r"(\d+)", (prefix, "")
-        n = F.nullif(F.regexp_extract(t, pat, 1), F.lit("")).try_cast("long")
-        new = F.greatest(n - by, F.lit(1))
-        old_s = F.concat(F.lit(lit_fmt[0]), n.cast("string"), F.lit(lit_fmt[1]))
-        new_s = F.concat(F.lit(lit_fmt[0]), new.cast("string"), F.lit(lit_fmt[1]))
-        out = F.when(n.isNotNull(), F.replace(t, old_s, new_s)).otherwise(out)
-    return F.when(t.isNull(), t).otherwise(out)
+    def body(t):
+        out = t
+        for prefix in reversed(DECREMENT_PREFIXES):
+            if prefix is None:
+                pat, lit_fmt = r"^(\d+)\s+번", ("", " 번")
+            else:
+                pat, lit_fmt = "(?U)" + prefix + r"(\d+)", (prefix, "")
+
+            out = _let(F.nullif(F.regexp_extract(t, pat, 1), F.lit("")).try_cast("long"),
+                       _decrement_step(t, out, lit_fmt, by))
+        return F.when(t.isNull(), t).otherwise(out)
+    return _let(_c(title), body)
 
 
 def exam_defaults(exams: DataFrame, file_level: Column | int = 0) -> DataFrame:
@@ -230,13 +245,15 @@ def ai_skill_split(exams: DataFrame, second_decrement: bool = True) -> DataFrame
         return F.when(k == "ko", ko.otherwise(plain)).otherwise(plain)
 
     tl = F.transform_values(F.map_filter("title_lang", lambda k, v: title_number(v).isNotNull()), lang_title)
+    out = p.select("exam_id", "part_pos", "level", title.alias("title"), tl.alias("title_lang"),
+                   F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
+                   F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
+                   F.lit(0).alias("sequence"))
     if second_decrement:
-        title = decrement_title(title)
-        tl = F.transform_values(tl, lambda k, v: decrement_title(v))
-    return p.select("exam_id", "part_pos", "level", title.alias("title"), tl.alias("title_lang"),
-                    F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
-                    F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
-                    F.lit(0).alias("sequence"))
+        # a second projection, so the decrement reads columns, not the expressions above
+        out = out.withColumns({"title": decrement_title("title"),
+                               "title_lang": F.transform_values("title_lang", lambda k, v: decrement_title(v))})
+    return out
 
 
 def flatten_groups_json(groups_json) -> Column:

@@ -179,14 +179,14 @@ def q_j3s(spark, d):
 
 @register("J10", f"""WITH {O.DOCS_CTE},
 t0 AS (SELECT * FROM docs WHERE length(value) > 0),
-sz AS (SELECT kind, count(*) AS n FROM docs GROUP BY kind),
-t AS (SELECT t0.*, sz.n FROM t0 JOIN sz USING (kind)),
+sz AS (SELECT kind, count(*) AS kind_rows FROM docs GROUP BY kind),
+t AS (SELECT t0.*, sz.kind_rows FROM t0 JOIN sz USING (kind)),
 {O.simhash_ctes('t', BITS)},
 c AS (SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
 s AS (
   SELECT c.kind, c.id, c.sim_id, {O.score_expr('l.value', 'r.value')} AS score
   FROM c JOIN t l ON l.kind = c.kind AND l.id = c.id JOIN t r ON r.kind = c.kind AND r.id = c.sim_id
-  WHERE bit_count(c.x) <= {_ham(50)} AND (l.n <= 10 OR {O.band_any('c.x', BITS, BANDS)})
+  WHERE bit_count(c.x) <= {_ham(50)} AND (l.kind_rows <= 10 OR {O.band_any('c.x', BITS, BANDS)})
     AND least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(50 - 0.005) / 100})
 SELECT kind, id, sim_id, score FROM s WHERE score >= 50.0""")
 def q_j10(spark, d):

@@ -112,20 +112,41 @@ def skill_lang_titles(title_lang, skill, inc, ko_replace_fallback: bool = True)
     return F.transform_values(numbered, one)
 
 
+def _ko_number(v: Column) -> Column:
+    return F.nullif(F.regexp_extract(v, r"(?U)^(\d+)\s+번", 1), F.lit("")).try_cast("long")
+
+
+def _parsed_langs(title_lang) -> Column:
+    """Per language ``struct(text, n, ko)`` for titles that carry a number,
+    parsed once per exam (before the parts are exploded)."""
+    parsed = F.transform_values(_c(title_lang), lambda k, v: F.struct(
+        v.alias("text"), title_number(v).alias("n"), _ko_number(v).alias("ko")))
+    return F.map_filter(parsed, lambda k, x: x["n"].isNotNull())
+
+
 def split_skills(exams: DataFrame, inc: Column | None = None) -> DataFrame:
     """E5+E6: one exam per Listening/Reading/Writing part of an exam whose title
-    has a number; ``score 100, type 5, active 0, sequence 0, groups []``."""
+    has a number; ``score 100, type 5, active 0, sequence 0, groups []``.
+    Titles are parsed once per exam, before ``posexplode``."""
     inc = increment_for("level") if inc is None else inc
-    n = title_number("title")
-    p = exams.filter(n.isNotNull()).select(
-        F.col("id").alias("exam_id"), "level", "title", "title_lang", inc.alias("_inc"),
-        F.posexplode("parts").alias("part_pos", "part"))
+    pre = exams.select(F.col("id").alias("exam_id"), "level", "parts", inc.alias("_inc"),
+                       title_number("title").alias("_tn"), _parsed_langs("title_lang").alias("_tl"))
+    p = pre.filter(F.col("_tn").isNotNull()).select(
+        "exam_id", "level", "_inc", "_tn", "_tl", F.posexplode("parts").alias("part_pos", "part"))
     p = p.filter(F.col("part.name").isin(SKILLS))
-    new_n = title_number("title") + F.col("_inc")
+    skill = F.col("part.name")
+
+    def lang_title(k, x):
+        suffix = skill_suffix(skill, k)
+        new_n = (x["n"] + F.col("_inc")).cast("string")
+        replaced = F.concat(F.replace(x["text"], x["n"].cast("string"), new_n), F.lit(" - "), suffix)
+        return F.when((k == "ko") & x["ko"].isNotNull(),
+                      F.concat(new_n, F.lit(" 번 시험지 - "), suffix)).otherwise(replaced)
+
     return p.select(
         "exam_id", "part_pos", "level",
-        F.concat(F.lit("Test "), new_n.cast("string"), F.lit(" - "), F.col("part.name")).alias("title"),
-        skill_lang_titles("title_lang", F.col("part.name"), F.col("_inc")).alias("title_lang"),
+        F.concat(F.lit("Test "), (F.col("_tn") + F.col("_inc")).cast("string"), F.lit(" - "), skill).alias("title"),
+        F.transform_values("_tl", lang_title).alias("title_lang"),
         F.array("part").alias("parts"), F.col("part.time").alias("time"),
         F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"), F.lit(0).alias("sequence"))
 
@@ -229,23 +250,24 @@ def _split_template(t: str) -> list[str]:
 
 def ai_skill_split(exams: DataFrame, second_decrement: bool = True) -> DataFrame:
     """Skill exams of AI exams (titles already decremented once by E9); the
-    reference decrements the skill titles a second time, kept by default."""
-    n = title_number("title")
-    p = exams.filter(n.isNotNull()).select(
-        F.col("id").alias("exam_id"), "level", "title", "title_lang",
-        F.posexplode("parts").alias("part_pos", "part")).filter(F.col("part.name").isin(SKILLS))
+    reference decrements the skill titles a second time, kept by default.
+    Titles are parsed once per exam, before ``posexplode``."""
+    pre = exams.select(F.col("id").alias("exam_id"), "level", "parts", title_number("title").alias("_tn"),
+                       _parsed_langs("title_lang").alias("_tl"))
+    p = pre.filter(F.col("_tn").isNotNull()).select(
+        "exam_id", "level", "_tn", "_tl", F.posexplode("parts").alias("part_pos", "part")).filter(
+        F.col("part.name").isin(SKILLS))
     skill = F.col("part.name")
-    title = F.concat(F.lit("Test "), title_number("title").cast("string"), F.lit(" - "), skill)
 
-    def lang_title(k, v):
+    def lang_title(k, x):
         suffix = skill_suffix(skill, k)
-        ko_n = F.nullif(F.regexp_extract(v, r"(?U)^(\d+)\s+번", 1), F.lit("")).try_cast("long")
-        ko = F.when(ko_n.isNotNull(), F.concat(title_number(v).cast("string"), F.lit(" 번 시험지 - "), suffix))
-        plain = F.concat(v, F.lit(" - "), suffix)
-        return F.when(k == "ko", ko.otherwise(plain)).otherwise(plain)
+        return F.when((k == "ko") & x["ko"].isNotNull(),
+                      F.concat(x["n"].cast("string"), F.lit(" 번 시험지 - "), suffix)).otherwise(
+            F.concat(x["text"], F.lit(" - "), suffix))
 
-    tl = F.transform_values(F.map_filter("title_lang", lambda k, v: title_number(v).isNotNull()), lang_title)
-    out = p.select("exam_id", "part_pos", "level", title.alias("title"), tl.alias("title_lang"),
+    out = p.select("exam_id", "part_pos", "level",
+                   F.concat(F.lit("Test "), F.col("_tn").cast("string"), F.lit(" - "), skill).alias("title"),
+                   F.transform_values("_tl", lang_title).alias("title_lang"),
                    F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
                    F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
                    F.lit(0).alias("sequence"))

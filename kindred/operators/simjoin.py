@@ -35,15 +35,23 @@ def _texts(df: DataFrame, include_empty: bool) -> DataFrame:
     return t if include_empty else t.filter(F.length("value") > 0)
 
 
+SHORT_TEXT = 256   # up to this length the JVM banded DP beats shipping rows to Python
+
+
 def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
-                engine: str = "bitparallel") -> DataFrame:
+                engine: str = "auto") -> DataFrame:
     """Exact score of candidate pairs ``(kind, id, sim_id)``, kept when >= T.
 
     Texts are joined back by ``(kind, id)`` twice, the pairs are spread evenly
     over the cluster (the cost is CPU, not bytes), the lossless length bound
     drops hopeless pairs, and the edit distance runs with the largest distance
     that can still pass as early-exit bound.  ``engine='builtin'`` uses Spark's
-    banded ``levenshtein``; the default bit-parallel UDF gives the same value."""
+    banded ``levenshtein``; the bit-parallel UDF gives the same value.  ``auto``
+    (one aggregate over the text lengths) takes the built-in when every text is
+    short, where per-row transfer to Python would cost more than the DP."""
+    if engine == "auto":
+        longest = texts.agg(F.max(F.length("value"))).first()[0] or 0
+        engine = "builtin" if longest <= SHORT_TEXT else "bitparallel"
     l = texts.select("kind", "id", F.col("value").alias("_lv"))
     r = texts.select("kind", F.col("id").alias("sim_id"), F.col("value").alias("_rv"))
     joined = cands.select("kind", "id", "sim_id").join(l, ["kind", "id"]).join(r, ["kind", "sim_id"])
@@ -68,15 +76,19 @@ def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
 
 # --- J4 / J6: length range joins -----------------------------------------
 
-def _length_band_join(df: DataFrame, ratio: float, order_cols=("len", "id")) -> DataFrame:
+def _length_band_join(df: DataFrame, ratio: float, carry: str | None = None) -> DataFrame:
     """Pairs ``(a, b)`` with ``(len_a, id_a) < (len_b, id_b)`` and ``len_a/len_b``
     possibly >= ``ratio``: bucket ``floor(ln len / ln(1/ratio))``, the shorter
-    side probes its bucket and the next one, equi-join on ``(kind, bucket)``."""
+    side probes its bucket and the next one, equi-join on ``(kind, bucket)``.
+    ``carry`` names a column brought along as ``_lv``/``_rv`` (short texts)."""
     width = max(ratio - 1e-9, 1e-9)
-    base = df.select("kind", "id", "len", S.log_bucket(F.col("len"), width).alias("_b"))
-    left = base.select("kind", F.col("id").alias("id"), F.col("len").alias("_ll"),
+    extra = [carry] if carry else []
+    base = df.select("kind", "id", "len", *extra, S.log_bucket(F.col("len"), width).alias("_b"))
+    lx = [F.col(carry).alias("_lv")] if carry else []
+    rx = [F.col(carry).alias("_rv")] if carry else []
+    left = base.select("kind", F.col("id").alias("id"), F.col("len").alias("_ll"), *lx,
                        F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"))
-    right = base.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("_rl"), "_b")
+    right = base.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("_rl"), *rx, "_b")
     j = left.join(right, ["kind", "_b"])
     return j.filter((F.col("_ll") < F.col("_rl")) |
                     ((F.col("_ll") == F.col("_rl")) & (F.col("id") < F.col("sim_id"))))
@@ -134,10 +146,19 @@ def near_duplicates_exact(df: DataFrame, threshold: float = 75, include_empty: b
     Candidate pairs come from the lossless length-ratio band join (J4 with the
     rounding slack), then the banded Levenshtein decides."""
     texts = _texts(df, include_empty)
-    lens = texts.select("kind", "id", F.length("value").alias("len"))
+    lens = texts.select("kind", "id", "value", F.length("value").alias("len"))
     r = (threshold - 0.005) / 100.0
-    cands = _length_band_join(lens, r).filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return score_pairs(_ordered(cands), texts, threshold)
+    longest = texts.agg(F.max(F.length("value"))).first()[0] or 0
+    if longest <= SHORT_TEXT:
+        # short texts ride along the band join and are scored where the pair
+        # is formed: no join-back of texts, no extra shuffle of the pairs
+        j = _length_band_join(lens, r, carry="value").filter(
+            S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
+        scored = j.select("kind", F.least("id", "sim_id").alias("id"), F.greatest("id", "sim_id").alias("sim_id"),
+                          S.thresholded_score("_lv", "_rv", threshold, F.col("_ll"), F.col("_rl")).alias("score"))
+        return scored.filter(F.col("score") >= F.lit(float(threshold))).select(*PAIR_COLS)
+    cands = _length_band_join(lens.drop("value"), r).filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
+    return score_pairs(_ordered(cands), texts, threshold, engine="bitparallel")
 
 
 # --- J7 / J8 / J9: SimHash paths ----------------------------------------------

@@ -251,31 +251,29 @@ def _split_template(t: str) -> list[str]:
 def ai_skill_split(exams: DataFrame, second_decrement: bool = True) -> DataFrame:
     """Skill exams of AI exams (titles already decremented once by E9); the
     reference decrements the skill titles a second time, kept by default.
-    Titles are parsed once per exam, before ``posexplode``."""
-    pre = exams.select(F.col("id").alias("exam_id"), "level", "parts", title_number("title").alias("_tn"),
-                       _parsed_langs("title_lang").alias("_tl"))
-    p = pre.filter(F.col("_tn").isNotNull()).select(
-        "exam_id", "level", "_tn", "_tl", F.posexplode("parts").alias("part_pos", "part")).filter(
-        F.col("part.name").isin(SKILLS))
-    skill = F.col("part.name")
 
-    def lang_title(k, x):
-        suffix = skill_suffix(skill, k)
-        return F.when((k == "ko") & x["ko"].isNotNull(),
-                      F.concat(x["n"].cast("string"), F.lit(" 번 시험지 - "), suffix)).otherwise(
-            F.concat(x["text"], F.lit(" - "), suffix))
-
-    out = p.select("exam_id", "part_pos", "level",
-                   F.concat(F.lit("Test "), F.col("_tn").cast("string"), F.lit(" - "), skill).alias("title"),
-                   F.transform_values("_tl", lang_title).alias("title_lang"),
-                   F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
-                   F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
-                   F.lit(0).alias("sequence"))
+    Titles are built and decremented once per exam, before ``posexplode``: the
+    fixed skill suffixes contain none of the decrement patterns, so decrementing
+    ``title + " - " + suffix`` equals decrementing ``title`` and appending."""
+    parsed = exams.select(F.col("id").alias("exam_id"), "level", "parts", title_number("title").alias("_tn"),
+                          _parsed_langs("title_lang").alias("_tl")).filter(F.col("_tn").isNotNull())
+    base_title = F.concat(F.lit("Test "), F.col("_tn").cast("string"))
+    base_langs = F.transform_values("_tl", lambda k, x: F.when(
+        (k == "ko") & x["ko"].isNotNull(), F.concat(x["n"].cast("string"), F.lit(" 번 시험지"))).otherwise(x["text"]))
+    per_exam = parsed.select("exam_id", "level", "parts", base_title.alias("_t"), base_langs.alias("_tl"))
     if second_decrement:
-        # a second projection, so the decrement reads columns, not the expressions above
-        out = out.withColumns({"title": decrement_title("title"),
-                               "title_lang": F.transform_values("title_lang", lambda k, v: decrement_title(v))})
-    return out
+        per_exam = per_exam.withColumns({"_t": decrement_title("_t"),
+                                         "_tl": F.transform_values("_tl", lambda k, v: decrement_title(v))})
+    p = per_exam.select("exam_id", "level", "_t", "_tl", F.posexplode("parts").alias("part_pos", "part")).filter(
+        F.col("part.name").isin(SKILLS))
+    skill = F.col("part.name")
+    return p.select("exam_id", "part_pos", "level",
+                    F.concat(F.col("_t"), F.lit(" - "), skill).alias("title"),
+                    F.transform_values("_tl", lambda k, v: F.concat(v, F.lit(" - "), skill_suffix(skill, k)))
+                    .alias("title_lang"),
+                    F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
+                    F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
+                    F.lit(0).alias("sequence"))
 
 
 def flatten_groups_json(groups_json) -> Column:

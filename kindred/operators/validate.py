@@ -57,34 +57,49 @@ def _field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f'$["{name}"]', "variant")
 
 
-def _checks(v: Column, model: dict) -> list[Column]:
-    out: list[Column] = []
-    for name, expected in model.items():
-        f = _field(v, name)
-        out.append(F.when(f.isNull(), F.lit(f"Missing field: {name}")))
-        if isinstance(expected, dict):
-            out.append(F.when(~_is(f, "dict"), F.concat(
-                F.lit(f"Field '{name}' expected a nested object, got "), _py_type(f))))
-            out.extend(_checks(f, expected))
-        elif isinstance(expected, list):
-            item_t = expected[0]
-            out.append(F.when(~_is(f, "list"), F.concat(F.lit(f"Field '{name}' expected a list, got "), _py_type(f))))
-            items = F.when(_is(f, "list"), f.cast("array<variant>"))
-            bad = F.filter(items, lambda x: ~_is(x, item_t))
-            out.append(F.when(F.size(bad) > 0, F.concat(
-                F.lit(f"Items in field '{name}' expected <class '{item_t}'>, got "), _py_type(F.element_at(bad, 1)))))
-        else:
-            out.append(F.when(~_is(f, expected), F.concat(
-                F.lit(f"Field '{name}' expected <class '{expected}'>, got "), _py_type(f))))
-    return out
+def _let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once for ``fn`` (one-element ``transform``)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _field_checks(f: Column, name: str, expected) -> Column:
+    """First error of one field (its checks are contiguous in model order, so
+    grouping them under one binding keeps the first-error order)."""
+    out = [F.when(f.isNull(), F.lit(f"Missing field: {name}"))]
+    if isinstance(expected, dict):
+        out.append(F.when(~_is(f, "dict"), F.concat(
+            F.lit(f"Field '{name}' expected a nested object, got "), _py_type(f))))
+        out.append(_model_checks(f, expected))
+    elif isinstance(expected, list):
+        item_t = expected[0]
+        out.append(F.when(~_is(f, "list"), F.concat(F.lit(f"Field '{name}' expected a list, got "), _py_type(f))))
+        items = F.when(_is(f, "list"), f.cast("array<variant>"))
+        bad = F.filter(items, lambda x: ~_is(x, item_t))
+        out.append(F.when(F.size(bad) > 0, F.concat(
+            F.lit(f"Items in field '{name}' expected <class '{item_t}'>, got "), _py_type(F.element_at(bad, 1)))))
+    else:
+        out.append(F.when(~_is(f, expected), F.concat(
+            F.lit(f"Field '{name}' expected <class '{expected}'>, got "), _py_type(f))))
+    return F.coalesce(*out)
+
+
+def _model_checks(v: Column, model: dict) -> Column:
+    return F.coalesce(*[_bind_field(v, name, expected) for name, expected in model.items()])
+
+
+def _bind_field(v: Column, name: str, expected) -> Column:
+    def body(f):
+        return _field_checks(f, name, expected)
+    return _let(_field(v, name), body)
 
 
 def first_error(json_text: Column, model: dict = QUESTION_MODEL) -> Column:
     """First validation error of a JSON record (null when valid); text that
-    is not a JSON object reports the top-level field as missing."""
-    v = F.try_parse_json(json_text)
-    obj = F.when(_is(v, "dict"), v)
-    return F.coalesce(*_checks(obj, model))
+    is not a JSON object reports the top-level field as missing.  The record is
+    parsed once and each field is looked up once for all of its checks."""
+    def body(v):
+        return _model_checks(F.when(_is(v, "dict"), v), model)
+    return _let(F.try_parse_json(json_text), body)
 
 
 def validation_report(df: DataFrame, json_col: str, key_col: str, model: dict = QUESTION_MODEL) -> DataFrame:

@@ -106,3 +106,10 @@ def latin_text_of_html(c: Column) -> Column:
 def p_tags_balanced(c: Column) -> Column:
     """T10 (parsed form)."""
     return _p_udf(c)
+
+
+import sys as _sys  # noqa: E402
+
+from kindred._shipping import ship_by_value  # noqa: E402
+
+ship_by_value(_sys.modules[__name__])

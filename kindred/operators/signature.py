@@ -72,3 +72,10 @@ def simhash(df: DataFrame, text: str = "value", keys: Sequence[str] = ("kind", "
         bit = F.shiftleft(F.lit(1).cast("long"), i)
         sig = sig.bitwiseOR(F.when(F.col(f"_b{i}") * 2 > F.col("_n"), bit).otherwise(F.lit(0).cast("long")))
     return agg.select(*keys, "len", sig.alias(out))
+
+
+import sys as _sys  # noqa: E402
+
+from kindred._shipping import ship_by_value  # noqa: E402
+
+ship_by_value(_sys.modules[__name__])

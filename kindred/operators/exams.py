@@ -98,20 +98,6 @@ def renumber_regular(exams: DataFrame) -> DataFrame:
         "active": F.lit(0), "type": F.lit(4)})
 
 
-def skill_lang_titles(title_lang, skill, inc, ko_replace_fallback: bool = True) -> Column:
-    """Per language ``renumbered - suffix``; languages without a number are left out."""
-    def one(k, v):
-        n = title_number(v)
-        ko_n = F.nullif(F.regexp_extract(v, r"(?U)^(\d+)\s+번", 1), F.lit("")).try_cast("long")
-        suffix = skill_suffix(skill, k)
-        replaced = F.concat(_replace_num(v, n, n + inc), F.lit(" - "), suffix)
-        ko = F.when(ko_n.isNotNull(), F.concat((n + inc).cast("string"), F.lit(" 번 시험지 - "), suffix))
-        ko = ko.otherwise(replaced if ko_replace_fallback else F.concat(v, F.lit(" - "), suffix))
-        return F.when(k == "ko", ko).otherwise(replaced)
-    numbered = F.map_filter(_c(title_lang), lambda k, v: title_number(v).isNotNull())
-    return F.transform_values(numbered, one)
-
-
 def _ko_number(v: Column) -> Column:
     return F.nullif(F.regexp_extract(v, r"(?U)^(\d+)\s+번", 1), F.lit("")).try_cast("long")
 

@@ -35,3 +35,18 @@ FROM l LEFT JOIN f USING (key) GROUP BY doc_id""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.line_dedup import dedup_digest
     return dedup_digest(read_table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
+@register("op2_source_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.mixing import mix_sources
+    return mix_sources(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register("op5_benchmark_decontamination")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.decontaminate import contamination
+    docs = read_table(spark, sf_dir, "documents")
+    leaks = contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return leaks.select(leaks.did.alias("doc_id"), "item_id", "containment")

@@ -50,3 +50,10 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     leaks = contamination(docs, read_table(spark, sf_dir, "benchmark"))
     return leaks.select(leaks.did.alias("doc_id"), "item_id", "containment")
+
+
+@register("op10_probminhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.probminhash import near_duplicates
+    groups = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return groups.select(groups.did.alias("doc_id"), "class_id", "component_id", "kept")

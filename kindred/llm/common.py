@@ -162,6 +162,15 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def hash_sample(df: DataFrame, rows: int) -> DataFrame:
+    """The ``rows`` rows whose doc_id has the smallest hash: the bounded sample
+    on which classifiers are fitted.  Ids are ranked alone; the other columns
+    are read only for the rows that stay."""
+    h = F.xxhash64(F.col("doc_id"))
+    last = df.select(h.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    return df.filter(h <= F.lit(last if last is not None else 0)).limit(rows)
+
+
 def spread(df: DataFrame, spark: SparkSession) -> DataFrame:
     """Deal small rows evenly over the session's shuffle partitions."""
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -57,3 +57,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.probminhash import near_duplicates
     groups = near_duplicates(read_table(spark, sf_dir, "documents"))
     return groups.select(groups.did.alias("doc_id"), "class_id", "component_id", "kept")
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.language_id import identify
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

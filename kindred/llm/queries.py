@@ -69,3 +69,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@register("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.url_filter import filter_urls
+    return filter_urls(read_table(spark, sf_dir, "pages"))

@@ -75,3 +75,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.url_filter import filter_urls
     return filter_urls(read_table(spark, sf_dir, "pages"))
+
+
+@register("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.embedding_dedup import near_duplicate_vectors
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op6_secret_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.secrets import scan_secrets
+    return scan_secrets(read_table(spark, sf_dir, "documents"))

@@ -87,3 +87,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.secrets import scan_secrets
     return scan_secrets(read_table(spark, sf_dir, "documents"))
+
+
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.toxicity import score_toxicity
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))

@@ -93,3 +93,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kindred.llm.toxicity import score_toxicity
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op8_html_extraction")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kindred.llm.html_wrapper import extract_pages
+    return extract_pages(read_table(spark, sf_dir, "pages"))

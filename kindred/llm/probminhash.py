@@ -10,17 +10,17 @@ J_P, the probability Jaccard similarity; damped counts keep it close to the Jacc
 similarity of the sets, by which candidates are verified.
 
 Signatures are banded (32 bands of 6).  Exact copies (same word sequence) are
-collapsed first.  In every band bucket each member is verified against up to
-three leaders of the bucket, never against all; where a bucket still holds more
-than one component after that, its members of different components are compared
-too, so no link that a bucket shows is lost.  A pair is a link when the exact
+collapsed first.  In every band bucket each member is verified against two
+leaders of the bucket, never against all.  Members of buckets that still hold
+more than one component after that go through an exact prefix search for the
+pairs that can reach the threshold, so no link that a bucket shows is lost.  A pair is a link when the exact
 Jaccard similarity of the two sets of shingles reaches the threshold.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.common import broadcast_if_small, components, list_arrays, materialise, mix, row_keys, shingles, text_chunks, word_hashes
@@ -127,20 +127,48 @@ def _verify(threshold: float):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of class ids whose similarity reaches the threshold."""
-    pairs = materialise(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    ids = materialise(reps.join(ids, "id", "left_semi").select("id", "did", "th"), "pair-ids")
-    wanted = broadcast_if_small(ids.withColumnsRenamed({"did": "_did", "th": "_th"}), ids.count())
+def shingle_sets(docs: DataFrame, reps: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, keys) with the sorted shingles of the texts that share a bucket."""
+    wanted = materialise(reps.join(ids, "id", "left_semi").select(
+        "id", F.col("did").alias("_did"), F.col("th").alias("_th")).distinct(), "set-ids")
+    wanted = broadcast_if_small(wanted, wanted.count())
     found = row_keys(docs.select("doc_id", "text")).join(wanted, ["_did", "_th"]).select("id", word_hashes().alias("words"))
-    sets = materialise(found.mapInArrow(_sets, "id long, keys array<long>").dropDuplicates(["id"]), "sets")
+    return materialise(found.mapInArrow(_sets, "id long, keys array<long>").dropDuplicates(["id"]), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of class ids whose similarity reaches the threshold."""
     left = sets.withColumnsRenamed({"id": "a", "keys": "ka"})
     right = sets.withColumnsRenamed({"id": "b", "keys": "kb"})
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "ka", "kb")
     return materialise(full.mapInArrow(_verify(threshold), "a long, b long"), "links")
 
 
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ``nodes(id, comp)`` in different components that can reach
+    the threshold: an exact candidate search by prefix and position.
+
+    With the shingles of a text ordered from rare to frequent, two texts of
+    n and m shingles and similarity t overlap in at least t / (1 + t) * (n + m)
+    of them; so their first common shingle stands so early that enough follow
+    it on either side.  Texts whose own edits fill that prefix with shingles
+    that nobody else has drop out, however large their group is."""
+    t = threshold
+    rows = nodes.join(sets, "id").select("id", "comp", F.size("keys").alias("n"), F.explode("keys").alias("key"))
+    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    own = Window.partitionBy("id")
+    rows = (rows.join(often, "key")
+            .withColumn("pos", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "key")))
+            .filter(F.col("pos") <= F.col("n") - F.ceil(t * F.col("n")) + 1).drop("df"))
+    rows = materialise(rows, "prefixes")
+    a, b = rows.alias("a"), rows.alias("b")
+    need = F.ceil(t / (1 + t) * (F.col("a.n") + F.col("b.n")) - 1e-9)
+    left = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) + 1
+    on = ((F.col("a.key") == F.col("b.key")) & (F.col("a.id") > F.col("b.id")) & (F.col("a.comp") != F.col("b.comp"))
+          & (left >= need))
+    return a.join(b, on).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``documents`` -> one row each: did, th, class_id (smallest did among texts
     with the same words), component_id (smallest did reachable by copies and
@@ -159,27 +187,25 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     same = same.select("w1", "w2", F.col("first.did").alias("id"), F.col("first.th").alias("first_th"))
     members = materialise(signed.join(same, ["w1", "w2"]).select("did", "th", "id", "first_th", "bands"), "members")
     reps = members.filter((F.col("did") == F.col("id")) & (F.col("th") == F.col("first_th")))
-    buckets = (reps.select("id", F.explode(F.array_distinct("bands")).alias("band")).distinct()
-               .repartition("band"))
-    leaders = (buckets.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("l1"),
-        F.min_by("id", F.xxhash64("id", F.lit(1))).alias("l2"), F.min_by("id", F.xxhash64("id", F.lit(2))).alias("l3"))
-        .filter("n > 1"))
-    shared = materialise(buckets.join(leaders, "band").select("band", "id", "l1", "l2", "l3"), "buckets")
-    stars = (shared.select("id", F.explode(F.array_distinct(F.array("l1", "l2", "l3"))).alias("l")).filter("id <> l")
+    buckets = reps.select("id", F.explode(F.array_distinct("bands")).alias("band")).distinct().repartition("band")
+    full = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = materialise(buckets.join(full, "band"), "buckets")
+    # leaders of a bucket: its smallest id, and the member that meets most others, which is the most central
+    centre = shared.groupBy("id").agg(F.sum("n").alias("score"))
+    leaders = shared.join(centre, "id").groupBy("band").agg(
+        F.min("id").alias("l1"), F.max(F.struct("score", (-F.col("id")).alias("m"))).alias("c"))
+    leaders = leaders.select("band", F.array_distinct(F.array("l1", -F.col("c.m"))).alias("leaders"))
+    stars = (shared.join(leaders, "band").select("id", F.explode("leaders").alias("l")).filter("id <> l")
              .select(F.greatest("id", "l").alias("a"), F.least("id", "l").alias("b")).distinct())
-    links = verified(stars, docs, reps, threshold)
-    groups = materialise(components(links), "groups")
+    sets = shingle_sets(docs, reps, shared.select("id").distinct())
+    links = verified(materialise(stars, "stars"), sets, threshold)
+    groups = components(links)
     # what a bucket still holds apart
     apart = shared.select("band", "id").join(groups, "id", "left").select(
         "band", "id", F.coalesce("component", "id").alias("comp"))
     open_ = apart.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    apart = materialise(apart.join(open_, "band", "left_semi"), "apart")
-    other = apart.select("band", F.col("id").alias("id2"), F.col("comp").alias("comp2"))
-    rest = (apart.join(other, "band").filter(F.col("comp") < F.col("comp2"))
-            .select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
-            .join(materialise(stars, "stars"), ["a", "b"], "left_anti"))
-    more = verified(rest, docs, reps, threshold)
+    nodes = materialise(apart.join(open_, "band", "left_semi").select("id", "comp").distinct(), "apart")
+    more = verified(materialise(prefix_pairs(nodes, sets, threshold), "rest"), sets, threshold)
     groups = materialise(components(links.unionByName(more)), "groups")
     out = members.join(groups, "id", "left").withColumn("component_id", F.coalesce("component", "id"))
     kept = (F.col("did") == F.col("component_id")) & (F.col("th") == F.col("first_th")) & (F.col("id") == F.col("component_id"))

@@ -21,8 +21,10 @@ BROADCAST_ROWS = 1_000_000
 #: xxhash64 of the empty string with Spark's seed 42 (fixed value).
 EMPTY_WORD = np.uint64(11002672306508523268)
 SHINGLE = 5
+#: Rows sent to a Python worker at a time while a table is written.
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
 #: Shingles handled at a time by the numpy passes, which bounds a task's memory.
-CHUNK = 400_000
+CHUNK = 200_000
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -31,7 +33,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_CONF, before)
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hpath)

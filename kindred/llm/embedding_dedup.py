@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from kindred.llm.common import components, materialise, union_find
 
 #: Vectors of which the centroids are fitted; vectors a cell; largest number of cells.
-SAMPLE, CELL, MAX_CELLS = 50_000, 256, 4096
+SAMPLE, CELL, MAX_CELLS = 50_000, 1024, 4096
 TILE = 2048
-#: Standard deviations, for a pair at the threshold, that a border may lie off.
+#: How far apart, in standard deviations of a pair at the threshold, the two
+#: vectors may lie across a border; either of them needs to come within half.
 BORDER = 3.5
 ROUNDS = 8
 
@@ -42,8 +43,7 @@ def spherical_kmeans(x: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
 def valid_vectors(vectors: DataFrame) -> DataFrame:
     """Rows with finite components and a positive norm, one per distinct vector:
     (id = smallest vec_id, copies, v, dim)."""
-    v = F.transform("embedding", lambda e: e.cast("double"))
-    rows = vectors.select("vec_id", v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
+    rows = vectors.select("vec_id", F.col("embedding").alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
     fine = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)
     return rows.filter(F.coalesce(fine, F.lit(False)))
 
@@ -64,7 +64,7 @@ def _assign(shared, threshold):
             if len(rows):
                 x = _unit(pdf["v"].iloc[rows])
                 gram = centroids @ centroids.T
-                slack = BORDER * np.sqrt(2 - 2 * threshold) / np.sqrt(centroids.shape[1])
+                slack = BORDER / 2 * np.sqrt(2 - 2 * threshold) / np.sqrt(centroids.shape[1])
                 for lo in range(0, len(rows), 1024):
                     s = x[lo:lo + 1024] @ centroids.T
                     best = s.argmax(axis=1)
@@ -152,9 +152,9 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFr
         centroids = spherical_kmeans(_unit(sample["v"]), k)
     shared = spark.sparkContext.broadcast(centroids)
     placed = reps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(
-        _assign(shared, threshold), "id long, copies long, v array<double>, owner long, visits array<long>")
+        _assign(shared, threshold), f"id long, copies long, v {dict(reps.dtypes)['v']}, owner long, visits array<int>")
     placed = materialise(placed, "cells")
-    at = placed.select("*", F.explode(F.concat(F.array("owner"), "visits")).alias("cell"))
+    at = placed.select("*", F.explode(F.concat(F.array("owner"), F.col("visits").cast("array<long>"))).alias("cell"))
     sizes = at.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))  # at most MAX_CELLS rows and one a dimension
     at = at.join(F.broadcast(sizes), "cell").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")))
     pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: F.struct(

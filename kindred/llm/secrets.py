@@ -25,11 +25,11 @@ PATTERNS = {"assign": ASSIGN, "access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24
 GUARDS = {"assign": "[:=]", "access": "AKIA[A-Z0-9]{16}", "hex": "[0-9a-f]{24}", "random": "[A-Za-z0-9+/_=-]{16}"}
 LEAST_VALUE = 6
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-ALPHA = 0.5
+ALPHA, KAPPA = 0.5, 10.0
 #: Documents of which the ordinary model is trained.
 SAMPLE_DOCS = 4000
 #: Log odds a token needs in all, and per character.
-TOTAL_ODDS, CHAR_ODDS = 12.0, 0.5
+TOTAL_ODDS, CHAR_ODDS = 10.0, 0.4
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -78,21 +78,26 @@ def model(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     spark = random.sparkSession
     letters = F.array(*[F.lit(c) for c in ALPHABET])
     grid = spark.range(1).select(F.explode(letters).alias("a")).select("a", F.explode(letters).alias("b"))
-    grid = grid.select("a", F.concat("a", "b").alias("pair"))
+    grid = grid.select("a", "b", F.concat("a", "b").alias("pair"))
     both = (grid.join(pair_counts(random, "r"), "pair", "left").join(pair_counts(ordinary, "o"), "pair", "left")
             .fillna(0, ["r", "o"]))
-    row = Window.partitionBy("a")
-    p = {c: (F.col(c) + ALPHA) / (F.sum(c).over(row) + ALPHA * len(ALPHABET)) for c in ("r", "o")}
+    before, after = Window.partitionBy("a"), Window.partitionBy("b")
+    p = {}
+    for c in ("r", "o"):  # transitions interpolated with the frequency of the second character
+        single = (F.sum(c).over(after) + ALPHA) / (F.sum(c).over(Window.partitionBy(F.lit(1))) + ALPHA * len(ALPHABET))
+        p[c] = (F.col(c) + KAPPA * single) / (F.sum(c).over(before) + KAPPA)
     return both.select("pair", (F.log(p["r"]) - F.log(p["o"])).alias("weight"))
 
 
 def train(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Models of the labelled samples: values of base spans against words of a
-    bounded sample of documents that are no base value."""
+    bounded sample of documents that do not mix letters with digits and are no
+    base value."""
     random = spans.filter("rank < 3").select(F.col("value").alias("token")).distinct()
     sample = hash_sample(docs.filter("doc_id is not null and text is not null"), SAMPLE_DOCS)
     words = sample.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9+/_=-]{6,}"), F.lit(0))).alias("token"))
-    return model(random, words.join(random, "token", "left_anti"))
+    plain = words.filter(~(F.col("token").rlike("[A-Za-z]") & F.col("token").rlike("[0-9]")))
+    return model(random, plain.join(random, "token", "left_anti"))
 
 
 def secret_spans(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from kindred.llm.language_id import held_out
 DECAY, LENGTH = 0.85, 3
 #: Labelled documents of each class that the SVM is fitted on.
 SAMPLE_DOCS = 6000
-LANDMARKS, NEUTRAL = 40, 8
+LANDMARKS, NEUTRAL = 72, 8
 #: Kernel vectors kept of one training document, the strongest ones.
 SENTENCES = 8
 #: Share of a landmark's letters that a word must have, also in order, and the
@@ -210,10 +210,12 @@ class Classifier:
         flat, n_flat = np.unique(np.round(flat, 6), axis=0, return_counts=True)
         toxic_bags = [b for b, l in zip(bags, labels) if l]
         pick = [int(b[:, :toxic].max(axis=1).argmax()) for b in toxic_bags]
+        spelled, n_spelled = self.respelled(marks[:toxic], toxic_bags)
         self.w = np.zeros(len(marks) + 1)
         for _ in range(3 if toxic_bags else 0):
             pos = np.array([b[i] for b, i in zip(toxic_bags, pick)])
             pos, n_pos = np.unique(np.round(pos[pos.any(axis=1)] if pos.any() else pos, 6), axis=0, return_counts=True)
+            pos, n_pos = np.vstack((pos, spelled)), np.concatenate((n_pos, n_spelled))
             x = self.features(np.vstack((pos, flat)))
             y = np.concatenate((np.ones(len(pos)), -np.ones(len(flat))))
             self.w = linear_svm(x, y, COST * np.concatenate((n_pos / n_pos.sum(), n_flat / n_flat.sum())))
@@ -221,6 +223,21 @@ class Classifier:
         worst = np.array([self.margin(b).max() for b in bags]) if bags else np.zeros(1)
         self.a, self.b = self.platt(worst, np.asarray(labels, dtype=float) if bags else np.zeros(1), shares)
 
+    def respelled(self, marks, bags) -> tuple[np.ndarray, np.ndarray]:
+        """Kernel vectors of toxic landmarks with one character doubled, dropped
+        or put in between, and their weights: together as much as the toxic
+        documents that have the landmark as it is."""
+        rows, weights = [np.zeros((0, len(self.kernel.marks)))], [np.zeros(0)]
+        for j, m in enumerate(marks):
+            inner = range(1, len(m))
+            words = [m[:i] + c + m[i:] for i in inner for c in (m[i], "x")] + [m[:i] + m[i + 1:] for i in inner]
+            found = [v for v in self.kernel.vectors(words) if len(v)]
+            support = sum(b[:, j].max() > 0.99 for b in bags)
+            if found:
+                rows.append(np.vstack(found))
+                weights.append(np.full(len(found), support / len(found)))
+        return np.vstack(rows), np.concatenate(weights)
+
     def features(self, k: np.ndarray) -> np.ndarray:
         return np.hstack((k @ self.map, np.full((len(k), 1), 2.0)))
 
@@ -265,7 +282,7 @@ def landmark_words(sample: DataFrame) -> tuple[list[str], int]:
               + F.col("c") * F.log(F.greatest(F.col("c"), F.lit(0.5)) * n / (both * total.c)))
     lean = counts.filter((F.col("t") >= 5) & (F.col("t") * total.c > 3 * F.col("c") * total.t)).withColumn("g2", g2)
     toxic = [(r.word, r.g2) for r in lean.orderBy(F.desc("g2"), "word").limit(LANDMARKS).collect()]
-    toxic = [w for w, g in toxic if g >= max(11.0, 0.03 * toxic[0][1])]
+    toxic = [w for w, g in toxic if g >= max(11.0, 0.015 * toxic[0][1])]
     neutral = counts.orderBy(F.desc("c"), "word").limit(NEUTRAL + len(toxic)).collect()
     return toxic + [r.word for r in neutral if r.word not in toxic][:NEUTRAL], len(toxic)
 

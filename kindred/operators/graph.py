@@ -59,16 +59,14 @@ def _is_star_forest(e: DataFrame) -> bool:
     return targets.join(e.select("kind", "src"), ["kind", "src"], "left_semi").limit(1).count() == 0
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(kind, src, dst)`` -> ``(kind, id, component)`` where component is
     the smallest id of the connected group; only ids with at least one edge."""
     e = cut_lineage(_normalise(edges))
-    for _ in range(max_rounds):
+    while True:  # every round shrinks the forest's depth; ends with stars
         e = cut_lineage(_small_star(_large_star(e)))
         if _is_star_forest(e):
             break
-    else:
-        raise RuntimeError("connected components did not converge")
     members = e.select("kind", F.col("src").alias("id"), F.col("dst").alias("component"))
     roots = e.select("kind", F.col("dst").alias("id"), F.col("dst").alias("component")).distinct()
     return members.unionByName(roots)

@@ -20,13 +20,9 @@ def target_partitions(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition ``df`` by ``cols`` when it has fewer partitions than the
-    cluster can run at once (small inputs read as one split); large inputs keep
-    their scan partitioning and pay no extra shuffle."""
-    n = target_partitions(df)
-    if df.rdd.getNumPartitions() >= n:
-        return df
-    return df.repartition(n, *cols)
+    """Hash-partition ``df`` by ``cols`` over what the cluster can run at once,
+    so that a small input read as one split still uses all cores."""
+    return df.repartition(target_partitions(df), *cols)
 
 
 def balance(df: DataFrame, *cols: str, tasks_per_core: int = 4) -> DataFrame:

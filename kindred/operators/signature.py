@@ -24,27 +24,58 @@ def md5_low64(s: Column) -> Column:
     return F.conv(F.substring(F.md5(s), 17, 16), 16, -10).cast("long")
 
 
+def simhash_batch(texts: Sequence[str | None]) -> list[int | None]:
+    """SimHash of texts as signed 64-bit integers: 3-character shingles packed
+    from code points, one MD5 per distinct shingle of the batch, votes in numpy.
+
+    A text shorter than three characters is one shingle; an empty one has
+    signature 0; null stays null."""
+    points = [np.frombuffer(t.encode("utf-32-le"), dtype="<u4").astype(np.uint64) + np.uint64(1) if t else None for t in texts]
+    grams = []
+    for p in points:
+        if p is None:
+            grams.append(np.zeros(0, dtype=np.uint64))
+            continue
+        if len(p) < 3:
+            p = np.concatenate((p, np.zeros(3 - len(p), dtype=np.uint64)))
+        grams.append((p[:-2] << np.uint64(42)) | (p[1:-1] << np.uint64(21)) | p[2:])
+    if not grams:
+        return []
+    distinct, at = np.unique(np.concatenate(grams), return_inverse=True)
+    low = bytearray()
+    for g in distinct.tolist():
+        text = "".join(chr(c - 1) for c in (g >> 42, (g >> 21) & 0x1FFFFF, g & 0x1FFFFF) if c)
+        low += hashlib.md5(text.encode("utf-8")).digest()[8:]
+    words = np.frombuffer(bytes(low), dtype=">u8").astype("<u8").view(np.uint8).reshape(-1, 8)
+    out: list[int | None] = []
+    start = 0
+    for t, g in zip(texts, grams):
+        own = at[start:start + len(g)]
+        start += len(g)
+        if t is None:
+            out.append(None)
+            continue
+        ones = np.zeros(64, dtype=np.int64)
+        for lo in range(0, len(own), 1 << 16):
+            ones += np.unpackbits(words[own[lo:lo + (1 << 16)]], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        bits = np.packbits(2 * ones > len(own), bitorder="little")
+        out.append(int(bits.view("<i8")[0]))
+    return out
+
+
 def simhash_value(text: str | None, bits: int = 64) -> int | None:
-    """SimHash of one text as a signed 64-bit integer (numpy vote over shingles)."""
-    if text is None:
-        return None
-    if not text:
-        return 0
-    n = len(text)
-    shingles = [text[i:i + 3] for i in range(n - 2)] if n >= 3 else [text]
-    low = b"".join(hashlib.md5(s.encode("utf-8")).digest()[8:] for s in shingles)
-    words = np.frombuffer(low, dtype=">u8").astype("<u8")
-    ones = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0,
-                                                                                              dtype=np.int64)
-    sig = 0
-    for i in np.flatnonzero(2 * ones[:bits] > len(shingles)):
-        sig |= 1 << int(i)
-    return sig - (1 << 64) if sig >= 1 << 63 else sig
+    """SimHash of one text; only the lowest ``bits`` bits are set."""
+    h = simhash_batch([text])[0]
+    if h is None or bits == 64:
+        return h
+    return h & ((1 << bits) - 1)
 
 
 @F.pandas_udf(LongType())
 def _simhash_udf(texts: pd.Series) -> pd.Series:
-    return pd.Series([simhash_value(t) for t in texts.tolist()], dtype="Int64")
+    values = texts.tolist()
+    parts = [simhash_batch(values[i:i + 256]) for i in range(0, len(values), 256)]
+    return pd.Series([h for p in parts for h in p], dtype="Int64")
 
 
 def simhash(df: DataFrame, text: str = "value", keys: Sequence[str] = ("kind", "id"),

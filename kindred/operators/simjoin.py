@@ -35,23 +35,36 @@ def _texts(df: DataFrame, include_empty: bool) -> DataFrame:
     return t if include_empty else t.filter(F.length("value") > 0)
 
 
-SHORT_TEXT = 256   # up to this length the JVM banded DP beats shipping rows to Python
+def _collapse(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact copies of a kind become one row: ``(reps(kind, id, value),
+    members(kind, id, rep))`` with the smallest id as representative."""
+    groups = texts.groupBy("kind", "value").agg(F.min("id").alias("rep"))
+    members = cut_lineage(texts.join(groups, ["kind", "value"]).select("kind", "id", "rep"))
+    return groups.select("kind", F.col("rep").alias("id"), "value"), members
+
+
+def _expand(scored: DataFrame, members: DataFrame) -> DataFrame:
+    """Scored pairs of representatives -> pairs of all rows; copies of one text
+    are pairs with score 100."""
+    l = members.select("kind", F.col("id").alias("_a"), F.col("rep").alias("id"))
+    r = members.select("kind", F.col("id").alias("_b"), F.col("rep").alias("sim_id"))
+    apart = scored.join(l, ["kind", "id"]).join(r, ["kind", "sim_id"]).select("kind", "_a", "_b", "score")
+    copies = (members.select("kind", "rep", F.col("id").alias("_a"))
+              .join(members.select("kind", "rep", F.col("id").alias("_b")), ["kind", "rep"])
+              .filter(F.col("_a") < F.col("_b")).select("kind", "_a", "_b", F.lit(100.0).alias("score")))
+    return apart.unionByName(copies).select(
+        "kind", F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("sim_id"), "score")
 
 
 def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
-                engine: str = "auto") -> DataFrame:
+                engine: str = "bitparallel") -> DataFrame:
     """Exact score of candidate pairs ``(kind, id, sim_id)``, kept when >= T.
 
     Texts are joined back by ``(kind, id)`` twice, the pairs are spread evenly
     over the cluster (the cost is CPU, not bytes), the lossless length bound
     drops hopeless pairs, and the edit distance runs with the largest distance
-    that can still pass as early-exit bound.  ``engine='builtin'`` uses Spark's
-    banded ``levenshtein``; the bit-parallel UDF gives the same value.  ``auto``
-    (one aggregate over the text lengths) takes the built-in when every text is
-    short, where per-row transfer to Python would cost more than the DP."""
-    if engine == "auto":
-        longest = texts.agg(F.max(F.length("value"))).first()[0] or 0
-        engine = "builtin" if longest <= SHORT_TEXT else "bitparallel"
+    that can still pass as early-exit bound.  All lengths take the same plan;
+    ``engine='builtin'`` uses Spark's ``levenshtein`` and gives the same value."""
     l = texts.select("kind", "id", F.col("value").alias("_lv"))
     r = texts.select("kind", F.col("id").alias("sim_id"), F.col("value").alias("_rv"))
     joined = cands.select("kind", "id", "sim_id").join(l, ["kind", "id"]).join(r, ["kind", "sim_id"])
@@ -76,19 +89,15 @@ def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
 
 # --- J4 / J6: length range joins -----------------------------------------
 
-def _length_band_join(df: DataFrame, ratio: float, carry: str | None = None) -> DataFrame:
+def _length_band_join(df: DataFrame, ratio: float) -> DataFrame:
     """Pairs ``(a, b)`` with ``(len_a, id_a) < (len_b, id_b)`` and ``len_a/len_b``
     possibly >= ``ratio``: bucket ``floor(ln len / ln(1/ratio))``, the shorter
-    side probes its bucket and the next one, equi-join on ``(kind, bucket)``.
-    ``carry`` names a column brought along as ``_lv``/``_rv`` (short texts)."""
+    side probes its bucket and the next one, equi-join on ``(kind, bucket)``."""
     width = max(ratio - 1e-9, 1e-9)
-    extra = [carry] if carry else []
-    base = df.select("kind", "id", "len", *extra, S.log_bucket(F.col("len"), width).alias("_b"))
-    lx = [F.col(carry).alias("_lv")] if carry else []
-    rx = [F.col(carry).alias("_rv")] if carry else []
-    left = base.select("kind", F.col("id").alias("id"), F.col("len").alias("_ll"), *lx,
+    base = df.select("kind", "id", "len", S.log_bucket(F.col("len"), width).alias("_b"))
+    left = base.select("kind", F.col("id").alias("id"), F.col("len").alias("_ll"),
                        F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("_b"))
-    right = base.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("_rl"), *rx, "_b")
+    right = base.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("_rl"), "_b")
     j = left.join(right, ["kind", "_b"])
     return j.filter((F.col("_ll") < F.col("_rl")) |
                     ((F.col("_ll") == F.col("_rl")) & (F.col("id") < F.col("sim_id"))))
@@ -143,22 +152,13 @@ def prefix_pairs(df: DataFrame, min_similarity: float) -> DataFrame:
 def near_duplicates_exact(df: DataFrame, threshold: float = 75, include_empty: bool = False) -> DataFrame:
     """Every pair of one kind whose rounded score is >= ``threshold``.
 
-    Candidate pairs come from the lossless length-ratio band join (J4 with the
-    rounding slack), then the banded Levenshtein decides."""
-    texts = _texts(df, include_empty)
-    lens = texts.select("kind", "id", "value", F.length("value").alias("len"))
+    Candidate pairs of distinct texts come from the lossless length-ratio band
+    join (J4 with the rounding slack), then the edit distance decides."""
+    texts, members = _collapse(_texts(df, include_empty))
+    lens = texts.select("kind", "id", F.length("value").alias("len"))
     r = (threshold - 0.005) / 100.0
-    longest = texts.agg(F.max(F.length("value"))).first()[0] or 0
-    if longest <= SHORT_TEXT:
-        # short texts ride along the band join and are scored where the pair
-        # is formed: no join-back of texts, no extra shuffle of the pairs
-        j = _length_band_join(lens, r, carry="value").filter(
-            S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-        scored = j.select("kind", F.least("id", "sim_id").alias("id"), F.greatest("id", "sim_id").alias("sim_id"),
-                          S.thresholded_score("_lv", "_rv", threshold, F.col("_ll"), F.col("_rl")).alias("score"))
-        return scored.filter(F.col("score") >= F.lit(float(threshold))).select(*PAIR_COLS)
-    cands = _length_band_join(lens.drop("value"), r).filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return score_pairs(_ordered(cands), texts, threshold, engine="bitparallel")
+    cands = _length_band_join(lens, r).filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
+    return _expand(score_pairs(_ordered(cands), texts, threshold), members)
 
 
 # --- J7 / J8 / J9: SimHash paths ----------------------------------------------
@@ -220,27 +220,30 @@ def lsh_pairs(sig: DataFrame, max_hamming: int, bits: int = 64, bands: int = 16)
 def near_duplicates_simhash(df: DataFrame, threshold: float = 75, bits: int = 64,
                             include_empty: bool = False) -> DataFrame:
     """Hamming distance <= ``int((1-T/100)*bits)``, then exact score >= T."""
-    texts = _texts(df, include_empty)
+    texts, members = _collapse(_texts(df, include_empty))
     sig = signatures(texts, bits)
     cands = hamming_pairs(sig, S.hamming_threshold(threshold, bits), bits)
     cands = cands.filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return score_pairs(cands, texts, threshold)
+    return _expand(score_pairs(cands, texts, threshold), members)
 
 
 def near_duplicates_lsh(df: DataFrame, threshold: float = 75, bits: int = 64, bands: int = 16,
                         include_empty: bool = False) -> DataFrame:
     """J9 (flagship): SimHash -> LSH bands -> Hamming gate -> exact score >= T."""
-    texts = _texts(df, include_empty)
+    texts, members = _collapse(_texts(df, include_empty))
     sig = signatures(texts, bits)
     cands = lsh_pairs(sig, S.hamming_threshold(threshold, bits), bits, bands)
     cands = cands.filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return score_pairs(cands, texts, threshold)
+    return _expand(score_pairs(cands, texts, threshold), members)
 
 
-def near_duplicates(df: DataFrame, threshold: float = 50, method: str = "auto", bits: int = 64,
+def near_duplicates(df: DataFrame, threshold: float = 50, method: str = "lsh", bits: int = 64,
                     bands: int = 16, small_kind: int = 10) -> DataFrame:
-    """Method dispatch.  ``auto`` runs the SimHash join (J7) for kinds of at
-    most ``small_kind`` rows and LSH (J9) for the rest, in one job."""
+    """Method dispatch: ``exact`` (J3), ``simhash`` (J7) or ``lsh``.
+
+    ``auto`` is the reference's own rule and must be asked for: SimHash for kinds
+    of at most ``small_kind`` rows, LSH for larger ones, in one job; which pairs
+    it finds depends on the size of a kind."""
     if method == "exact":
         return near_duplicates_exact(df, threshold)
     if method == "simhash":

@@ -13,17 +13,14 @@ from kindred.functions.text import alnum_lower, ascii_alnum_lower
 from kindred.session import read_table
 
 
-def fx_docs(spark: SparkSession, sf_dir: str, unicode: bool = False) -> DataFrame:
-    """Compare rows from ``documents``: block = (lang, source), whole text.
-
-    ``unicode=False`` keeps ASCII letters and digits only, so edit distances
-    agree with engines that count bytes; ``True`` is the reference rule (P3)."""
+def fx_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compare rows from ``documents``: block = (lang, source), whole text in the
+    reference's form (P3: all Unicode letters and digits, lower-cased)."""
     d = read_table(spark, sf_dir, "documents")
-    norm = alnum_lower if unicode else ascii_alnum_lower
     return d.select(F.col("doc_id").alias("id"),
                     F.concat(F.col("lang"), F.lit("_"), F.col("source")).alias("kind"),
                     (F.col("doc_id") % 5).cast("int").alias("check_admin"),
-                    norm(F.col("text")).alias("value"),
+                    alnum_lower(F.col("text")).alias("value"),
                     F.col("text").alias("value_original"))
 
 

@@ -17,8 +17,8 @@ THRESHOLD = 75.0
 BITS, BANDS = 64, 16
 
 
-def near_copy_summary(spark: SparkSession, sf_dir: str, unicode: bool = True) -> DataFrame:
-    rows = fx_docs(spark, sf_dir, unicode=unicode)
+def near_copy_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fx_docs(spark, sf_dir)
     pairs = near_duplicates_lsh(rows, THRESHOLD, BITS, BANDS)
     summary = match_summary(mirror(pairs))
     return summary.join(rows.select("kind", "id", "check_admin"), ["kind", "id"]).select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 DOCS_CTE = """docs AS (
   SELECT doc_id AS id, lang || '_' || source AS kind, CAST(doc_id % 5 AS INTEGER) AS check_admin,
-         lower(regexp_replace(text, '[^a-zA-Z0-9]', '', 'g')) AS value
+         lower(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS value
   FROM documents)"""
 
 SHORT_CTE = """docs AS (
@@ -49,9 +49,15 @@ def band_any(x: str, bits: int, bands: int) -> str:
     return "(" + " OR ".join(f"(({x} >> {b * rows}) & {mask}::UBIGINT) = 0" for b in range(bands)) + ")"
 
 
+#: The letters outside ASCII that normalised documents hold, and unused ASCII
+#: characters to stand for them: DuckDB's levenshtein counts bytes.
+NON_ASCII, STAND_IN = "éßèíñçäóêöü", "!#$%&()*+,-"
+
+
 def score_expr(a: str, b: str) -> str:
+    la, lb = (f"translate({x}, '{NON_ASCII}', '{STAND_IN}')" for x in (a, b))
     m = f"greatest(length({a}), length({b}))"
-    return (f"(CASE WHEN {m} = 0 THEN 100.0 ELSE round_even(({m} - levenshtein({a}, {b}))::DOUBLE / {m} * 100, 2) END)")
+    return (f"(CASE WHEN {m} = 0 THEN 100.0 ELSE round_even(({m} - levenshtein({la}, {lb}))::DOUBLE / {m} * 100, 2) END)")
 
 
 REVIEWED_CTE = """rv AS (

@@ -26,10 +26,10 @@ def write_per_kind(df: DataFrame, path: str, match_col: str = "similarities", mo
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV, every field a string, quoted multi-line fields up to 10^6
-    characters, UTF-8 with or without BOM."""
+    """Header CSV, every field a string, quoted multi-line fields of any
+    length, UTF-8 with or without BOM."""
     df = (spark.read.option("header", True).option("inferSchema", False).option("multiLine", True)
-          .option("quote", '"').option("escape", '"').option("maxCharsPerColumn", 1_000_000)
+          .option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1)
           .option("encoding", "UTF-8").csv(path))
     first = df.columns[0] if df.columns else None
     if first is not None and first.startswith("﻿"):

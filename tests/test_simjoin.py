@@ -45,7 +45,7 @@ def test_builtin_and_bitparallel_engines_agree(spark, short_rows):
     t = J._texts(short_rows, False)
     lens = t.select("kind", "id", F.length("value").alias("len"))
     cands = J._ordered(J._length_band_join(lens, 0.5))
-    a = {tuple(r) for r in J.score_pairs(cands, t, 60).collect()}
+    a = {tuple(r) for r in J.score_pairs(cands, t, 60, engine="bitparallel").collect()}
     b = {tuple(r) for r in J.score_pairs(cands, t, 60, engine="builtin").collect()}
     assert a == b and a
 
@@ -91,3 +91,17 @@ def test_mirror_gives_both_directions(spark, short_rows):
     p = J.near_duplicates_exact(short_rows, 90)
     m = J.mirror(p)
     assert m.count() == 2 * p.count()
+
+
+def test_documents_hold_no_other_letters_than_the_oracle_maps(spark, sf):
+    from kindred.plans.oracle import NON_ASCII, STAND_IN
+    chars = fx_docs(spark, sf).select(F.explode(F.split("value", "")).alias("c")).distinct()
+    assert {r.c for r in chars.collect() if r.c and ord(r.c) > 127} <= set(NON_ASCII)
+    assert len(NON_ASCII) == len(STAND_IN) == 11
+    assert not {r.c for r in chars.collect()} & set(STAND_IN)
+
+
+def test_copies_collapse_and_expand(spark):
+    rows = spark.createDataFrame([("k", 1, "hello"), ("k", 2, "hello"), ("k", 3, "helo"), ("m", 4, "hello")], "kind string, id long, value string")
+    got = {(r.id, r.sim_id): r.score for r in J.near_duplicates_exact(rows, 75).collect()}
+    assert got == {(1, 2): 100.0, (1, 3): 80.0, (2, 3): 80.0}

@@ -218,7 +218,44 @@ def answer_check_text(col1, col2, pattern: str, group: int = 0) -> Column:
             .otherwise(clean_b(remove_special(F.element_at(found, 1))) == clean_b(remove_special(col2))))
 
 
-def _sql_name(c) -> str:
-    if isinstance(c, str):
-        return "`" + c + "`"
-    raise TypeError("column name expected")
+# --- P13, P14, T10: text of HTML ---------------------------------------------------
+# Rule: script and style elements, comments and the doctype give their content as
+# text; every other tag (``<`` and a letter, ``/``, ``!`` or ``?`` up to ``>``) is
+# cut out; then the named character references below are decoded once.
+
+HTML_TOKEN = (r"(?is)<script\b[^>]*>(.*?)</script>|<style\b[^>]*>(.*?)</style>|<!--(.*?)-->"
+              r"|<!doctype\s+([^>]*)>|<[a-z/!?][^>]*>")
+#: Named character references, the ampersand last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
+            ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&hellip;", "\u2026"),
+            ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&amp;", "&"))
+
+
+def decode_entities(c) -> Column:
+    out = _c(c)
+    for name, char in ENTITIES:
+        out = F.replace(out, F.lit(name), F.lit(char))
+    return out
+
+
+def text_of_html(c) -> Column:
+    """All text nodes joined; a text without a tag stays as it is."""
+    return F.when(contains_html(c), decode_entities(F.regexp_replace(_c(c), HTML_TOKEN, "$1$2$3$4"))).otherwise(_c(c))
+
+
+def latin_text_of_html(c) -> Column:
+    """Stripped text nodes that hold a Latin letter or a digit, joined; a
+    leading ``()`` before the first tag stays."""
+    nodes = F.split(F.regexp_replace(_c(c), HTML_TOKEN, "\x01$1$2$3$4\x01"), "\x01")
+    kept = F.filter(F.transform(nodes, lambda n: py_strip(decode_entities(n))), lambda n: n.rlike("[a-zA-Z0-9]"))
+    lead = F.when(_c(c).startswith("()<"), F.lit("()")).otherwise(F.lit(""))
+    return F.when(contains_html(c), F.concat(lead, F.array_join(kept, ""))).otherwise(_c(c))
+
+
+def p_tags_balanced(c) -> Column:
+    """As many ``<p>`` elements opened (outside scripts, styles and comments)
+    as there are ``</p>`` in the raw text."""
+    shown = F.regexp_replace(_c(c), r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->", "")
+    opened = F.regexp_count(shown, F.lit(r"(?i)<p[\s/>]"))
+    closed = F.regexp_count(_c(c), F.lit("</p>"))
+    return F.when(contains_html(c), opened == closed).otherwise(F.lit(True))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kindred.operators import exams as E
 from kindred.operators.validate import error_counts, first_error, flatten_json_list
 from kindred.plans import fixtures as fx
-from kindred.plans.registry import register
+from kindred.plans.registry import ORACLE, register
 
 FILL = "('ko', 'ja', 'fr', 'ru')"
 
@@ -34,20 +34,31 @@ def q_e7(spark, d):
     return t.select("id", F.explode(E.fill_translations("translate")).alias("lang", "text"))
 
 
-@register("E8")
+E8_SQL = f"""WITH tr AS ({ORACLE['E7']}),
+base AS (SELECT DISTINCT id FROM ({{ids}})),
+q AS (SELECT id, id // 1000 AS conv, row_number() OVER (PARTITION BY id // 1000 ORDER BY id) - 1 AS qpos FROM base)
+SELECT q.conv AS id, CAST(q.qpos AS INTEGER) AS qpos, f.field, tr.lang, tr.text
+FROM q JOIN tr ON tr.id = q.id, (SELECT unnest(['text', 'audio', 'explain']) AS field) f"""
+
+
+@register("E8", E8_SQL.format(ids="SELECT conv_id * 1000 + turn AS id FROM conversations"))
 def q_e8(spark, d):
-    # translations inside parts -> content -> Questions -> general / content.explain
+    # translations inside parts -> content -> Questions -> general / content.explain, questions in turn order
     t = fx.fx_translations(spark, d).withColumn("conv", (F.col("id") / 1000).cast("long"))
-    q = F.struct(F.struct(F.col("translate").alias("G_text_translate"),
-                          F.col("translate").alias("G_text_audio_translate")).alias("general"),
-                 F.array(F.struct(F.col("translate").alias("explain"))).alias("content"))
-    per = t.groupBy("conv").agg(F.collect_list(q).alias("Questions"))
+    q = F.struct("id", F.struct(F.struct(F.col("translate").alias("G_text_translate"),
+                                         F.col("translate").alias("G_text_audio_translate")).alias("general"),
+                                F.array(F.struct(F.col("translate").alias("explain"))).alias("content")).alias("q"))
+    per = t.groupBy("conv").agg(F.transform(F.array_sort(F.collect_list(q), lambda a, b: F.when(
+        a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)), lambda x: x["q"]).alias("Questions"))
     exams = per.select(F.col("conv").alias("id"),
                        F.array(F.struct(F.array(F.struct("Questions")).alias("content"))).alias("parts"))
     filled = exams.select("id", E.fill_exam_translations("parts").alias("parts"))
     qs = filled.select("id", F.explode("parts").alias("p")).select("id", F.explode("p.content").alias("g")).select(
         "id", F.posexplode("g.Questions").alias("qpos", "q"))
-    return qs.select("id", "qpos", F.explode("q.general.G_text_translate").alias("lang", "text"))
+    fields = F.create_map(F.lit("text"), F.col("q.general.G_text_translate"), F.lit("audio"), F.col("q.general.G_text_audio_translate"),
+                          F.lit("explain"), F.get("q.content", 0)["explain"])
+    return qs.select("id", "qpos", F.explode(fields).alias("field", "t")).select(
+        "id", "qpos", "field", F.explode("t").alias("lang", "text"))
 
 
 @register("E10")

@@ -438,13 +438,25 @@ redges AS (SELECT kind, id AS src, sim_id AS dst FROM filled),
 
 @register("G3", f"""WITH {REVIEWED_COMP},
 st AS (SELECT kind, component, max(id) AS mx, count(DISTINCT id) AS n FROM comp GROUP BY kind, component),
-kept AS (SELECT c.kind, c.component, c.id FROM comp c JOIN st USING (kind, component) WHERE c.id <> st.mx OR st.n = 1)
-SELECT kind, component, id FROM kept WHERE id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+kept AS (SELECT c.kind, c.component, c.id FROM comp c JOIN st USING (kind, component) WHERE c.id <> st.mx OR st.n = 1),
+first_ AS (SELECT kind, min(pos) AS kind_pos FROM filled WHERE kind IS NOT NULL GROUP BY kind)
+SELECT kind, component, id, CAST(row_number() OVER (ORDER BY kind_pos, component, id) - 1 AS BIGINT) AS position
+FROM kept JOIN first_ USING (kind) WHERE id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
 def q_g3(spark, d):
     from kindred.plans.related import related_pipeline
     from kindred.session import read_table
     ex = read_table(spark, d, "labels").filter("toxic = 1").select("doc_id")
-    return related_pipeline(fx.fx_reviewed(spark, d), ex).select("kind", "component", "id")
+    return related_pipeline(fx.fx_reviewed(spark, d), ex).select("kind", "component", "id", "position")
+
+
+@register("O6", f"""WITH {REVIEWED_COMP},
+first_ AS (SELECT kind, min(pos) AS kind_pos FROM filled WHERE kind IS NOT NULL GROUP BY kind)
+SELECT kind, id, CAST(row_number() OVER (ORDER BY kind_pos, component, id) - 1 AS BIGINT) AS position
+FROM comp JOIN first_ USING (kind)""")
+def q_o6(spark, d):
+    from kindred.plans.related import flat_ids, related_groups
+    filled = _filled(spark, d)
+    return flat_ids(related_groups(filled), filled).select("kind", "id", "position")
 
 
 @register("A4", f"""WITH {REVIEWED_COMP},

@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from kindred.operators.fill import forward_fill
+from kindred.operators.fill import forward_fill, sequential_ids
 from kindred.operators.graph import connected_components, drop_largest
 
 FILL_COLS = ("id", "value", "kind", "check_admin")
@@ -60,22 +59,17 @@ def exclude_ids(df: DataFrame, exceptions: DataFrame, col: str = "id") -> DataFr
     return df.join(ex, col, "left_anti")
 
 
-def flat_ids(kept: DataFrame, kind_pos: DataFrame | None = None) -> DataFrame:
-    """One row per kept id with its position in the flattened list (kinds in
-    first-appearance order, groups by smallest id, ids ascending)."""
-    if kind_pos is None:
-        kind_pos = kept.select("kind").distinct().withColumn("kind_pos", F.lit(0))
-    j = kept.join(kind_pos, "kind")
-    return j.select("kind", "component", "id", "kind_pos")
+def flat_ids(kept: DataFrame, filled: DataFrame) -> DataFrame:
+    """Kept ids ``(kind, component, id)`` as one flat list with ``position``
+    from 0: kinds in first-appearance order, groups by smallest id, ids ascending."""
+    first = filled.filter(F.col("kind").isNotNull()).groupBy("kind").agg(F.min("pos").alias("kind_pos"))
+    return sequential_ids(kept.join(first, "kind"), ["kind_pos", "component", "id"], 0, out="position",
+                          chunk_cols=["kind_pos"], pos="component").drop("kind_pos")
 
 
 def related_pipeline(rows: DataFrame, exceptions: DataFrame) -> DataFrame:
-    """Reviewed rows -> kept ids ``(kind, component, id)``."""
+    """Reviewed rows -> kept ids ``(kind, component, id, position)``."""
     filled = fill_reviewed(rows)
     comps = related_groups(filled)
     kept = drop_largest(comps)
-    return exclude_ids(kept, exceptions)
-
-
-def rank_within(df: DataFrame, part: list[str], order: list[str], out: str = "rank") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    return flat_ids(exclude_ids(kept, exceptions), filled)

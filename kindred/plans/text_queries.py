@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kindred.functions import text as X
-from kindred.functions.html import latin_text_of_html, p_tags_balanced, text_of_html
+from kindred.operators.signature import md5_low64
+from kindred.plans.oracle import signed
 from kindred.plans.registry import register
 from kindred.session import read_table
 
@@ -94,10 +95,11 @@ def q_p4(spark, d):
     return _docs(spark, d).select("id", F.length("text").alias("length"))
 
 
-@register("P5")
+@register("P5", f"""WITH h AS (SELECT doc_id AS id,
+  ('0x' || substr(md5(lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g'))), 17, 16))::UBIGINT AS u FROM documents)
+SELECT id, {signed('u')} AS hash FROM h""")
 def q_p5(spark, d):
-    v = X.alnum_lower(F.col("text"))
-    return _docs(spark, d).select("id", F.xxhash64(v).alias("hash"))
+    return _docs(spark, d).select("id", md5_low64(X.alnum_lower(F.col("text"))).alias("hash"))
 
 
 @register("P7", """SELECT doc_id AS id,
@@ -133,19 +135,44 @@ def q_p12(spark, d):
     return _pages(spark, d).select("id", X.html_to_lines(F.col("text")).alias("lines"))
 
 
-@register("P13")
+# The rule of P13, P14 and T10 in DuckDB's regular expressions.
+_TOKENS = ("(?is)<script\\b[^>]*>(.*?)</script>|<style\\b[^>]*>(.*?)</style>|<!--(.*?)-->"
+           "|<!doctype\\s+([^>]*)>|<[a-z/!?][^>]*>")
+
+
+def _decoded(x: str) -> str:
+    for name, code in (("lt", 60), ("gt", 62), ("quot", 34), ("apos", 39), ("#39", 39), ("nbsp", 160), ("copy", 169),
+                       ("reg", 174), ("middot", 183), ("hellip", 8230), ("ndash", 8211), ("mdash", 8212), ("amp", 38)):
+        x = f"replace({x}, '&{name};', chr({code}))"
+    return x
+
+
+_CUT = f"regexp_replace(html, '{_TOKENS}', '\\1\\2\\3\\4', 'g')"
+_CUT_APART = f"regexp_replace(html, '{_TOKENS}', chr(1) || '\\1\\2\\3\\4' || chr(1), 'g')"
+_STRIPPED = f"regexp_replace({_decoded('x')}, '^\\s+|\\s+$', '', 'g')"
+
+
+@register("P13", f"SELECT page_id AS id, CASE WHEN regexp_matches(html, '<.*?>') THEN {_decoded(_CUT)} ELSE html END AS text FROM pages")
 def q_p13(spark, d):
-    return _pages(spark, d).select("id", text_of_html(F.col("text")).alias("text"))
+    return _pages(spark, d).select("id", X.text_of_html(F.col("text")).alias("text"))
 
 
-@register("P14")
+@register("P14", f"""SELECT page_id AS id, CASE WHEN regexp_matches(html, '<.*?>') THEN
+  CASE WHEN starts_with(html, '()<') THEN '()' ELSE '' END || coalesce(array_to_string(list_filter(
+    list_transform(string_split({_CUT_APART}, chr(1)), lambda x: {_STRIPPED}), lambda y: regexp_matches(y, '[a-zA-Z0-9]')), ''), '')
+  ELSE html END AS text FROM pages""")
 def q_p14(spark, d):
-    return _pages(spark, d).select("id", latin_text_of_html(F.col("text")).alias("text"))
+    return _pages(spark, d).select("id", X.latin_text_of_html(F.col("text")).alias("text"))
 
 
-@register("T10")
+@register("T10", """SELECT page_id AS id,
+  NOT regexp_matches(html, '<.*?>') OR len(regexp_extract_all(regexp_replace(html,
+    '(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->', '', 'g'), '(?i)<p[\\s/>]'))
+    = (length(html) - length(replace(html, '</p>', ''))) // 4 AS p_balanced,
+  NOT regexp_matches(html, '<.*?>') OR len(regexp_extract_all(html, '(?i)<p(\\s[^>]*)?/?>'))
+    = (length(html) - length(replace(html, '</p>', ''))) // 4 AS p_balanced_regex FROM pages""")
 def q_t10(spark, d):
-    return _pages(spark, d).select("id", p_tags_balanced(F.col("text")).alias("p_balanced"),
+    return _pages(spark, d).select("id", X.p_tags_balanced(F.col("text")).alias("p_balanced"),
                                    X.p_tags_balanced_regex(F.col("text")).alias("p_balanced_regex"))
 
 

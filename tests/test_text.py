@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import text as X
-from kindred.functions.html import html_text, html_text_latin, p_balanced
 
 
 def one(spark, expr, value):
@@ -59,10 +58,10 @@ def test_answer_checks(spark):
     assert got == [True, True, False, False]
 
 
-def test_html_helpers():
+def test_html_helpers(spark):
     html = '<p>A &amp; B</p><script>var t="</p>";</script><!-- c -->'
-    assert html_text(html) == 'A & Bvar t="</p>"; c '
-    assert html_text("plain") == "plain"
-    assert p_balanced(html) is False
-    assert p_balanced("<p>a</p>") is True
-    assert html_text_latin("()<b>ab</b><i> 12 </i><u>--</u>") == "()ab12"
+    assert one(spark, X.text_of_html, html) == 'A & Bvar t="</p>"; c '
+    assert one(spark, X.text_of_html, "plain &amp;") == "plain &amp;"
+    assert one(spark, X.p_tags_balanced, html) is False
+    assert one(spark, X.p_tags_balanced, "<p class='x'>a</p>") is True
+    assert one(spark, X.latin_text_of_html, "()<b>ab</b><i> 12 </i><u>--</u>") == "()ab12"

@@ -19,7 +19,7 @@ GENERAL_MODEL = {"G_text": "list", "G_text_translate": dict(_LANG6), "G_text_aud
 CONTENT_ITEM_MODEL = {"Q_text": "str", "Q_audio": "str", "Q_image": "str", "A_text": ["str"], "A_audio": "list",
                       "A_image": "list", "A_correct": ["str"], "explain": dict(_LANG6), "A_more_correct": ["str"],
                       "advance_explain": {"vi": "str", "en": "str"}, "langExplainAdvance": ["str"]}
-QUESTION_MODEL = {"id": "int", "kind": "str", "general": GENERAL_MODEL, "content": ["dict"], "scores": ["float"]}
+QUESTION_MODEL = {"id": "int", "kind": "str", "general": GENERAL_MODEL, "content": [CONTENT_ITEM_MODEL], "scores": ["float"]}
 # --------------------------------------------------------------------------
 
 # variant type names accepted for each Python type (bool is an int in Python)
@@ -57,6 +57,15 @@ def _field(v: Column, name: str) -> Column:
     return F.try_variant_get(v, f'$["{name}"]', "variant")
 
 
+def _shown(expected) -> str:
+    """A model as the reference's messages print it."""
+    if isinstance(expected, dict):
+        return "{" + ", ".join(f"'{k}': {_shown(v)}" for k, v in expected.items()) + "}"
+    if isinstance(expected, list):
+        return "[" + ", ".join(_shown(v) for v in expected) + "]"
+    return f"<class '{expected}'>"
+
+
 def _let(value: Column, fn) -> Column:
     """Evaluate ``value`` once for ``fn`` (one-element ``transform``)."""
     return F.element_at(F.transform(F.array(value), fn), 1)
@@ -71,12 +80,12 @@ def _field_checks(f: Column, name: str, expected) -> Column:
             F.lit(f"Field '{name}' expected a nested object, got "), _py_type(f))))
         out.append(_model_checks(f, expected))
     elif isinstance(expected, list):
-        item_t = expected[0]
+        item_t = "dict" if isinstance(expected[0], dict) else expected[0]
         out.append(F.when(~_is(f, "list"), F.concat(F.lit(f"Field '{name}' expected a list, got "), _py_type(f))))
         items = F.when(_is(f, "list"), f.cast("array<variant>"))
         bad = F.filter(items, lambda x: ~_is(x, item_t))
         out.append(F.when(F.size(bad) > 0, F.concat(
-            F.lit(f"Items in field '{name}' expected <class '{item_t}'>, got "), _py_type(F.element_at(bad, 1)))))
+            F.lit(f"Items in field '{name}' expected {_shown(expected[0])}, got "), _py_type(F.element_at(bad, 1)))))
     else:
         out.append(F.when(~_is(f, expected), F.concat(
             F.lit(f"Field '{name}' expected <class '{expected}'>, got "), _py_type(f))))
@@ -112,12 +121,26 @@ def error_counts(report: DataFrame) -> DataFrame:
     return report.groupBy("first_error").agg(F.count(F.lit(1)).alias("n"))
 
 
-def flatten_json_list(json_text: Column, max_depth: int = 8) -> Column:
+#: The parts of JSON text: a string, one structural character, or a run of anything else.
+_JSON_PART = r'"(?:[^"\\]|\\.)*"|[\[\]{},]|[^"\[\]{},]+'
+
+
+def flatten_json_list(json_text: Column) -> Column:
     """Every non-list leaf of a (ragged) JSON list, depth first, as JSON
-    text.  ``max_depth`` static unrollings cover lists nested that deep."""
+    text, however deep the lists are nested; anything but a list has no leaf.
+
+    Outside strings and objects, brackets are dropped and commas separate
+    leaves, so one pass over the parts of the normalised text is enough."""
     v = F.try_parse_json(json_text)
-    cur = F.when(_is(v, "list"), F.array(v)).otherwise(F.array().cast("array<variant>"))
-    for _ in range(max_depth):
-        cur = F.flatten(F.transform(cur, lambda e: F.when(_is(e, "list"), e.cast("array<variant>"))
-                                    .otherwise(F.array(e))))
-    return F.transform(cur, lambda e: F.to_json(e))
+    parts = F.regexp_extract_all(F.to_json(v), F.lit(_JSON_PART), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
+
+    def step(acc, part):
+        outside = acc["depth"] == 0
+        shown = (F.when(outside & part.isin("[", "]"), F.lit(""))
+                 .when(outside & (part == ","), F.lit("\x02")).otherwise(part))
+        inner = F.when(part == "{", 1).when(part == "}", -1).otherwise(0)
+        return F.struct((acc["depth"] + inner).alias("depth"), F.concat(acc["out"], shown).alias("out"))
+
+    leaves = F.split(F.aggregate(parts, start, step, lambda acc: acc["out"]), "\x02")
+    return F.when(_is(v, "list"), F.filter(leaves, lambda x: F.trim(x) != "")).otherwise(F.array().cast("array<string>"))

@@ -61,28 +61,58 @@ def q_e8(spark, d):
         "id", "qpos", "field", F.explode("t").alias("lang", "text"))
 
 
-@register("E10")
+# groups of an exam: part i (from 0) is the number i + 1, or for odd i the list [i + 1, time]; every 13th text is cut
+GROUPS_SQL = """WITH pt AS (SELECT l_orderkey AS id, CAST(l_quantity AS INTEGER) AS time,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS i
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+it AS (SELECT id, i, 0 AS j, CAST(i + 1 AS VARCHAR) AS item FROM pt
+       UNION ALL SELECT id, i, 1, CAST(time AS VARCHAR) FROM pt WHERE i % 2 = 1)
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY i, j) - 1 AS INTEGER) AS pos, item FROM it WHERE id % 13 <> 0"""
+
+
+@register("E10", GROUPS_SQL)
 def q_e10(spark, d):
     j = fx.fx_exam_json(spark, d)
     return j.select("id", F.posexplode(E.flatten_groups_json("groups")).alias("pos", "item"))
 
 
-@register("S9")
+@register("S9", """WITH pt AS (SELECT l_orderkey AS id, CAST(l_quantity AS INTEGER) AS time,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS i FROM lineitem),
+g AS (SELECT id, count(*) AS n, string_agg(CASE WHEN i % 2 = 1 THEN '[' || (i + 1) || ',' || time || ']' ELSE CAST(i + 1 AS VARCHAR) END,
+                                           ',' ORDER BY i) AS txt FROM pt GROUP BY id)
+SELECT o_orderkey AS id, CAST(coalesce(n, 0) AS INTEGER) AS n_parts, 6 AS n_langs,
+       CASE WHEN o_orderkey % 13 = 0 THEN '[]' ELSE '[' || coalesce(txt, '') || ']' END AS groups
+FROM orders LEFT JOIN g ON g.id = o_orderkey WHERE o_orderkey % 11 <> 0""")
 def q_s9(spark, d):
     j = fx.fx_exam_json(spark, d)
     parsed = E.parse_exam_json(j, "array<struct<name:string,time:int>>")
     return parsed.select("id", F.size("parts").alias("n_parts"), F.size("title_lang").alias("n_langs"), "groups")
 
 
-@register("T17")
+@register("T17", """WITH r AS (SELECT DISTINCT conv_id FROM conversations),
+e AS (SELECT CASE conv_id % 6
+    WHEN 1 THEN 'Field ''id'' expected <class ''int''>, got <class ''str''>'
+    WHEN 2 THEN 'Missing field: kind'
+    WHEN 3 THEN 'Field ''general'' expected a nested object, got <class ''list''>'
+    WHEN 4 THEN 'Missing field: ru'
+    WHEN 5 THEN 'Items in field ''scores'' expected <class ''float''>, got <class ''str''>' END AS first_error FROM r)
+SELECT first_error, count(*) AS n FROM e WHERE first_error IS NOT NULL GROUP BY first_error""")
 def q_t17(spark, d):
+    # question records with a different field broken by id
     q = fx.fx_questions(spark, d)
-    rec = F.to_json(F.struct(F.col("id"), F.lit("conversation").alias("kind"), "general", "content",
-                             F.array().cast("array<double>").alias("scores")))
+    k = F.col("id") % 6
+    lang = F.concat(F.lit('{"vi":"","en":"","ko":"","fr":"","ja":""'), F.when(k == 4, F.lit("}")).otherwise(F.lit(',"ru":""}')))
+    general = F.concat(F.lit('{"G_text":'), F.to_json("general.G_text"), F.lit(',"G_text_translate":'), lang,
+                       F.lit(',"G_text_audio":"","G_text_audio_translate":'), lang, F.lit(',"G_audio":[],"G_image":[]}'))
+    rec = F.concat(
+        F.lit('{"id":'), F.when(k == 1, F.concat(F.lit('"'), F.col("id"), F.lit('"'))).otherwise(F.col("id").cast("string")),
+        F.when(k == 2, F.lit("")).otherwise(F.lit(',"kind":"conversation"')),
+        F.lit(',"general":'), F.when(k == 3, F.to_json("general.G_text")).otherwise(general),
+        F.lit(',"content":'), F.to_json("content"), F.lit(',"scores":'), F.when(k == 5, F.lit('["a"]')).otherwise(F.lit("[1.5]")), F.lit("}"))
     return error_counts(q.select("id", first_error(rec).alias("first_error")).filter("first_error IS NOT NULL"))
 
 
-@register("T18")
+@register("T18", GROUPS_SQL)
 def q_t18(spark, d):
     j = fx.fx_exam_json(spark, d)
     return j.select("id", F.posexplode(flatten_json_list(F.col("groups"))).alias("pos", "item"))

@@ -25,7 +25,12 @@ def test_first_error_wins(spark):
     rec = {"id": 1, "kind": "k", "general": {**GOOD_GENERAL, "G_text_translate": {"vi": ""}}}
     assert check(spark, rec) == "Missing field: en"
     rec = {"id": 1, "kind": "k", "general": GOOD_GENERAL, "content": [{"x": 1}, 3], "scores": []}
-    assert check(spark, rec) == "Items in field 'content' expected <class 'dict'>, got <class 'int'>"
+    assert check(spark, rec) == (
+        "Items in field 'content' expected {'Q_text': <class 'str'>, 'Q_audio': <class 'str'>, 'Q_image': <class 'str'>, "
+        "'A_text': [<class 'str'>], 'A_audio': <class 'list'>, 'A_image': <class 'list'>, 'A_correct': [<class 'str'>], "
+        "'explain': {'vi': <class 'str'>, 'en': <class 'str'>, 'ko': <class 'str'>, 'fr': <class 'str'>, 'ja': <class 'str'>, "
+        "'ru': <class 'str'>}, 'A_more_correct': [<class 'str'>], 'advance_explain': {'vi': <class 'str'>, 'en': <class 'str'>}, "
+        "'langExplainAdvance': [<class 'str'>]}, got <class 'int'>")
     rec = {"id": 1, "kind": "k", "general": GOOD_GENERAL, "content": [], "scores": [1]}
     assert check(spark, rec) == "Items in field 'scores' expected <class 'float'>, got <class 'int'>"
     assert check(spark, {**GOOD_GENERAL, "G_image": "x"}, GENERAL_MODEL) == \
@@ -35,3 +40,12 @@ def test_first_error_wins(spark):
 def test_flatten_json_list(spark):
     df = spark.createDataFrame([("[1, [2, [3, [4]]], []]",)], "j string")
     assert df.select(flatten_json_list(F.col("j")).alias("r")).first().r == ["1", "2", "3", "4"]
+
+
+def test_flatten_json_list_any_depth(spark):
+    deep = "[" * 30 + "7" + "]" * 30
+    texts = [deep, '[[], "a,,[b]", {"k": [1, {"m": []}, 2]}, [], [[null]]]', "[]", "5", "{}", "[1, [2", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, j string")
+    got = {r.i: r.r for r in df.select("i", flatten_json_list(F.col("j")).alias("r")).collect()}
+    assert got[0] == ["7"] and got[1] == ['"a,,[b]"', '{"k":[1,{"m":[]},2]}', "null"]
+    assert all(not got[i] for i in range(2, 7))

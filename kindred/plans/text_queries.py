@@ -25,62 +25,66 @@ def _convs(spark, d):
     return read_table(spark, d, "conversations").select("conv_id", "turn", "text")
 
 
-def _romaji_sql() -> str:
-    punct = "".join("\\" + ch if ch in "[]\\^-" else ch for ch in X.ROMAJI_PUNCT)
-    return ("^[a-zA-Z0-9\\s" + punct + "]+$").replace("'", "''")
+# Documents turned into texts on which every row check can go either way.
+_LATIN = r"[^a-zA-Z]"
+_ROMAJI = r"[^a-zA-Z0-9 ]"
+MIXED_SQL = f"""(SELECT doc_id AS id, CASE doc_id % 9
+    WHEN 0 THEN text WHEN 1 THEN '漢字' || doc_id || text WHEN 2 THEN '漢字語' WHEN 3 THEN 'ひらがな ' || text
+    WHEN 4 THEN '[note] <p>' || text || '</p> () ()' WHEN 5 THEN '' WHEN 6 THEN 'éö — ñ'
+    WHEN 7 THEN regexp_replace(text, '{_ROMAJI}', '', 'g') ELSE regexp_replace(text, '{_LATIN}', '', 'g') END AS text
+  FROM documents)"""
 
 
-def _simple(name: str, table: str, key: str, col: str, spark_fn, sql_expr: str, out: str, cast: str | None = None):
-    sql_v = f"CAST({sql_expr} AS {cast})" if cast else sql_expr
+def _mixed(spark, d):
+    k, t = F.col("id") % 9, F.col("text")
+    v = (F.when(k == 0, t).when(k == 1, F.concat(F.lit("漢字"), F.col("id"), t)).when(k == 2, F.lit("漢字語"))
+         .when(k == 3, F.concat(F.lit("ひらがな "), t)).when(k == 4, F.concat(F.lit("[note] <p>"), t, F.lit("</p> () ()")))
+         .when(k == 5, F.lit("")).when(k == 6, F.lit("éö — ñ"))
+         .when(k == 7, F.regexp_replace(t, _ROMAJI, "")).otherwise(F.regexp_replace(t, _LATIN, "")))
+    return _docs(spark, d).select("id", v.alias("text"))
 
-    @register(name, f"SELECT {key} AS id, {sql_v} AS {out} FROM {table}")
+
+#: Row checks on the mixed texts; a test asserts that none of them is constant.
+MIXED_CHECKS: list[str] = []
+
+
+def _check(name: str, spark_fn, sql_expr: str, out: str):
+    MIXED_CHECKS.append(name)
+
+    @register(name, f"SELECT id, {sql_expr} AS {out} FROM {MIXED_SQL}")
     def q(spark, d):
-        src = {"documents": _docs, "pages": _pages}[table](spark, d)
-        v = spark_fn(F.col("text"))
-        return src.select("id", (v.cast(_spark_type(cast)) if cast else v).alias(out))
+        return _mixed(spark, d).select("id", spark_fn(F.col("text")).alias(out))
     return q
 
 
-def _spark_type(sql_type: str) -> str:
-    return {"INTEGER": "int", "BIGINT": "long", "BOOLEAN": "boolean", "VARCHAR": "string"}[sql_type]
-
-
-_simple("T1", "documents", "doc_id", "text", X.is_japanese,
-        f"(text >= '一' AND text <= '鿿') OR (text >= '぀' AND text <= 'ヿ')", "is_japanese")
-_simple("T2", "documents", "doc_id", "text", X.is_vietnamese,
-        f"NOT ((text >= '一' AND text <= '鿿') OR (text >= '぀' AND text <= 'ヿ'))", "is_vietnamese")
-_simple("T3", "documents", "doc_id", "text", X.is_han, f"NOT regexp_matches(text, '[^{CJK}]')", "is_han")
-_simple("T4", "documents", "doc_id", "text", lambda c: X.is_latin(F.regexp_extract(c, r"^(\S+)", 1)),
-        "regexp_matches(regexp_extract(text, '^(\\S+)', 1), '^[a-zA-Z]+$')", "first_word_latin")
-_simple("T5", "documents", "doc_id", "text", X.contains_latin_or_numbers,
-        "regexp_matches(text, '[a-zA-Z0-9]+')", "has_latin_or_number")
-_simple("T6", "documents", "doc_id", "text", X.count_han,
-        f"length(text) - length(regexp_replace(text, '[{CJK}]', '', 'g'))", "han_count", "INTEGER")
-_simple("T7", "pages", "page_id", "html", X.count_paren_pairs,
-        "(length(html) - length(replace(html, '()', ''))) // 2", "paren_pairs", "INTEGER")
-_simple("T8", "pages", "page_id", "html", X.contains_html, "regexp_matches(html, '<.*?>')", "has_html")
-_simple("T11", "pages", "page_id", "html", X.count_p_close,
-        "CASE WHEN regexp_matches(html, '<.*?>') THEN (length(html) - length(replace(html, '</p>', ''))) // 4 ELSE 0 END",
-        "p_close", "INTEGER")
-_simple("T12", "documents", "doc_id", "text", lambda c: X.matches(c, r"\[[^\]]*\]"),
-        "regexp_matches(text, '\\[[^\\]]*\\]')", "has_brackets")
-_simple("T13", "documents", "doc_id", "text", X.contains_kana,
-        "regexp_matches(text, '[぀-ゟ゠-ヿー]')", "has_kana")
-_simple("T14", "pages", "page_id", "html", X.contains_romaji,
-        f"regexp_matches(html, '{_romaji_sql()}')", "is_romaji")
-
-_FLOAT_RE = r"(?i)^[+-]?(?:(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:e[+-]?\d(?:_?\d)*)?|inf|infinity|nan)$"
-
-
-@register("T9", f"""SELECT event_id AS id,
-  regexp_matches(trim(regexp_extract(props, ':(.*)}}', 1)), '{_FLOAT_RE}') AS props_is_number,
-  regexp_matches(trim(event_type), '{_FLOAT_RE}') AS type_is_number
-FROM events""")
+_check("T1", X.is_japanese, "(text >= '一' AND text <= '鿿') OR (text >= '぀' AND text <= 'ヿ')", "is_japanese")
+_check("T2", X.is_vietnamese, "NOT ((text >= '一' AND text <= '鿿') OR (text >= '぀' AND text <= 'ヿ'))", "is_vietnamese")
+_check("T3", X.is_han, f"NOT regexp_matches(text, '[^{CJK}]')", "is_han")
+_check("T4", X.is_latin, "regexp_matches(text, '^[a-zA-Z]+$')", "is_latin")
+_check("T5", X.contains_latin_or_numbers, "regexp_matches(text, '[a-zA-Z0-9]+')", "has_latin_or_number")
+_check("T6", X.count_han, f"CAST(length(text) - length(regexp_replace(text, '[{CJK}]', '', 'g')) AS INTEGER)", "han_count")
+_check("T7", X.count_paren_pairs, "CAST((length(text) - length(replace(text, '()', ''))) // 2 AS INTEGER)", "paren_pairs")
+_check("T8", X.contains_html, "regexp_matches(text, '<.*?>')", "has_html")
+_check("T11", X.count_p_close,
+       "CAST(CASE WHEN regexp_matches(text, '<.*?>') THEN (length(text) - length(replace(text, '</p>', ''))) // 4 ELSE 0 END AS INTEGER)",
+       "p_close")
+_check("T12", lambda c: X.matches(c, r"\[[^\]]*\]"), "regexp_matches(text, '\\[[^\\]]*\\]')", "has_brackets")
+_check("T13", X.contains_kana, "regexp_matches(text, '[ぁ-ゖゝ-ヿー]')", "has_kana")
+_check("T14", X.contains_romaji, r"""regexp_matches(text, '^[a-zA-Z0-9\s' || $p$!"#$%&'()*+,./:;<>?@_`{|}~$p$ || '\[\]\^\-\\]+$')""", "is_romaji")
+
+
+@register("T9", r"""WITH e AS (SELECT event_id AS id, CASE event_id % 8 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 1 THEN ' ' || event_id || '.5e3 '
+    WHEN 2 THEN event_id || 'x' WHEN 3 THEN '-inf' WHEN 4 THEN event_type WHEN 5 THEN '1_' || event_id WHEN 6 THEN '_' || event_id
+    ELSE regexp_extract(props, ':(.*)}', 1) END AS text FROM events)
+SELECT id, regexp_matches(lower(trim(text)), '^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?(e[+-]?[0-9]+)?|\.[0-9]+|inf|infinity|nan)$') AS is_number
+FROM e""")
 def q_t9(spark, d):
-    e = read_table(spark, d, "events")
-    return e.select(F.col("event_id").alias("id"),
-                    X.is_number(F.regexp_extract("props", ":(.*)}", 1)).alias("props_is_number"),
-                    X.is_number(F.col("event_type")).alias("type_is_number"))
+    i = F.col("event_id")
+    text = (F.when(i % 8 == 0, i.cast("string")).when(i % 8 == 1, F.concat(F.lit(" "), i, F.lit(".5e3 ")))
+            .when(i % 8 == 2, F.concat(i, F.lit("x"))).when(i % 8 == 3, F.lit("-inf")).when(i % 8 == 4, F.col("event_type"))
+            .when(i % 8 == 5, F.concat(F.lit("1_"), i)).when(i % 8 == 6, F.concat(F.lit("_"), i))
+            .otherwise(F.regexp_extract("props", ":(.*)}", 1)))
+    return read_table(spark, d, "events").select(i.alias("id"), X.is_number(text).alias("is_number"))
 
 
 @register("P3", """SELECT doc_id AS id, lower(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS value,

@@ -65,3 +65,12 @@ def test_html_helpers(spark):
     assert one(spark, X.p_tags_balanced, html) is False
     assert one(spark, X.p_tags_balanced, "<p class='x'>a</p>") is True
     assert one(spark, X.latin_text_of_html, "()<b>ab</b><i> 12 </i><u>--</u>") == "()ab12"
+
+
+def test_row_checks_are_not_constant(spark, sf):
+    from kindred.plans import registry
+    from kindred.plans.text_queries import MIXED_CHECKS
+    for name in [*MIXED_CHECKS, "T9", "T17"]:
+        df = registry.queries()[name](spark, sf)
+        column = [c for c in df.columns if c not in ("id", "n")][0]
+        assert df.select(column).distinct().count() > 1, name

@@ -503,3 +503,4 @@ def oracle_sql() -> dict[str, str]:
 from kindred.plans import text_queries  # noqa: E402,F401
 from kindred.plans import exam_queries  # noqa: E402,F401
 from kindred.plans import misc_queries  # noqa: E402,F401
+from kindred.plans import source_queries  # noqa: E402,F401

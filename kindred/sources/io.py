@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -69,16 +69,31 @@ def ai_exam_level(name_col: str = "file_name"):
     return F.coalesce(F.regexp_extract(low, r"level_(\d+)", 1).try_cast("int"), F.lit(0))
 
 
+def _array_files(spark: SparkSession, directory: str, schema: StructType | str, glob: str) -> DataFrame:
+    """Items of JSON array files (or of files with one object) with ``file_name``
+    and their position ``pos`` in the file."""
+    files = (spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(directory)
+             .select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("file_name"), "value"))
+    record = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    items = F.from_json("value", ArrayType(record))
+    return files.select("file_name", F.posexplode(items).alias("pos", "item")).select("item.*", "file_name", "pos")
+
+
 def read_exam_files(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
-    """Every exam file of a folder with its level and test from the name;
-    files with other names are skipped; ``pos`` keeps the item order in a file."""
-    df = (spark.read.schema(schema).option("multiLine", True).json(directory)
-          .withColumn("file_name", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)))
+    """Every exam file of a folder with its level and test from the name and
+    the item order in the file as ``pos``; files with other names are not read."""
+    df = _array_files(spark, directory, schema, "Level_*_Test_*.json")
     keys = exam_file_keys()
-    return df.select("*", keys["level"].alias("file_level"), keys["test"].alias("file_test")).filter(
+    return df.withColumns({"file_level": keys["level"], "file_test": keys["test"]}).filter(
         F.col("file_level").isNotNull())
 
 
+def read_ai_exam_files(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
+    """Every ``.json`` file of a folder, its level from the name (else 0) and
+    the item order in the file as ``pos``."""
+    return _array_files(spark, directory, schema, "*.json").withColumn("file_level", ai_exam_level())
+
+
 def report_sink(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 sheet_col: str = "kind") -> None:
     """The long report table partitioned by sheet (kind); ``append``

@@ -34,8 +34,10 @@ def test_exam_files_and_json_arrays(spark):
     with open(os.path.join(d, "notes.json"), "w") as f:
         json.dump([{"id": 4, "title": "x"}], f)
     df = io.read_exam_files(spark, d, "id long, title string")
-    got = sorted((r.file_level, r.file_test, r.id) for r in df.collect())
-    assert got == [(1, 9, 3), (2, 3, 1), (2, 3, 2)]
+    got = sorted((r.file_level, r.file_test, r.pos, r.id) for r in df.collect())
+    assert got == [(1, 9, 0, 3), (2, 3, 0, 1), (2, 3, 1, 2)]
+    ai = io.read_ai_exam_files(spark, d, "id long, title string")
+    assert sorted((r.file_level, r.pos, r.id) for r in ai.collect()) == [(0, 0, 4), (1, 0, 3), (2, 0, 1), (2, 1, 2)]
 
 
 def test_id_list(spark):

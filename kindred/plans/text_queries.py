@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.functions import text as X
@@ -180,20 +181,46 @@ def q_t10(spark, d):
                                    X.p_tags_balanced_regex(F.col("text")).alias("p_balanced_regex"))
 
 
-@register("T15")
+# Answer checks: the first capitalised word of a turn against the next turn; in every third conversation the
+# next turn is made to answer it.
+def _clean_b_sql(x: str) -> str:
+    x = f"regexp_replace(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'), '^,+|,+$', '', 'g')"
+    for end in ("(?:。)+$", "(?:\\.)+$", "(?:\\?)+$", "(?:？)+$"):
+        x = f"regexp_replace({x}, '{end}', '')"
+    return f"replace(replace(upper({x}), ',', ''), ' ', '')"
+
+
+def _special_sql(x: str) -> str:
+    return f"replace(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}_\\s]', '', 'g'), ' ', '')"
+
+
+_ANSWERS_SQL = r"""WITH n AS (SELECT conv_id, turn, text, regexp_extract(text, '[A-Z]\w+') AS word,
+    lead(turn) OVER w AS nturn, lead(text) OVER w AS ntext FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+a AS (SELECT conv_id, turn, word, CASE WHEN conv_id % 3 = 0 THEN {made} ELSE ntext END AS next FROM n WHERE nturn = turn + 1)
+SELECT conv_id, turn, CASE WHEN coalesce(next, '') = '' OR word = '' THEN coalesce(next, '') = '' AND word = ''
+  ELSE coalesce({test}, FALSE) END AS ok FROM a"""
+_LINE1 = "list_filter(list_transform(string_split(next, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda y: y <> '')[1]"
+
+
+def _answers(spark, d, made):
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    c = _convs(spark, d).withColumns({"nturn": F.lead("turn").over(w), "ntext": F.lead("text").over(w)})
+    word = F.regexp_extract("text", r"[A-Z]\w+", 0)
+    return c.filter(F.col("nturn") == F.col("turn") + 1).withColumn(
+        "next_text", F.when(F.col("conv_id") % 3 == 0, made(word)).otherwise(F.col("ntext")))
+
+
+@register("T15", _ANSWERS_SQL.format(made="' ' || word || '.' || chr(10) || ntext",
+                                     test=f"{_clean_b_sql(_LINE1)} = {_clean_b_sql('word')}"))
 def q_t15(spark, d):
-    # answer check 1: first capitalised word of a turn against line 1 of the next turn
-    c = _convs(spark, d)
-    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text"))
-    j = c.join(nxt, ["conv_id", "turn"])
+    j = _answers(spark, d, lambda w: F.concat(F.lit(" "), w, F.lit(".\n"), F.col("ntext")))
     return j.select("conv_id", "turn", X.answer_check_index("text", "next_text", F.lit("1"), r"[A-Z]\w+").alias("ok"))
 
 
-@register("T16")
+@register("T16", _ANSWERS_SQL.format(made="'(' || word || ')'",
+                                     test=f"{_clean_b_sql(_special_sql('word'))} = {_clean_b_sql(_special_sql('next'))}"))
 def q_t16(spark, d):
-    c = _convs(spark, d)
-    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text"))
-    j = c.join(nxt, ["conv_id", "turn"])
+    j = _answers(spark, d, lambda w: F.concat(F.lit("("), w, F.lit(")")))
     return j.select("conv_id", "turn", X.answer_check_text("text", "next_text", r"[A-Z]\w+").alias("ok"))
 
 

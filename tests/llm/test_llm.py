@@ -388,6 +388,19 @@ def test_wrapper_groups_and_slots():
     assert html_wrapper.main_container(w).endswith("div.content")
 
 
+def test_html_every_layout_of_a_host_is_whole(spark):
+    wrap = "<html><body><div class=top>Menu A B</div>{}</body></html>".format
+    rows = [(i, f"http://h.org/{i}", wrap(f"<div class=post><h1>Head {i}</h1><div class=body><p>Long text of post {i}, {'word ' * 40}{i}</p></div></div>")) for i in range(60)]
+    rows += [(i, f"http://h.org/{i}", wrap(f"<div class=post><p>Teaser {i}</p></div><div class=story><p>Story {i}</p><p>goes on {i}</p></div>")) for i in range(100, 106)]
+    rows += [(i, f"http://h.org/{i}", wrap(f"<section><article class=a><p>First {i}</p></article><article class=b><p>Second {i}</p></article></section>")) for i in range(200, 206)]
+    rows += [(300, "http://h.org/300", wrap("<div class='w-1/2'><p>Alone</p></div>"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(df).collect()}
+    assert all(got[i].startswith(f"Head {i} Long text of post {i}") for i in range(60))
+    assert all(f"Teaser {i} Story {i} goes on {i}" in got[i] for i in range(100, 106))
+    assert all(got[i] == f"First {i} Second {i}" for i in range(200, 206)) and got[300] == "Alone"
+
+
 # --- 9 toxicity
 def test_kernel_matches_definition():
     def brute(a, b, n, d):

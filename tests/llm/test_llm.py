@@ -365,6 +365,21 @@ def test_kneser_ney_sums_to_one():
     assert p <= 1 + 1e-9 and p > 0.9
 
 
+def test_language_pieces_keep_every_gram(spark):
+    rng = random.Random(11)
+    words = {l: ["".join(rng.choice(c) for _ in range(6)) for _ in range(400)] for l, c in (("hot", "abcdefghij"), ("rare", "klmnopqrst"))}
+    rows = [(i, " ".join(rng.choice(words[l]) for _ in range(60)), l, "s") for i in range(200) for l in ["rare" if i % 40 < 2 else "hot"]]
+    df = docs_of(spark, rows)
+    whole = {r.doc_id: r for r in language_id.identify(df).collect()}
+    old, language_id.MAX_CELLS = language_id.MAX_CELLS, 4000
+    try:
+        pieces = {r.doc_id: r for r in language_id.identify(df).collect()}
+    finally:
+        language_id.MAX_CELLS = old
+    assert whole.keys() == pieces.keys() and all(whole[i].lang_pred == pieces[i].lang_pred == l for i, _, l, _ in rows)
+    assert all(math.isclose(whole[i].entropy, pieces[i].entropy, rel_tol=1e-5) and whole[i].rejected == pieces[i].rejected for i in whole)
+
+
 # --- 8 html
 def page(body, menu=("Home", "About"), note="Accept cookies"):
     return (f"<html><head><title>t</title><style>p{{}}</style></head><body><nav><ul>{''.join(f'<li><a href=/>{m}</a></li>' for m in menu)}</ul></nav>"

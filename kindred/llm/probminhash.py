@@ -6,10 +6,12 @@ components in a pseudo-random order, the i-th after another Exp(1) * M / (M-i)
 / w, and the earliest arrival keeps the component.  A shingle stops as soon as
 its clock passes the latest first arrival of its text, so most shingles of a
 long text are drawn once.  Two signatures agree in a component with probability
-J_P, the probability Jaccard similarity; damped counts keep it close to the Jaccard
-similarity of the sets, by which candidates are verified.
+J_P, the probability Jaccard similarity.  Candidates are verified by the Jaccard
+similarity of the sets, which repeated passages part from J_P; so a text with a
+repeated shingle has a second signature with all weights 1, whose J_P is exactly
+that similarity.  Without repeats both signatures are the same.
 
-Signatures are banded (32 bands of 6).  Exact copies (same word sequence) are
+Signatures are banded (32 bands of 6), both kinds in the same buckets.  Exact copies (same word sequence) are
 collapsed first.  In every band bucket each member is verified against two
 leaders of the bucket, never against all.  Members of buckets that still hold
 more than one component after that go through an exact prefix search for the
@@ -86,12 +88,22 @@ def _sign(batches):
             n = stop - start
             sh, off = shingles(words, offsets)
             row, key, count = weighted(sh, off)
-            keys = band_keys(signatures(row, key, 1 + np.log(count), n)).view(np.int64)
+            keys = band_keys(signatures(row, key, 1 + np.log(count), n))
+            # texts with a repeated shingle also get the bands of weight 1
+            twice = np.zeros(n, dtype=bool)
+            twice[row[count > 1]] = True
+            plain = np.zeros_like(keys)
+            if twice.any():
+                own = twice[row]
+                at = (np.cumsum(twice) - 1)[row[own]]
+                plain[twice] = band_keys(signatures(at, key[own], np.ones(len(at)), int(twice.sum())))
             full = np.diff(off) > 0
-            lens = np.concatenate(([0], np.cumsum(np.where(full, BANDS, 0)))).astype(np.int32)
+            lens = np.concatenate(([0], np.cumsum(np.where(full, BANDS * (1 + twice), 0)))).astype(np.int32)
+            keys = np.hstack((keys, plain)).view(np.int64)
+            keys = keys[np.hstack((np.repeat(full[:, None], BANDS, axis=1), np.repeat(twice[:, None], BANDS, axis=1)))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a[start:stop]) for a in (did, th, w1, w2)]
-                + [pa.ListArray.from_arrays(pa.array(lens), pa.array(keys[full].ravel()))],
+                + [pa.ListArray.from_arrays(pa.array(lens), pa.array(keys))],
                 names=["did", "th", "w1", "w2", "bands"])
 
 

@@ -267,6 +267,18 @@ def test_near_duplicates_edges(spark, base):
     assert probminhash.near_duplicates(empty(base)).count() == 0
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    rows = []
+    for i in range(60):
+        t = sentences(5000 + i, 200)
+        passage = " ".join(t.split()[:60])
+        rows += [(2 * i, t, None, None), (2 * i + 1, " ".join([passage] * 150) + " " + t, None, None)]
+    sets = {i: shingle_set(t) for i, t, _, _ in rows}
+    assert all(len(sets[2 * i] & sets[2 * i + 1]) >= 0.9 * len(sets[2 * i] | sets[2 * i + 1]) for i in range(60))
+    got = {r.did: r.component_id for r in probminhash.near_duplicates(docs_of(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i in sets}
+
+
 # --- 4 embeddings
 def test_embeddings_brute_force(spark):
     rng = np.random.default_rng(1)

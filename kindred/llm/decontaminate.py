@@ -1,18 +1,11 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
-
-Jaccard similarity of a short item with a whole long document is tiny, so both
-sides are brought to one size.  Items are partitioned into size classes (Q/2 <
-shingles <= Q, Q doubling).  For every class that occurs, a document's shingles
-are cut into windows of 1.5 Q with stride Q/2, so any run of Q shingles lies in
-one of them and containment 0.8 means a Jaccard similarity of at least 0.25 to
-that window.  An item and a window that agree in one of the 32 minima are
-candidates (a miss of the worst case: 0.75**32 = 1e-4), and candidates are
-verified by the exact containment of the item's shingles in the whole document.
-
-The documents are read once.  Two Bloom filters of fixed size (the items'
-minima, the items' shingles) keep minima and shingles that occur in no item
-from leaving that pass; a filter that fills up lets more through but loses
-nothing.
+"""Benchmark decontamination by exact containment search.
+
+An item is its set of shingles.  The documents are read once; a Bloom filter of
+fixed size (the items' shingles) keeps shingles that occur in no item from
+leaving that pass, and a filter that fills up lets more through but loses
+nothing.  The shingles that pass are joined with the items' and counted, so the
+containment of every item in every whole document is exact, wherever in the
+document its shingles lie and however short the item is.
 """
 
 from __future__ import annotations
@@ -21,25 +14,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import list_arrays, materialise, mix, row_keys, shingles, spread, text_chunks, word_hashes
+from kindred.llm.common import list_arrays, materialise, row_keys, shingles, spread, text_chunks, word_hashes
 
-PERMS = 32
-#: Bits of each Bloom filter: 8 MB, the proven bound of what is broadcast.
+#: Bits of the Bloom filter: 1 MB, the proven bound of what is broadcast.
 BLOOM_BITS = 1 << 23
-CLASS0 = 3  # smallest class: 1 to 8 shingles, windows of 12
-
-
-def _seeds() -> np.ndarray:
-    return mix(np.arange(1, PERMS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-
-
-def size_class(n: np.ndarray) -> np.ndarray:
-    """Class c of items with 2**(c-1) < n <= 2**c shingles, CLASS0 at least."""
-    return np.maximum(np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64), CLASS0)
-
-
-def minimum_key(value: np.ndarray, cls: int, perm: int) -> np.ndarray:
-    return mix(value ^ np.uint64((cls << 8) + perm))
 
 
 def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -52,7 +30,7 @@ def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def item_index(items: DataFrame) -> DataFrame:
-    """(item_id, cls, n, keys array<long>, shingles array<long>) for items with a shingle."""
+    """(item_id, n, shingles array<long>) for items with a shingle."""
 
     def run(batches):
         import pyarrow as pa
@@ -66,17 +44,14 @@ def item_index(items: DataFrame) -> DataFrame:
                 own = np.unique(sh[off[i]:off[i + 1]])
                 if not len(own):
                     continue
-                cls = int(size_class(np.array([len(own)]))[0])
-                keys = [int(minimum_key(np.array([(own * s).min()]), cls, k).view(np.int64)[0]) for k, s in enumerate(_seeds())]
-                rows.append((item, cls, len(own), keys, own.view(np.int64).tolist()))
+                rows.append((item, len(own), own.view(np.int64).tolist()))
             yield pa.RecordBatch.from_pylist(
-                [dict(zip(("item_id", "cls", "n", "keys", "shingles"), r)) for r in rows],
-                schema=pa.schema([("item_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()),
-                                  ("keys", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]))
+                [dict(zip(("item_id", "n", "shingles"), r)) for r in rows],
+                schema=pa.schema([("item_id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
 
     words = items.select(F.col("item_id").cast("long").alias("item_id"), word_hashes().alias("words"))
     return materialise(spread(words, items.sparkSession).mapInArrow(
-        run, "item_id long, cls long, n long, keys array<long>, shingles array<long>"), "items")
+        run, "item_id long, n long, shingles array<long>"), "items")
 
 
 def bloom(values: DataFrame) -> np.ndarray:
@@ -91,74 +66,27 @@ def bloom(values: DataFrame) -> np.ndarray:
     return bits.view(np.uint8)
 
 
-def window_minima(h: np.ndarray, offsets: np.ndarray, classes: list[int]):
-    """For hashed shingles ``h`` of several texts (none empty): per class, the
-    row number and minimum of every window."""
-    low = min(classes)
-    cell = 1 << (low - 1)
-    lens = np.diff(offsets)
-    cells = -(-lens // cell)
-    first = np.concatenate(([0], np.cumsum(cells)))
-    row = np.repeat(np.arange(len(lens)), cells)
-    inner = np.arange(first[-1]) - first[:-1][row]
-    minima = np.minimum.reduceat(h, offsets[:-1][row] + inner * cell)
-    for cls in range(low, max(classes) + 1):
-        if cls > low:  # two cells of the class below make one of this class
-            even = np.flatnonzero(inner % 2 == 0)
-            minima = np.minimum.reduceat(minima, even)
-            row, inner = row[even], inner[even] // 2
-        if cls in classes:
-            n = len(minima)
-            w = minima.copy()
-            for ahead in (1, 2):
-                if n > ahead:
-                    same = row[ahead:] == row[:-ahead]
-                    w[:-ahead] = np.where(same, np.minimum(w[:-ahead], minima[ahead:]), w[:-ahead])
-            yield cls, row, w
-
-
-def document_hits(docs: DataFrame, classes: list[int], key_bits: np.ndarray, shingle_bits: np.ndarray) -> DataFrame:
-    """One scan of the documents: (did, th, kind, v) with the window minima
-    (kind 0) and the shingles (kind 1) that pass the Bloom filters."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((key_bits, shingle_bits))
+def document_hits(docs: DataFrame, shingle_bits: np.ndarray) -> DataFrame:
+    """One scan of the documents: (did, th, v) with the distinct shingles that pass
+    the Bloom filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_bits)
 
     def run(batches):
         import pyarrow as pa
 
-        keys_in, shingles_in = shared.value
-        seeds = _seeds()
         for batch in batches:
             did, th = np.asarray(batch.column("_did")), np.asarray(batch.column("_th"))
             for start, stop, words, offsets in text_chunks(batch.column("words")):
                 sh, off = shingles(words, offsets)
-                full = np.flatnonzero(np.diff(off) > 0)
-                if not len(full):
-                    continue
-                out_row, out_kind, out_v = [], [], []
-                dense = np.concatenate((off[full], [off[-1]]))
-                for perm, s in enumerate(seeds):
-                    for cls, row, w in window_minima(sh * s, dense, classes):
-                        keys = minimum_key(w, cls, perm)
-                        hit = in_bloom(keys_in, keys)
-                        if hit.any():
-                            out_row.append(full[row[hit]])
-                            out_kind.append(np.zeros(int(hit.sum()), dtype=np.int32))
-                            out_v.append(keys[hit])
-                hit = in_bloom(shingles_in, sh)
-                out_row.append(np.repeat(np.arange(stop - start), np.diff(off))[hit])
-                out_kind.append(np.ones(int(hit.sum()), dtype=np.int32))
-                out_v.append(sh[hit])
-                rec = np.rec.fromarrays((np.concatenate(out_row), np.concatenate(out_kind), np.concatenate(out_v)), names="r,k,v")
-                rec = np.unique(rec)
+                hit = in_bloom(shared.value, sh)
+                rec = np.unique(np.rec.fromarrays((np.repeat(np.arange(stop - start), np.diff(off))[hit], sh[hit]), names="r,v"))
                 if len(rec):
                     at = rec.r + start
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(did[at]), pa.array(th[at]), pa.array(rec.k), pa.array(rec.v.view(np.int64))],
-                        names=["did", "th", "kind", "v"])
+                        [pa.array(did[at]), pa.array(th[at]), pa.array(rec.v.view(np.int64))], names=["did", "th", "v"])
 
     words = row_keys(docs).select("_did", "_th", word_hashes().alias("words"))
-    return materialise(words.mapInArrow(run, "did long, th long, kind int, v long"), "hits")
+    return materialise(words.mapInArrow(run, "did long, th long, v long"), "hits")
 
 
 def contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -170,19 +98,11 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = 0.8) ->
     shingle and matches only a text of exactly these words.  Null ids of
     documents are replaced by the text's hash; repeated rows give one leak; null
     and empty texts and empty tables give none."""
-    spark = docs.sparkSession
-    index = item_index(items)
-    classes = [r[0] for r in index.select("cls").distinct().collect()]  # at most 64 values
-    if not classes:
-        return spark.createDataFrame([], "did long, th long, item_id long, containment double")
-    keys = index.select("item_id", F.explode("keys").alias("v"))
-    own = index.select("item_id", "n", F.explode("shingles").alias("v"))
-    hits = document_hits(docs, classes, bloom(keys), bloom(own.select("v").distinct()))
-    pairs = hits.filter("kind = 0").join(keys, "v").select("did", "th", "item_id").distinct()
-    found = (hits.filter("kind = 1").join(own, "v").groupBy("did", "th", "item_id", "n")
+    own = item_index(items).select("item_id", "n", F.explode("shingles").alias("v"))
+    hits = document_hits(docs, bloom(own.select("v").distinct()))
+    found = (hits.join(own, "v").groupBy("did", "th", "item_id", "n")
              .agg(F.count_distinct("v").alias("m")).filter(F.col("m") >= threshold * F.col("n")))
-    return (found.join(pairs, ["did", "th", "item_id"], "left_semi")
-            .select("did", "th", "item_id", (F.col("m") / F.col("n")).alias("containment")))
+    return found.select("did", "th", "item_id", (F.col("m") / F.col("n")).alias("containment"))
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:

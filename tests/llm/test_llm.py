@@ -201,6 +201,16 @@ def test_decontamination_brute_force(spark):
     assert got == want and len(want) > 20
 
 
+def test_decontamination_short_and_scattered_items(spark):
+    items = [(i, sentences(2000 + i, 5 + i % 4)) for i in range(200)] + [(900, sentences(2900, 24))]
+    rows = [(i, q + " " + sentences(i, 600) if i % 2 else sentences(i, 300) + " " + q + " " + sentences(i + 1, 300), None, None) for i, q in items[:200]]
+    far = items[-1][1].split()
+    rows.append((900, " ".join(far[:14]) + " " + sentences(7, 2000) + " " + " ".join(far[10:]), None, None))
+    got = {(r.did, r.item_id) for r in decontaminate.contamination(
+        docs_of(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, i) for i, _ in items}
+
+
 def test_decontamination_edges(spark, base):
     items = spark.createDataFrame([(1, sentences(1, 60))], "item_id long, text string")
     assert {r.did for r in decontaminate.contamination(base, items).collect()} == {5, 6}

@@ -202,8 +202,8 @@ def test_decontamination_brute_force(spark):
 
 
 def test_decontamination_short_and_scattered_items(spark):
-    items = [(i, sentences(2000 + i, 5 + i % 4)) for i in range(200)] + [(900, sentences(2900, 24))]
-    rows = [(i, q + " " + sentences(i, 600) if i % 2 else sentences(i, 300) + " " + q + " " + sentences(i + 1, 300), None, None) for i, q in items[:200]]
+    items = [(i, sentences(2000 + i, 5 if i < 160 else 6 + i % 3)) for i in range(200)] + [(900, sentences(2900, 24))]
+    rows = [(i, q + " " + sentences(i, 600) if i % 4 else sentences(i, 300) + " " + q + " " + sentences(i + 1, 300), None, None) for i, q in items[:200]]
     far = items[-1][1].split()
     rows.append((900, " ".join(far[:14]) + " " + sentences(7, 2000) + " " + " ".join(far[10:]), None, None))
     got = {(r.did, r.item_id) for r in decontaminate.contamination(

@@ -6,7 +6,7 @@ token borders, and whether one does depends only on the two tokens at the border
 the left token offers its right spine (the pieces that end at the border, each
 alive until the merge that consumes it), the right token its left spine.  All
 adjacent pairs of a batch are tested at once with numpy; only words with a failing
-pair are merged one by one in rank order.
+pair are merged exactly, in rank order.
 
 Normalising, splitting into words and the strings of special tokens follow the
 tokenizer file through the ``tokenizers`` library; the merging is done here.  Work
@@ -23,15 +23,20 @@ from __future__ import annotations
 import heapq
 import itertools
 import json
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Distinct chunks and words that a task remembers before it starts afresh; bounds memory, not results.
-CACHE = 200_000
-#: Words up to so many letters are merged by scanning, longer ones with a heap; the result is the same.
+#: Distinct chunks that a task remembers beside those of its last texts; bounds memory, not results.
+CACHE = 250_000
+#: Words up to so many letters are handled many at a time with numpy, longer ones one by one; the result is the same.
 SHORT = 64
+#: Words that numpy handles at a time.
+WORDS = 20_000
+#: Marks the last letter of a word where the vocabulary has an end-of-word suffix; letters are below it.
+LAST = 1 << 21
 #: Beyond every merge rank: the piece is never consumed.
 NEVER = 1 << 40
 
@@ -63,9 +68,42 @@ class Merges:
         for t, v in ((self.left, left), (self.right, right), (self.born, rank)):
             t[made[::-1]] = v[::-1]
         self.trusted = self._trusted(left, right, made, rank)
-        self.tokens = {s: i for s, i in self.ids.items() if self.trusted[i]}
-        # every beginning of a token, with the token it is (-1: none)
-        self.starts = dict.fromkeys((t[:k] for t in self.tokens for k in range(1, len(t))), -1) | self.tokens
+        self.made = made
+        self._plant()
+
+    def symbols(self, text: str) -> list[int]:
+        """Letters of a token; the last one is marked if the token ends a word."""
+        if self.end and text.endswith(self.end) and len(text) > len(self.end):
+            own = [ord(c) for c in text[:-len(self.end)]]
+            return [*own[:-1], own[-1] | LAST]
+        return [ord(c) for c in text]
+
+    def _plant(self) -> None:
+        """Tree of the trusted tokens: ``key`` (node, letter) sorted, the node it leads
+        to, and the token that a node completes (-1: none)."""
+        children: dict[tuple[int, int], int] = {}
+        token = [-1]
+        self.letter = {}
+        for text, i in self.ids.items():
+            own = self.symbols(text)
+            if len(own) == 1:
+                self.letter[own[0]] = i
+            if not self.trusted[i]:
+                continue
+            node = 0
+            for c in own:
+                child = children.get((node, c))
+                if child is None:
+                    child = children[node, c] = len(token)
+                    token.append(-1)
+                node = child
+            token[node] = i
+        self.children, self.token = children, np.array(token, dtype=np.int64)
+        edge = np.array([n << 22 | c for n, c in children], dtype=np.int64)
+        order = np.argsort(edge)
+        self.edges, self.leads = edge[order], np.fromiter(children.values(), np.int64, len(children))[order]
+        known = np.array(sorted(self.letter), dtype=np.int64)
+        self.known_letters, self.letter_ids = known, np.array([self.letter[c] for c in known.tolist()], dtype=np.int64)
 
     def _trusted(self, left, right, made, rank) -> np.ndarray:
         """Tokens whose own encoding is the token, found by the pair test on their
@@ -117,47 +155,102 @@ class Merges:
             j = np.minimum(j + ~left, y.shape[1] - 1)
         return found
 
-    def speculate(self, word: str) -> list[int]:
-        """Greedy longest match over trusted tokens; [] if a letter is unknown."""
-        out, p, n, starts, end = [], 0, len(word), self.starts, self.end
-        last = n - 1 if end else n
-        while p < n:
-            q, t, r = p, -1, p
-            while (i := starts.get(word[p:r + 1])) is not None and r < n:
-                r += 1
-                if i >= 0 and r <= last:
-                    q, t = r, i
-            if r == n and end and (i := self.tokens.get(word[p:] + end)) is not None:
-                q, t = n, i
-            if t < 0:
-                return []
-            out.append(t)
-            p = q
+    def _flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Letters of all words in a row, last ones marked, and where each word ends."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        ends = np.cumsum(sizes)
+        if self.end:
+            letters[ends[sizes > 0] - 1] |= LAST
+        return letters, ends
+
+    def speculate(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest match over trusted tokens, all words a letter at a time:
+        word and token of every match, in order.  A word with an unknown letter has
+        no match."""
+        letters, ends = self._flat(words)
+        letters = np.append(letters, -1)
+        at = ends - np.fromiter(map(len, words), np.int64, len(words))   # next letter
+        word = np.flatnonzero(at < ends)
+        at, end = at[word], ends[word]
+        node, best, best_end = np.zeros(len(word), np.int64), np.full(len(word), -1), at.copy()
+        owners, tokens, failed = [], [], []
+        while len(word):
+            key = node << 22 | np.where(at < end, letters[at], (1 << 22) - 1)
+            k = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            on = self.edges[k] == key
+            node = np.where(on, self.leads[k], node)
+            at = at + on
+            done = self.token[node]
+            hit = on & (done >= 0)
+            best, best_end = np.where(hit, done, best), np.where(hit, at, best_end)
+            if on.all():
+                continue
+            stop = ~on
+            failed.append(word[stop & (best < 0)])
+            take = stop & (best >= 0)
+            owners.append(word[take])
+            tokens.append(best[take])
+            node, at, best = np.where(stop, 0, node), np.where(stop, best_end, at), np.where(stop, -1, best)
+            live = ~(stop & (at >= end)) & ~np.isin(word, failed[-1])
+            word, at, end, node, best, best_end = (x[live] for x in (word, at, end, node, best, best_end))
+        none = np.empty(0, np.int64)
+        owner, token = np.concatenate([none, *owners]), np.concatenate([none, *tokens])
+        order = np.argsort(owner, kind="stable")
+        owner, token = owner[order], token[order]
+        keep = ~np.isin(owner, np.concatenate([none, *failed]))
+        return owner[keep], token[keep]
+
+    def merge(self, words: list[str]) -> list[bytes]:
+        """Exact merging: lowest rank first, leftmost first.  Unknown letters are dropped."""
+        out = [b""] * len(words)
+        letters, ends = self._flat(words)
+        k = np.minimum(np.searchsorted(self.known_letters, letters), len(self.known_letters) - 1)
+        known = self.known_letters[k] == letters
+        kept = np.concatenate(([0], np.cumsum(known)))
+        ids, stops = self.letter_ids[k[known]], kept[ends]
+        starts = np.concatenate(([0], stops[:-1]))
+        sizes = stops - starts
+        for w in np.flatnonzero(sizes > SHORT).tolist():
+            out[w] = np.array(self._merge_long(ids[starts[w]:stops[w]].tolist()), dtype=np.int32).tobytes()
+        order = np.flatnonzero((sizes > 0) & (sizes <= SHORT))
+        order = order[np.argsort(sizes[order], kind="stable")]
+        for s in range(0, len(order), WORDS):
+            own = order[s:s + WORDS]
+            width = int(sizes[own[-1]])
+            at = starts[own][:, None] + np.arange(width)
+            inside = np.arange(width) < sizes[own][:, None]
+            self._merge_short(np.where(inside, ids[np.where(inside, at, 0)], -1), own, out)
         return out
 
-    def merge(self, word: str) -> list[int]:
-        """Exact merging: lowest rank first, leftmost first.  Unknown letters are dropped."""
-        letters = [*word[:-1], word[-1] + self.end]
-        part = [self.ids[c] for c in letters if c in self.ids]
-        if len(part) > SHORT:
-            return self._merge_long(part)
-        rank, none = self.rank, (NEVER, -1)
-        todo = [rank.get(p, none) for p in zip(part, part[1:])]
-        while todo:
-            low = min(todo)
-            if low[1] < 0:
-                break
-            i = todo.index(low)
-            part[i:i + 2] = [low[1]]
-            del todo[i]
-            if i < len(todo):
-                todo[i] = rank.get((part[i], part[i + 1]), none)
-            if i:
-                todo[i - 1] = rank.get((part[i - 1], part[i]), none)
-        return part
+    def _merge_short(self, part: np.ndarray, own: np.ndarray, out: list) -> None:
+        """One row per word, -1 after its end; every pass makes each row's next merge."""
+        def ranks(a, b):
+            return np.where((a >= 0) & (b >= 0), self.ranks(a, b), NEVER)
+
+        todo = ranks(part[:, :-1], part[:, 1:])
+        while len(own):
+            low = todo.min(axis=1, initial=NEVER)
+            going = low < NEVER
+            rest = part[~going]
+            for w, ids in zip(own[~going].tolist(), packed(rest[rest >= 0], (rest >= 0).sum(axis=1))):
+                out[w] = ids
+            part, todo, own, low = part[going], todo[going], own[going], low[going]
+            if not len(own):
+                return
+            row, i = np.arange(len(own)), todo.argmin(axis=1)
+            part[row, i] = self.made[low]
+            step = np.arange(part.shape[1] - 1)
+            part = np.take_along_axis(part, step + (step > i[:, None]), axis=1)
+            step = np.arange(todo.shape[1] - 1)
+            todo = np.take_along_axis(todo, step + (step >= i[:, None]), axis=1)
+            right = i < todo.shape[1]
+            todo[row[right], i[right]] = ranks(part[row[right], i[right]], part[row[right], i[right] + 1])
+            left = i > 0
+            todo[row[left], i[left] - 1] = ranks(part[row[left], i[left] - 1], part[row[left], i[left]])
 
     def _merge_long(self, part: list[int]) -> list[int]:
-        """The same with a heap, for words of any length."""
+        """Exact merging of one word of any length with a heap."""
         n = len(part)
         after, before, live = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(*r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := self.rank.get((part[i], part[i + 1])))]
@@ -177,22 +270,29 @@ class Merges:
                 heapq.heappush(heap, (*r, h, part[h], new))
         return [t for t, alive in zip(part, live) if alive]
 
-    def encode_words(self, words: list[str]) -> tuple[list[list[int]], int]:
-        """Ids of each word, and how many words went to exact merging."""
-        guess = [self.speculate(w) for w in words] if self.sound else [[] for _ in words]
-        sizes = np.fromiter(map(len, guess), dtype=np.int64, count=len(guess))
-        flat = np.fromiter(itertools.chain.from_iterable(guess), dtype=np.int64, count=int(sizes.sum()))
-        owner = np.repeat(np.arange(len(guess)), sizes)
+    def encode_words(self, words: list[str]) -> tuple[list[bytes], int]:
+        """Ids of each word (int32 in a row), and how many words went to exact merging."""
+        if not self.sound:
+            return self.merge(words), len(words)
+        owner, flat = self.speculate(words)
+        sizes = np.bincount(owner, minlength=len(words))
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         key, where = np.unique(flat[inside] << 32 | flat[inside + 1], return_inverse=True)
         bad = np.zeros(len(key), dtype=bool)
         for s in range(0, len(key), 65_536):
             part = key[s:s + 65_536]
             bad[s:s + 65_536] = self.first_crossing(part >> 32, part & 0xFFFFFFFF) != NEVER
-        redo = set(owner[inside[bad[where]]].tolist()) | set(np.flatnonzero(sizes == 0).tolist())
-        for w in redo:
-            guess[w] = self.merge(words[w])
-        return guess, len(redo)
+        redo = np.union1d(owner[inside[bad[where]]], np.flatnonzero(sizes == 0))
+        out = packed(flat, sizes)
+        for w, ids in zip(redo.tolist(), self.merge([words[w] for w in redo.tolist()])):
+            out[w] = ids
+        return out, len(redo)
+
+
+def packed(flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Consecutive runs of ids as int32 bytes."""
+    data, stops = flat.astype(np.int32).tobytes(), (4 * np.cumsum(sizes)).tolist()
+    return [data[a:b] for a, b in zip([0, *stops], stops)]
 
 
 class Encoder:
@@ -211,9 +311,11 @@ class Encoder:
         if self.decoder not in (None, "ByteLevel"):
             raise ValueError(f"decoder {self.decoder} is not supported")
         self.strings = {i: s for s, i in self.merges.ids.items()} | {t["id"]: t["content"] for t in d.get("added_tokens", [])}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.chunks: dict[str, bytes] = {}      # ids as int32 in a row
         self.merged = 0
+        # one word whatever its letters, lower-cased: seen on the alphabet itself
+        az = "abcdefghijklmnopqrstuvwxyz"
+        self.plain = [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.normal(az + az.upper()))] == [az + az]
 
     def segments(self, text: str):
         """Ordinary runs of a text, and the ids of special tokens between them."""
@@ -226,40 +328,70 @@ class Encoder:
             if part:
                 yield self.special.get(part, part)
 
-    def _learn(self, new: set[str]) -> None:
+    def split(self, text: str) -> list[str]:
+        """Runs of a segment between white space.  Python also splits at x1C-x1F, which
+        are no white space to the tokenizer; texts with one are normalised whole."""
+        if not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return text.split()
+        return [c for c in self.normal(text).split(" ") if c]
+
+    def normal(self, text: str) -> str:
+        return self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+
+    def words_of(self, chunks: list[str]) -> list[list[str]]:
+        """Words of chunks, as byte-level letters.  Neither normalising nor the split into
+        words looks across a space, so many chunks go through the library as one text.
+        A chunk of ASCII letters is one word of them, whose bytes stand for themselves."""
+        out = [[c.lower()] if self.plain and c.isascii() and c.isalpha() else None for c in chunks]
+        if rest := [c for c, ws in zip(chunks, out) if ws is None]:
+            found = iter(self._library_words(rest))
+            out = [next(found) if ws is None else ws for ws in out]
+        return out
+
+    def _library_words(self, chunks: list[str]) -> list[list[str]]:
+        plain = self.normal(" ".join(chunks))
+        stops = list(itertools.accumulate(len(c) + 1 for c in plain.split(" ")))
+        if len(stops) != len(chunks):
+            raise ValueError("a chunk changed its number of parts")
+        parts: list[list[str]] = [[] for _ in chunks]
+        k = 0
+        for w, (start, _) in self.library.pre_tokenizer.pre_tokenize_str(plain):
+            while start >= stops[k]:
+                k += 1
+            parts[k].append(w)
+        return parts
+
+    def _learn(self, new: list[str]) -> None:
         """Encode chunks that were not met before, over their distinct words."""
-        split = self.library.pre_tokenizer.pre_tokenize_str
-        words = {c: [w for w, _ in split(c)] for c in new}
-        fresh = list({w for ws in words.values() for w in ws} - self.words.keys())
-        ids, merged = self.merges.encode_words(fresh)
-        self.merged += merged
-        known = self.words
-        known.update(zip(fresh, map(tuple, ids)))
-        for c, ws in words.items():
-            self.chunks[c] = known[ws[0]] if len(ws) == 1 else tuple(itertools.chain.from_iterable(known[w] for w in ws))
+        for lo, hi in runs([len(c) for c in new], 500_000):
+            part = new[lo:hi]
+            words = self.words_of(part)
+            fresh = list({w for ws in words for w in ws})
+            ids, merged = self.merges.encode_words(fresh)
+            self.merged += merged
+            known = dict(zip(fresh, ids)).__getitem__
+            self.chunks.update(zip(part, [known(ws[0]) if len(ws) == 1 else b"".join(map(known, ws)) for ws in words]))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        norm = self.library.normalizer
-        docs, new = [], set()
+        docs, used = [], set()
         for t in texts:
             parts: list = []
             for s in self.segments(t or ""):
                 if isinstance(s, str):
-                    s = (norm.normalize_str(s) if norm else s).split(" ")
-                    new.update(s)
+                    s = self.split(s)
+                    used.update(s)
                 parts.append(s)
             docs.append(parts)
-        new -= self.chunks.keys()
+        chunks = self.chunks
+        new = [c for c in used if c not in chunks]
         if new:
             self._learn(new)
         out = []
         for parts in docs:
-            ids: list[int] = []
-            for s in parts:
-                ids.extend([s] if isinstance(s, int) else itertools.chain.from_iterable(map(self.chunks.__getitem__, s)))
-            out.append(np.array(ids, dtype=np.int32))
-        if len(self.chunks) > CACHE or len(self.words) > CACHE:
-            self.chunks, self.words = {}, {}
+            ids = b"".join(np.int32(s).tobytes() if isinstance(s, int) else b"".join(map(chunks.__getitem__, s)) for s in parts)
+            out.append(np.frombuffer(ids, dtype=np.int32))
+        if len(chunks) > CACHE:     # what these texts used is likely to come again
+            self.chunks = {c: chunks[c] for c in used}
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -339,13 +471,35 @@ def _iterating(run, kind: str):
     return F.arrow_udf(run, kind)
 
 
+def encode_decode(docs: DataFrame, path: str, keep: Sequence[str], text: str = "text") -> DataFrame:
+    """``keep``, ``ids`` and ``decoded`` of every document, in one pass: a task has one
+    worker with one copy of the tables."""
+    spec = file_bytes(docs, path)
+    keep = list(keep)
+
+    def run(batches):
+        import pyarrow as pa
+
+        encoder = Encoder(spec.value)
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            for a, b in runs([len(t or "") for t in texts]):
+                ids = encoder.encode(texts[a:b])
+                decoded = pa.array([encoder.decode(x.tolist()) for x in ids], type=pa.string())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(keep))),
+                                                  list_column(ids, pa.int32()), decoded], names=[*keep, "ids", "decoded"])
+
+    kinds = dict(docs.dtypes)
+    schema = "".join(f"{c} {kinds[c]}, " for c in keep) + "ids array<int>, decoded string"
+    return docs.select(*keep, text).mapInArrow(run, schema)
+
+
 def digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document."""
-    own = docs.select("doc_id", "text")
-    both = decode(encode(own, path), path)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
-                       sha256(F.col("decoded")).alias("decoded_sha256"))
+    return encode_decode(docs, path, ["doc_id"]).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
 def sha256(text: Column) -> Column:

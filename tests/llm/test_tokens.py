@@ -25,7 +25,7 @@ def docs_of(spark, rows):
 
 def odd_texts(seed, n):
     rng = random.Random(seed)
-    letters = "aaaeeeinnstrhldu  bcoAEIÄé'`’ßΣσİ漢字　\t\n0123<|>😀👍🏽​ﬁ▁\x00"
+    letters = "\x1c\x85\xa0\u2028aaaeeeinnstrhldu  bcoAEIÄé'`’ßΣσİ漢字　\t\n0123<|>😀👍🏽​ﬁ▁\x00"
     return ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 60))) for _ in range(n)]
 
 
@@ -50,19 +50,29 @@ def test_words_equal_library():
         library = Tokenizer.from_file(path)
         words = sorted({w for t in odd_texts(2, 3000) for w, _ in library.pre_tokenizer.pre_tokenize_str(t.lower())})
         got, merged = own.merges.encode_words(words)
-        assert got == [own.merges.merge(w) for w in words]
+        assert got == [own.merges.merge([w])[0] for w in words] == own.merges.merge(words)
         assert 0 < merged < len(words)          # both ways are taken
         assert own.merges.trusted.all() and own.merges.sound
 
 
-def test_scan_and_heap_merge_agree(monkeypatch):
+def test_batch_and_heap_merge_agree(monkeypatch):
     with open(WORD, "rb") as f:
         own = bpe.Encoder(f.read()).merges
     rng = random.Random(3)
     words = ["".join(rng.choice("aabnest") for _ in range(rng.randrange(1, 60))) for _ in range(500)]
-    short = [own.merge(w) for w in words]
+    short = own.merge(words)
     monkeypatch.setattr(bpe, "SHORT", 0)
-    assert [own.merge(w) for w in words] == short
+    assert own.merge(words) == short
+
+
+def test_forgotten_chunks_are_learnt_again(monkeypatch):
+    with open(WORD, "rb") as f:
+        spec = f.read()
+    texts = [t for t in TEXTS if t]
+    want = [x.tolist() for x in bpe.Encoder(spec).encode(texts)]
+    monkeypatch.setattr(bpe, "CACHE", 3)
+    own = bpe.Encoder(spec)
+    assert [own.encode([t])[0].tolist() for t in texts] == want
 
 
 def test_untrusted_tokens_are_not_proposed():
@@ -71,7 +81,8 @@ def test_untrusted_tokens_are_not_proposed():
                       "merges": [["b", "c"], ["a", "b"], ["ab", "c"]]}}
     own = bpe.Merges(spec)
     assert not own.trusted[5] and own.trusted[:5].all()
-    assert own.encode_words(["abc", "ab", "abab", "bcab"])[0] == [[0, 3], [4], [4, 4], [3, 4]]
+    got = own.encode_words(["abc", "ab", "abab", "bcab"])[0]
+    assert [np.frombuffer(x, np.int32).tolist() for x in got] == [[0, 3], [4], [4, 4], [3, 4]]
 
 
 def test_encode_decode_equal_library(spark, rows):

@@ -20,6 +20,7 @@ so other columns of any name pass through; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import itertools
 import json
@@ -299,6 +300,7 @@ class Encoder:
     """Texts -> ids and back for one tokenizer file (its bytes)."""
 
     def __init__(self, spec: bytes, special: bool = True):
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         d = json.loads(spec)
@@ -310,7 +312,10 @@ class Encoder:
         self.decoder = (d.get("decoder") or {}).get("type")
         if self.decoder not in (None, "ByteLevel"):
             raise ValueError(f"decoder {self.decoder} is not supported")
-        self.strings = {i: s for s, i in self.merges.ids.items()} | {t["id"]: t["content"] for t in d.get("added_tokens", [])}
+        strings = {i: s for s, i in self.merges.ids.items()} | {t["id"]: t["content"] for t in d.get("added_tokens", [])}
+        letters = byte_letters()
+        self.data = {i: bytes(map(letters.__getitem__, s)) if all(c in letters for c in s) else s.encode() for i, s in strings.items()}
+        self.table = pa.array([strings.get(i) for i in range(max(strings) + 1)], type=pa.string())
         self.chunks: dict[str, bytes] = {}      # ids as int32 in a row
         self.merged = 0
         # one word whatever its letters, lower-cased: seen on the alphabet itself
@@ -394,13 +399,37 @@ class Encoder:
             self.chunks = {c: chunks[c] for c in used}
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        tokens = map(self.strings.__getitem__, ids)
+    def decode(self, rows):
+        """Arrow list column of ids -> string column; null as empty."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        rows = rows.fill_null([]) if rows.null_count else rows
         if self.decoder is None:
-            return " ".join(tokens)
-        letters = byte_letters()
-        data = b"".join(bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode() for t in tokens)
-        return data.decode("utf-8", errors="replace")
+            tokens = self.table.take(rows.flatten())
+            return pc.binary_join(pa.ListArray.from_arrays(_offsets(rows), tokens), " ")
+        data = [b"".join(map(self.data.__getitem__, ids)) for ids in rows.to_pylist()]
+        return pa.array([d.decode("utf-8", errors="replace") for d in data], type=pa.string())
+
+
+def _offsets(rows):
+    """Offsets of an Arrow list column into its flattened values."""
+    import pyarrow as pa
+
+    offsets = np.asarray(rows.offsets)
+    return pa.array((offsets - offsets[0]).astype(np.int32))
+
+
+def encoder_of(spec: bytes) -> Encoder:
+    """The encoder of a tokenizer file, kept by the worker process for its next tasks."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_kindred_encoders", types.ModuleType("_kindred_encoders")).__dict__
+    key = hashlib.sha256(spec).hexdigest()
+    if key not in held:
+        held[key] = Encoder(spec)
+    return held[key]
 
 
 def runs(sizes: list[int], limit: int = 1 << 21):
@@ -438,7 +467,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(columns):
         import pyarrow as pa
 
-        encoder = Encoder(spec.value)
+        encoder = encoder_of(spec.value)
         for col in columns:
             texts, out = col.to_pylist(), []
             for a, b in runs([len(t or "") for t in texts]):
@@ -453,11 +482,9 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     spec = file_bytes(docs, path)
 
     def run(columns):
-        import pyarrow as pa
-
-        encoder = Encoder(spec.value)
+        encoder = encoder_of(spec.value)
         for col in columns:
-            yield pa.array([encoder.decode(row or []) for row in col.to_pylist()], type=pa.string())
+            yield encoder.decode(col)
 
     return docs.withColumn(text, _iterating(run, "string")(F.col(ids)))
 
@@ -480,14 +507,13 @@ def encode_decode(docs: DataFrame, path: str, keep: Sequence[str], text: str = "
     def run(batches):
         import pyarrow as pa
 
-        encoder = Encoder(spec.value)
+        encoder = encoder_of(spec.value)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             for a, b in runs([len(t or "") for t in texts]):
-                ids = encoder.encode(texts[a:b])
-                decoded = pa.array([encoder.decode(x.tolist()) for x in ids], type=pa.string())
+                ids = list_column(encoder.encode(texts[a:b]), pa.int32())
                 yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(a, b - a) for i in range(len(keep))),
-                                                  list_column(ids, pa.int32()), decoded], names=[*keep, "ids", "decoded"])
+                                                  ids, encoder.decode(ids)], names=[*keep, "ids", "decoded"])
 
     kinds = dict(docs.dtypes)
     schema = "".join(f"{c} {kinds[c]}, " for c in keep) + "ids array<int>, decoded string"

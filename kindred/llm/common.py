@@ -3,6 +3,7 @@ broadcasts, and five-word shingles as numpy arrays."""
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
@@ -50,6 +51,24 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def shipped(spark: SparkSession, value):
+    """A driver object for UDFs: a function that gives it inside a task, and its
+    broadcast.  It travels as bytes in which the classes of this subpackage are pickled
+    by value (a plain broadcast names them by module), so executors need no copy of
+    the package; a task unpickles it once."""
+    from pyspark import cloudpickle
+
+    blob = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    held: list = []
+
+    def get():
+        if not held:
+            held.append(pickle.loads(blob.value))
+        return held[0]
+
+    return get, blob
+
+
 def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 

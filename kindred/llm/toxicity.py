@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import hash_sample, materialise
+from kindred.llm.common import hash_sample, materialise, shipped
 from kindred.llm.language_id import held_out
 
 DECAY, LENGTH = 0.85, 3
@@ -328,11 +328,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     document with conflicting labels counts as toxic; repeated rows get the same
     score; without labels of both classes every score is 0; an empty table gives
     no rows.  Only doc_id and text are read of documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+    classifier, _ = shipped(docs.sparkSession, fit(docs, labels))
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        model = shared.value
+        model = classifier()
         if model is None:
             return pd.Series(np.zeros(len(text)))
         return pd.Series(np.concatenate([model.scores(list(text[i:i + 500])) for i in range(0, len(text), 500)])

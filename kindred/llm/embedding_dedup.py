@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import components, materialise, union_find
@@ -22,7 +22,10 @@ from kindred.llm.common import components, materialise, union_find
 SAMPLE, CELL, MAX_CELLS = 50_000, 1024, 4096
 TILE = 2048
 #: How far apart, in standard deviations of a pair at the threshold, the two
-#: vectors may lie across a border; either of them needs to come within half.
+#: vectors may lie across a border; either of them needs to come within half.  The
+#: deviation towards a neighbour cell follows from the spread of the sample inside its
+#: cells, so vectors that fill few of their dimensions reach as far as they must; no
+#: pair can lie farther apart than its own distance, which bounds the slack.
 BORDER = 3.5
 ROUNDS = 8
 
@@ -40,12 +43,10 @@ def spherical_kmeans(x: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
     return c
 
 
-def valid_vectors(vectors: DataFrame) -> DataFrame:
-    """Rows with finite components and a positive norm, one per distinct vector:
-    (id = smallest vec_id, copies, v, dim)."""
-    rows = vectors.select("vec_id", F.col("embedding").alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    fine = F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists("v", lambda e: e != 0)
-    return rows.filter(F.coalesce(fine, F.lit(False)))
+def is_valid(vector: str = "embedding") -> Column:
+    """A vec_id, and finite components of which one is not zero."""
+    fine = F.forall(vector, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(vector, lambda e: e != 0)
+    return F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & F.coalesce(fine, F.lit(False))
 
 
 def _unit(column: pd.Series) -> np.ndarray:
@@ -54,23 +55,43 @@ def _unit(column: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def inner_spread(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Covariance of the vectors about their centroids, as shares of its trace."""
+    d = x.shape[1]
+    total = np.zeros((d, d))
+    for lo in range(0, len(x), 8192):
+        part = x[lo:lo + 8192]
+        rest = part - c[np.argmax(part @ c.T, axis=1)]
+        total += rest.T @ rest
+    trace = np.trace(total)
+    return total / trace if trace > 0 else np.eye(d) / d
+
+
+def border_slack(c: np.ndarray, spread: np.ndarray, threshold: float) -> np.ndarray:
+    """How much nearer to its own centroid i than to centroid j a vector may be when it
+    has to visit cell j, for all i and j."""
+    def between(m):
+        q = np.einsum("id,de,ie->i", c, m, c)
+        return np.sqrt(np.maximum(0, q[:, None] + q - 2 * c @ m @ c.T))
+
+    reach = np.sqrt(2 - 2 * threshold) / 2
+    return reach * np.minimum(BORDER * between(spread), between(np.eye(c.shape[1])))
+
+
 def _assign(shared, threshold):
     def run(batches):
         for pdf in batches:
-            centroids = shared.value
+            centroids, slack = shared.value
             owner = -pdf["dim"].to_numpy(dtype=np.int64)
             visits = [[] for _ in range(len(pdf))]
             rows = np.flatnonzero(pdf["dim"].to_numpy() == centroids.shape[1]) if len(centroids) else []
             if len(rows):
                 x = _unit(pdf["v"].iloc[rows])
-                gram = centroids @ centroids.T
-                slack = BORDER / 2 * np.sqrt(2 - 2 * threshold) / np.sqrt(centroids.shape[1])
                 for lo in range(0, len(rows), 1024):
                     s = x[lo:lo + 1024] @ centroids.T
                     best = s.argmax(axis=1)
                     gap = s[np.arange(len(s)), best][:, None] - s
-                    apart = np.sqrt(np.maximum(0, 2 - 2 * gram[best]))
-                    near = gap <= slack * apart
+                    near = gap <= slack[best]
                     near[np.arange(len(s)), best] = False
                     for i in range(len(s)):
                         owner[rows[lo + i]] = best[i]
@@ -134,23 +155,25 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFr
     A vector that is null, zero or holds a null or non-finite component links
     with nothing and is its own component; so does one with a null vec_id;
     vectors of another dimension than the sample's most frequent one are compared
-    among their own; repeated vectors are linked copies (cosine 1); an empty
+    among their own; repeated vectors are linked copies (cosine 1); a vec_id that
+    repeats with other vectors is a row each time, in the class of its vector; an empty
     table gives no rows; labels and other columns are not read."""
     spark = vectors.sparkSession
-    good = valid_vectors(vectors)
+    good = vectors.filter(is_valid()).select("vec_id", F.col("embedding").alias("v"))
     good = good.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit(9), "v")})
-    classes = good.groupBy("k1", "k2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    one = good.join(classes, ["k1", "k2"])
-    reps = one.filter(F.col("vec_id") == F.col("id")).dropDuplicates(["k1", "k2"]).select("id", "copies", "v", F.size("v").alias("dim"))
-    reps = materialise(reps, "vectors")
+    # a class of equal vectors is known by its hash: an id may repeat with another vector
+    reps = materialise(good.groupBy(F.col("k1").alias("id"), "k2").agg(
+        F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("v").alias("v")).withColumn("dim", F.size("v")), "vectors")
     n = reps.count()
     dims = reps.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
-    centroids = np.zeros((0, 0))
+    centroids, slack = np.zeros((0, 0)), np.zeros((0, 0))
     if dims:
         sample = reps.filter(F.col("dim") == dims[0].dim).orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toPandas()
         k = max(1, min(MAX_CELLS, n // CELL, len(sample)))
-        centroids = spherical_kmeans(_unit(sample["v"]), k)
-    shared = spark.sparkContext.broadcast(centroids)
+        x = _unit(sample["v"])
+        centroids = spherical_kmeans(x, k)
+        slack = border_slack(centroids, inner_spread(x, centroids), threshold)
+    shared = spark.sparkContext.broadcast((centroids, slack))  # MAX_CELLS rows at most
     placed = reps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInPandas(
         _assign(shared, threshold), f"id long, copies long, v {dict(reps.dtypes)['v']}, owner long, visits array<int>")
     placed = materialise(placed, "cells")
@@ -164,10 +187,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFr
     found = materialise(found, "cosines")
     links = found.filter("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("links"))
     groups = components(found.filter("n = 0").select("a", "b"))
-    info = reps.select("id", "copies").join(links, "id", "left").join(groups, "id", "left").select(
-        "id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    members = one.select("vec_id", "id").join(info, "id").select("vec_id", "n_links", "component_id")
-    bad = vectors.select("vec_id", "embedding").join(good.select("vec_id").distinct(), "vec_id", "left_anti").select(
-        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    info = materialise(reps.select("id", "k2", "first", "copies").join(links, "id", "left").join(groups, "id", "left").select(
+        F.col("id").alias("k1"), "k2", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("component", "id").alias("component")), "classes")
+    lowest = info.groupBy("component").agg(F.min("first").alias("component_id"))
+    members = (good.select("vec_id", "k1", "k2").join(info.join(lowest, "component"), ["k1", "k2"])
+               .select("vec_id", "n_links", "component_id"))
+    bad = vectors.filter(~is_valid()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = members.unionByName(bad)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -313,6 +313,27 @@ def test_embeddings_brute_force(spark):
     assert embedding_dedup.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("filled", [6, 8, 64])
+def test_embeddings_that_fill_few_dimensions(spark, filled, monkeypatch):
+    """Links across cell borders are found whatever the effective dimension is."""
+    rng = np.random.default_rng(filled)
+    base = rng.normal(size=(1500, filled))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * rng.uniform(0.25, 0.45, size=(len(base), 1))]) @ rng.normal(size=(filled, 64))
+    monkeypatch.setattr(embedding_dedup, "CELL", 100)  # thirty cells
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicate_vectors(df).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = (u @ u.T >= 0.9).sum(axis=1) - 1
+    assert all(got[i] <= n[i] for i in got) and sum(got.values()) >= 0.995 * n.sum() > 0
+
+
+def test_embeddings_with_repeated_ids(spark):
+    rows = [(5, [1.0, 0.0]), (5, [0.0, 1.0]), (7, [2.0, 0.0]), (7, [1.0, 0.01]), (8, [1.0, 1.0]), (8, None), (None, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.near_duplicate_vectors(df).collect()), key=str)
+    assert got == sorted([(5, 2, 5), (5, 0, 5), (7, 2, 5), (7, 2, 5), (8, 0, 8), (8, 0, 8), (None, 0, None)], key=str)
+
+
 # --- 1 urls
 def test_url_filter_rules_and_templates(spark):
     rows = [(1, "https://A.Example.com/en/5?x"), (2, "http://www.example.com/en/x"), (3, "x://com/"), (4, "http://notexample.com/en/1"),
@@ -489,3 +510,39 @@ def test_pipeline_stages(spark, sf):
     assert not any(sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) for a in ids for b in ids if a < b)
     mixed = corpus_pipeline.source_mix(spark, docs, sf)
     assert mixed.columns == names + ["copies"] and {r.copies for r in mixed.select("copies").distinct().collect()} <= {1, 2, 3}
+
+
+def test_letters_beyond_the_bmp():
+    assert len(language_id.grams("\U0001F600\U0001F3FD 12 \U0001F600")) == 0
+    assert len(language_id.grams("\U00010400\U00010428")) > 0        # Deseret letters
+    assert not len(language_id.grams("\ud83d"))                       # half a pair
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {ckpt!r})
+         .config("spark.sql.shuffle.partitions", "2").getOrCreate())
+from kindred.llm.language_id import identify
+from kindred.llm.toxicity import score_toxicity
+rows = [(i, ("der die das und nicht " if i % 2 else "the and not with that ") * 5 + ("schwachkopf " if i % 4 == 0 else "") + str(i), "de" if i % 2 else "en")
+        for i in range(120)]
+docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(120)], "doc_id long, toxic int")
+print("RIGHT", sum((r.lang_pred == "de") == (r.doc_id % 2 == 1) for r in identify(docs).collect()))
+print("SCORED", score_toxicity(docs, labels).count())
+"""
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """The session starts outside the repository, so Python workers cannot import it."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo, ckpt=str(tmp_path / "ckpt"))], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert "RIGHT 120" in out.stdout and "SCORED 120" in out.stdout, out.stderr[-2000:]

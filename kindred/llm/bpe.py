@@ -420,15 +420,15 @@ def _offsets(rows):
     return pa.array((offsets - offsets[0]).astype(np.int32))
 
 
-def encoder_of(spec: bytes) -> Encoder:
-    """The encoder of a tokenizer file, kept by the worker process for its next tasks."""
+def kept_by_worker(specs: tuple[bytes, ...], make):
+    """``make(*specs)``, kept by the Python worker for its next tasks."""
     import sys
     import types
 
-    held = sys.modules.setdefault("_kindred_encoders", types.ModuleType("_kindred_encoders")).__dict__
-    key = hashlib.sha256(spec).hexdigest()
+    held = sys.modules.setdefault("_kindred_tokenizers", types.ModuleType("_kindred_tokenizers")).__dict__
+    key = make.__name__ + "".join(hashlib.sha256(s).hexdigest() for s in specs)
     if key not in held:
-        held[key] = Encoder(spec)
+        held[key] = make(*specs)
     return held[key]
 
 
@@ -467,7 +467,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(columns):
         import pyarrow as pa
 
-        encoder = encoder_of(spec.value)
+        encoder = kept_by_worker((spec.value,), Encoder)
         for col in columns:
             texts, out = col.to_pylist(), []
             for a, b in runs([len(t or "") for t in texts]):
@@ -482,7 +482,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     spec = file_bytes(docs, path)
 
     def run(columns):
-        encoder = encoder_of(spec.value)
+        encoder = kept_by_worker((spec.value,), Encoder)
         for col in columns:
             yield encoder.decode(col)
 
@@ -507,7 +507,7 @@ def encode_decode(docs: DataFrame, path: str, keep: Sequence[str], text: str = "
     def run(batches):
         import pyarrow as pa
 
-        encoder = encoder_of(spec.value)
+        encoder = kept_by_worker((spec.value,), Encoder)
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             for a, b in runs([len(t or "") for t in texts]):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kindred.llm.bpe import byte_letters, file_bytes, list_column, runs
+from kindred.llm.bpe import byte_letters, file_bytes, kept_by_worker, list_column, runs
 from kindred.llm.common import materialise
 
 #: Code points of text in one block (one document at least); bounds a task's memory.
@@ -41,8 +41,8 @@ SCHEMA = ("block long, role int, row int, doc_id long, n_a long, n_b long, n_gro
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index after the last token of each group in both token lists."""
-    at_a = {e: i for i, e in enumerate(ends_a.tolist(), 1)}
-    at_b = {e: i for i, e in enumerate(ends_b.tolist(), 1)}
+    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
+    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
     common = sorted(at_a.keys() & at_b.keys())
     return (np.fromiter(map(at_a.__getitem__, common), np.int64, len(common)),
             np.fromiter(map(at_b.__getitem__, common), np.int64, len(common)))
@@ -57,14 +57,24 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, closing), np.searchsorted(ends_b, closing)
 
 
-def groups_text(ids_a: list[int], ids_b: list[int], cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
-    sa, sb = list(map(str, ids_a)), list(map(str, ids_b))
-    out, i, j = [], 0, 0
-    for x, y in zip(cut_a.tolist(), cut_b.tolist()):
-        out.append((sa[i] if x - i == 1 else ",".join(sa[i:x])) + "|" + (sb[j] if y - j == 1 else ",".join(sb[j:y])))
-        i, j = x, y
-    return ";".join(out)
+def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, written: list[str]) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of every group.  ``written[4 * id + mark]`` is an id
+    with what follows it: nothing, ``,``, ``|`` or ``;``."""
+    if not len(cut_a):
+        return ""
+    def marks(n, cut, last):
+        out = np.ones(n, dtype=np.int64)
+        out[cut - 1] = last
+        return out
+
+    end, of_a = marks(len(ids_a), cut_a, 2), np.repeat(np.arange(len(cut_a)), np.diff(cut_a, prepend=0))
+    stop, of_b = marks(len(ids_b), cut_b, 3), np.repeat(np.arange(len(cut_b)), np.diff(cut_b, prepend=0))
+    stop[-1] = 0
+    out = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+    # a group's A ids stand behind all B ids of the groups before, its B ids behind its A ids
+    out[np.arange(len(ids_a)) + np.concatenate(([0], cut_b))[of_a]] = 4 * ids_a + end
+    out[np.arange(len(ids_b)) + cut_a[of_b]] = 4 * ids_b + stop
+    return "".join(map(written.__getitem__, out.tolist()))
 
 
 class Tokenizers:
@@ -90,6 +100,7 @@ class Tokenizers:
             self.bytes_a[i] = bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
+        self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ("", ",", "|", ";")]
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
 
@@ -117,7 +128,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        both = Tokenizers(a.value, b.value)
+        both = kept_by_worker((a.value, b.value), Tokenizers)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -129,20 +140,31 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def _block(both: Tokenizers, block: int, doc_ids, texts: list[str], pa):
-    counts, groups, keys, times = [], [], [], []
+    counts, groups, keys = [], [], []
     for x, y in both.encode(texts):
         ia, ib = np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)
         ends_a, ends_b = np.cumsum(both.size_a[ia]), np.cumsum(both.size_b[ib])
         cut_a, cut_b = align(ends_a, ends_b)
         la, lb = links(ends_a, ends_b)
-        key, n = np.unique(ia[la] << 32 | ib[lb], return_counts=True)
+        keys.append(ia[la] << 32 | ib[lb])
         counts.append((len(x), len(y), len(cut_a), len(la)))
-        groups.append(groups_text(x, y, cut_a, cut_b))
-        keys.append(key)
-        times.append(n)
-    flat = np.concatenate(keys)
-    pairs, refs, held = np.unique(flat, return_inverse=True, return_counts=True)
-    refs = np.split(refs, np.cumsum([len(k) for k in keys])[:-1])
+        groups.append(groups_text(ia, ib, cut_a, cut_b, both.written))
+    # one sort by pair; documents stay in order inside each pair
+    flat, sizes = np.concatenate(keys), [len(k) for k in keys]
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, doc = flat[order], doc[order]
+    new_pair = np.ones(len(flat), dtype=bool)
+    new_pair[1:] = flat[1:] != flat[:-1]
+    new_doc = new_pair.copy()
+    new_doc[1:] |= doc[1:] != doc[:-1]
+    at = np.flatnonzero(new_doc)                       # one place per (pair, document)
+    pairs, of_pair = flat[new_pair], (np.cumsum(new_pair) - 1)[at]
+    held = np.bincount(of_pair, minlength=len(pairs))
+    times, doc = np.diff(np.append(at, len(flat))), doc[at]
+    by_doc = np.argsort(doc, kind="stable")
+    cuts = np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1]
+    refs, times = np.split(of_pair[by_doc], cuts), np.split(times[by_doc], cuts)
     n, none = len(texts), np.empty(0, dtype=np.int32)
     columns = [pa.array(np.full(n + 1, block)), pa.array([DOC] * n + [PAIRS], type=pa.int32()),
                pa.array(np.arange(n + 1), type=pa.int32()), pa.concat_arrays([doc_ids.cast(pa.int64()), pa.nulls(1, pa.int64())])]

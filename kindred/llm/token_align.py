@@ -5,6 +5,10 @@ dictionary end -> index; the intersection of their key sets, sorted, gives the c
 ends, and consecutive common ends slice both id lists into groups.  Inside a slice
 every pair of tokens with overlapping bytes is a link.
 
+A space between two other characters starts a token in both tokenizers (their files are
+asked whether that holds), so it is a common end, and what lies between two of them is
+encoded, aligned and linked once per worker however often it comes.
+
 Links are counted by documents over the whole corpus.  Documents are packed into
 blocks of bounded text; a block writes its distinct id pairs once, with the number of
 its documents that hold each, and its documents refer to them by position.  So the
@@ -21,7 +25,9 @@ gives an empty one.
 
 from __future__ import annotations
 
-import hashlib
+import json
+import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,7 +39,11 @@ from kindred.llm.common import materialise
 
 #: Code points of text in one block (one document at least); bounds a task's memory.
 BLOCK = 2_000_000
+#: Distinct pieces of text that a worker remembers beside those of its last block; bounds memory, not results.
+CACHE = 250_000
 SPACE = "▁"
+#: A space between two characters that are no white space.
+CUT = re.compile(r"(?<=\S)(?= \S)")
 DOC, PAIRS = 0, 1
 SCHEMA = ("block long, role int, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
           "groups string, refs array<int>, times array<int>")
@@ -57,24 +67,22 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.searchsorted(ends_a, closing), np.searchsorted(ends_b, closing)
 
 
-def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray, written: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group.  ``written[4 * id + mark]`` is an id
-    with what follows it: nothing, ``,``, ``|`` or ``;``."""
-    if not len(cut_a):
-        return ""
+def group_order(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
+    """``4 * id + mark`` of both lists in the order of the groups, a group's A ids before
+    its B ids; the mark says what follows: 1 an id of the same list, 2 the B ids of the
+    group, 3 the next group."""
     def marks(n, cut, last):
         out = np.ones(n, dtype=np.int64)
         out[cut - 1] = last
         return out
 
-    end, of_a = marks(len(ids_a), cut_a, 2), np.repeat(np.arange(len(cut_a)), np.diff(cut_a, prepend=0))
-    stop, of_b = marks(len(ids_b), cut_b, 3), np.repeat(np.arange(len(cut_b)), np.diff(cut_b, prepend=0))
-    stop[-1] = 0
+    of_a = np.repeat(np.arange(len(cut_a)), np.diff(cut_a, prepend=0))
+    of_b = np.repeat(np.arange(len(cut_b)), np.diff(cut_b, prepend=0))
     out = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
     # a group's A ids stand behind all B ids of the groups before, its B ids behind its A ids
-    out[np.arange(len(ids_a)) + np.concatenate(([0], cut_b))[of_a]] = 4 * ids_a + end
-    out[np.arange(len(ids_b)) + cut_a[of_b]] = 4 * ids_b + stop
-    return "".join(map(written.__getitem__, out.tolist()))
+    out[np.arange(len(ids_a)) + np.concatenate(([0], cut_b))[of_a]] = 4 * ids_a + marks(len(ids_a), cut_a, 2)
+    out[np.arange(len(ids_b)) + cut_a[of_b]] = 4 * ids_b + marks(len(ids_b), cut_b, 3)
+    return out
 
 
 class Tokenizers:
@@ -104,17 +112,80 @@ class Tokenizers:
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both; none where the token bytes of one are not space + text."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        out = []
-        for t, x, y in zip(texts, a, b):
-            whole = (" " + t).encode()
-            same = (t and b"".join(map(self.bytes_a.__getitem__, x)) == whole
-                    and b"".join(map(self.bytes_b.__getitem__, y)) == whole)
-            out.append((x, y) if same else ([], []))
-        return out
+        pre = json.loads(spec_a)["pre_tokenizer"] or {}
+        plain = json.loads(spec_a)["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex")
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.cuts = bool(plain) and all(SPACE not in p[1:] or set(p) == {SPACE} for p in pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: their number, and by number ids, groups, links and counts."""
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.links: list[bytes] = []
+        self.fresh: list[np.ndarray] = []
+        self.counts = np.zeros((0, 5), dtype=np.int64)   # A ids, B ids, groups, links, whether the bytes are the text's
+
+    def keep(self, pieces: list[str]) -> None:
+        at = [self.number[p] for p in pieces]
+        self.groups, self.links = [self.groups[i] for i in at], [self.links[i] for i in at]
+        self.counts, self.number = self.counts[at], dict(zip(pieces, range(len(at))))
+
+    def pieces(self, text: str) -> list[str]:
+        """Space + text, cut where both tokenizers end a token."""
+        return CUT.split(" " + text) if self.cuts else [" " + text]
+
+    def learn(self, new: list[str]) -> None:
+        """Encode pieces that were not met before, and align them all in one row."""
+        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        b = self.b.encode([p[1:] for p in new], num_threads=1)
+        fine = np.ones(len(new), dtype=bool)
+        whole = "".join(new).encode()
+        if any(b"".join(map(table.__getitem__, chain.from_iterable(x))) != whole for table, x in ((self.bytes_a, a), (self.bytes_b, b))):
+            for i, (p, x, y) in enumerate(zip(new, a, b)):
+                whole = p.encode()
+                if b"".join(map(self.bytes_a.__getitem__, x)) != whole or b"".join(map(self.bytes_b.__getitem__, y)) != whole:
+                    fine[i], a[i], b[i] = False, [], []
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a, b))
+        ia, ib = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+        ends_a, ends_b = np.cumsum(self.size_a[ia]), np.cumsum(self.size_b[ib])
+        cut_a, cut_b = align(ends_a, ends_b)
+        la, lb = links(ends_a, ends_b)
+        stop = np.concatenate(([0], ends_a))[np.cumsum(n_a)]        # last byte of each piece
+        groups = np.diff(np.searchsorted(ends_a[cut_a - 1], stop, side="right"), prepend=0)
+        closing = np.maximum(ends_a[la] - self.size_a[ia[la]], ends_b[lb] - self.size_b[ib[lb]])  # first byte of a link
+        linked = np.diff(np.searchsorted(closing, stop), prepend=0)
+        order = group_order(ia, ib, cut_a, cut_b).tolist()
+        text, at = self.written, 0
+        for n in (n_a + n_b).tolist():
+            self.groups.append("".join(map(text.__getitem__, order[at:at + n])))
+            at += n
+        data, at = (ia[la] << 32 | ib[lb]).tobytes(), 0
+        for n in linked.tolist():
+            self.links.append(data[at:at + 8 * n])
+            at += 8 * n
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.fresh.append(np.stack((n_a, n_b, groups, linked, fine), axis=1))
+
+    def align(self, texts: list[str]):
+        """Per text its counts (A ids, B ids, groups, links), groups and link keys."""
+        docs = [self.pieces(t) if t else [] for t in texts]
+        used = set().union(*docs)
+        if len(self.number) > CACHE:     # what these texts use is likely to come again
+            self.keep([p for p in used if p in self.number])
+        new = [p for p in used if p not in self.number]
+        for lo, hi in runs([len(p) for p in new], 100_000):
+            self.learn(new[lo:hi])
+        self.counts, self.fresh = np.concatenate((self.counts, *self.fresh)), []
+        for own in docs:
+            at = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
+            counts = self.counts[at]
+            if not len(at) or not counts[:, 4].all():
+                yield (0, 0, 0, 0), "", np.empty(0, np.int64)
+                continue
+            at = at.tolist()
+            yield (tuple(counts[:, :4].sum(axis=0).tolist()), "".join(map(self.groups.__getitem__, at))[:-1],
+                   np.frombuffer(b"".join(map(self.links.__getitem__, at)), dtype=np.int64))
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -140,15 +211,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def _block(both: Tokenizers, block: int, doc_ids, texts: list[str], pa):
-    counts, groups, keys = [], [], []
-    for x, y in both.encode(texts):
-        ia, ib = np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)
-        ends_a, ends_b = np.cumsum(both.size_a[ia]), np.cumsum(both.size_b[ib])
-        cut_a, cut_b = align(ends_a, ends_b)
-        la, lb = links(ends_a, ends_b)
-        keys.append(ia[la] << 32 | ib[lb])
-        counts.append((len(x), len(y), len(cut_a), len(la)))
-        groups.append(groups_text(ia, ib, cut_a, cut_b, both.written))
+    counts, groups, keys = zip(*both.align(texts))
+    groups = list(groups)
     # one sort by pair; documents stay in order inside each pair
     flat, sizes = np.concatenate(keys), [len(k) for k in keys]
     doc = np.repeat(np.arange(len(texts)), sizes)

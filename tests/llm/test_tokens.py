@@ -160,6 +160,21 @@ def test_alignment_long_text_and_blocks(spark):
     assert (token_align.aligned(df, BYTE, PIECE).filter("role = 0").count()) == 5
 
 
+def test_alignment_forgets_and_learns_again(monkeypatch):
+    with open(BYTE, "rb") as a, open(PIECE, "rb") as b:
+        specs = a.read(), b.read()
+    texts = [t or "" for t in TEXTS if len(t or "") < 10_000]
+    own = token_align.Tokenizers(*specs)
+    assert own.cuts
+    want = [(c, g, k.tolist()) for c, g, k in own.align(texts)]
+    own.forget()
+    own.cuts = False            # whole texts as one piece each
+    assert [(c, g, k.tolist()) for c, g, k in own.align(texts)] == want
+    monkeypatch.setattr(token_align, "CACHE", 2)
+    again = token_align.Tokenizers(*specs)
+    assert [(c, g, k.tolist()) for t in texts for c, g, k in again.align([t])] == want
+
+
 # --- 13 source audit
 def audit_brute(rows, min_docs, top):
     low = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}

@@ -118,14 +118,6 @@ def _shr(h: Column, n: Column) -> Column:
     return F.call_function("shiftrightunsigned", h, n)
 
 
-def first_common_band(x, bits: int = 64, bands: int = 16) -> Column:
-    """Lowest band whose bits agree for ``x = h1 XOR h2`` (-1 if none)."""
-    rows = bits // bands
-    flags = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                        lambda i: _shr(_c(x), i * rows).bitwiseAND(_mask(rows)) == 0)
-    return (F.array_position(flags, True) - 1).cast("int")
-
-
 def log_bucket(length: Column, ratio: float) -> Column:
     """J4 helper: ``floor(ln(len) / ln(1/ratio))``; a pair with
     ``min/max >= ratio`` lies in the same or adjacent buckets."""

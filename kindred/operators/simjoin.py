@@ -1,17 +1,28 @@
 """Near-duplicate self-joins inside a blocking key.
 
 Input rows carry ``kind`` (the block), ``id`` and ``value`` (normalised text).
-Every join is an *equi*-join on ``kind`` plus a derived key (length bucket,
-prefix, SimHash band or Hamming block), never a cross join, and each unordered
-pair is produced exactly once (``id < sim_id``); :func:`mirror` gives both
-directions when a sink needs them.  Text travels only after the cheap filters:
-candidate generation shuffles ``(kind, id, len, h)`` and the texts are joined
-back by id for the edit-distance refinement.
+Rows of a kind with one text are a class, its smallest id the representative.
+Joins work on classes and return them factorised, as *links*
+``(kind, id, sim_id, score, link)``: one row ``near`` per pair of classes that are
+similar (representatives, ``id < sim_id``) and one row ``copy`` per member that is
+not the representative (``id`` = representative, score 100).  A group of c copies is
+c - 1 rows, never c * c / 2; empty texts are a class like any other.  Reports compute
+what they need from class sizes (:mod:`kindred.operators.report`).
+
+Every join is an *equi*-join on ``kind`` plus a derived key (length bucket, prefix,
+segment, SimHash band or Hamming block), never a cross join.  Buckets beyond
+``TILE`` rows are split into tiles, so that a hot bucket is many bounded joins.  Text
+travels only after the cheap filters: candidate generation shuffles ``(kind, id, len,
+h)`` and the texts are joined back by id for the edit-distance refinement.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections.abc import Sequence
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.functions import similarity as S
@@ -20,41 +31,93 @@ from kindred.operators.parallel import balance, spread
 from kindred.operators.signature import simhash
 from kindred.session import cut_lineage
 
-PAIR_COLS = ["kind", "id", "sim_id", "score"]
+LINK_COLS = ["kind", "id", "sim_id", "score", "link"]
+NEAR, COPY = "near", "copy"
+#: Rows of a bucket that one tile joins with each other.
+TILE = 1000
+#: Values that a row may look up in an exact Hamming join.
+MAX_PROBES = 2000
+#: Longer texts of a pair up to this length meet by segments, others by length.
+SEGMENT_MAX = 64
 
 
 def mirror(pairs: DataFrame) -> DataFrame:
-    """Both directions of unordered pairs ``(id < sim_id)``."""
+    """Both directions of links ``(id, sim_id)``."""
     other = [F.col("sim_id").alias("id"), F.col("id").alias("sim_id")]
     rest = [c for c in pairs.columns if c not in ("id", "sim_id")]
     return pairs.unionByName(pairs.select(*other, *rest))
 
 
-def _texts(df: DataFrame, include_empty: bool) -> DataFrame:
-    t = df.select("kind", "id", "value")
-    return t if include_empty else t.filter(F.length("value") > 0)
-
+# --- classes of equal texts ------------------------------------------------
+
+def text_classes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(reps(kind, id, value), copies(kind, id, sim_id, score, link))``: the smallest
+    id of every text of a kind, and a link to it from each other row with that
+    text.  A null text counts as empty.  Texts are written once; members find their
+    class by the SHA-256 of the text, so texts move in one shuffle."""
+    value = F.coalesce("value", F.lit(""))
+    texts = df.select("kind", "id", value.alias("value"), F.sha2(value, 256).alias("_d"))
+    reps = cut_lineage(texts.groupBy("kind", "_d", "value").agg(F.min("id").alias("rep")))
+    copies = (texts.select("kind", "id", "_d").join(reps.select("kind", "_d", "rep"), ["kind", "_d"])
+              .filter(F.col("id") != F.col("rep"))
+              .select("kind", F.col("rep").alias("id"), F.col("id").alias("sim_id"),
+                      F.lit(100.0).alias("score"), F.lit(COPY).alias("link")))
+    return reps.select("kind", F.col("rep").alias("id"), "value"), copies
+
+
+def links(scored: DataFrame, copies: DataFrame) -> DataFrame:
+    """Scored pairs of representatives and the copies as one table of links."""
+    near = scored.select("kind", "id", "sim_id", "score", F.lit(NEAR).alias("link"))
+    return near.unionByName(copies.select(*LINK_COLS))
+
+
+def class_sizes(found: DataFrame) -> DataFrame:
+    """``(kind, id, size, second)`` of the classes with copies: how many rows they
+    have, and the smallest id beside the representative."""
+    return (found.filter(F.col("link") == COPY).groupBy("kind", "id")
+            .agg((F.count(F.lit(1)) + 1).alias("size"), F.min("sim_id").alias("second")))
+
+
+def weighted_links(found: DataFrame) -> DataFrame:
+    """Links by class, ``(kind, id, sim_id, pairs)``: how many pairs of rows each stands
+    for.  ``id = sim_id`` is a class with itself, its copies."""
+    sizes = class_sizes(found)
+    size = F.coalesce(F.col("size"), F.lit(1).cast("long"))
+    near = (found.filter(F.col("link") == NEAR).select("kind", "id", "sim_id")
+            .join(sizes.select("kind", "id", size.alias("_l")), ["kind", "id"], "left")
+            .join(sizes.select("kind", F.col("id").alias("sim_id"), size.alias("_r")), ["kind", "sim_id"], "left"))
+    one = F.lit(1).cast("long")
+    own = sizes.select("kind", "id", F.col("id").alias("sim_id"), (F.col("size") * (F.col("size") - 1) / 2).cast("long").alias("pairs"))
+    return near.select("kind", "id", "sim_id", (F.coalesce("_l", one) * F.coalesce("_r", one)).alias("pairs")).unionByName(own)
+
+
+# --- bounded buckets ---------------------------------------------------------
+
+def tiled_self_join(rows: DataFrame, keys: Sequence[str], carry: Sequence[str], tile: int = TILE) -> DataFrame:
+    """Every pair of rows that agree in ``keys``, once: columns ``keys``, ``id`` and
+    ``sim_id``, and ``carry`` plain for the one and with ``_r`` for the other side.
+
+    A histogram finds the buckets beyond ``tile`` rows.  Such a bucket of n rows is
+    dealt by hash into g = ceil(n / tile) slices; slices i <= j meet in tile (i, j),
+    so no key of the join has more than about ``tile`` rows on a side."""
+    heavy = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > tile)
+             .select(*keys, F.ceil(F.col("_n") / F.lit(tile)).cast("int").alias("_g")))
+    g = F.coalesce(F.col("_g"), F.lit(1))
+    own = rows.join(heavy, list(keys), "left").withColumn("_g", g).withColumn(
+        "_s", F.pmod(F.xxhash64("id"), F.col("_g")).cast("int"))
+    left = own.select(*keys, "id", *carry, F.col("_s").alias("_i"),
+                      F.explode(F.sequence(F.col("_s"), F.col("_g") - 1)).alias("_j"))
+    right = own.select(*keys, F.col("id").alias("sim_id"), *[F.col(c).alias(f"{c}_r") for c in carry],
+                       F.explode(F.sequence(F.lit(0), F.col("_s"))).alias("_i"), F.col("_s").alias("_j"))
+    return (left.join(right, [*keys, "_i", "_j"])
+            .filter((F.col("_i") < F.col("_j")) | (F.col("id") < F.col("sim_id"))).drop("_i", "_j"))
 
-def _collapse(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact copies of a kind become one row: ``(reps(kind, id, value),
-    members(kind, id, rep))`` with the smallest id as representative."""
-    groups = texts.groupBy("kind", "value").agg(F.min("id").alias("rep"))
-    members = cut_lineage(texts.join(groups, ["kind", "value"]).select("kind", "id", "rep"))
-    return groups.select("kind", F.col("rep").alias("id"), "value"), members
 
+def _ordered(j: DataFrame) -> DataFrame:
+    return j.select("kind", F.least("id", "sim_id").alias("id"), F.greatest("id", "sim_id").alias("sim_id"))
 
-def _expand(scored: DataFrame, members: DataFrame) -> DataFrame:
-    """Scored pairs of representatives -> pairs of all rows; copies of one text
-    are pairs with score 100."""
-    l = members.select("kind", F.col("id").alias("_a"), F.col("rep").alias("id"))
-    r = members.select("kind", F.col("id").alias("_b"), F.col("rep").alias("sim_id"))
-    apart = scored.join(l, ["kind", "id"]).join(r, ["kind", "sim_id"]).select("kind", "_a", "_b", "score")
-    copies = (members.select("kind", "rep", F.col("id").alias("_a"))
-              .join(members.select("kind", "rep", F.col("id").alias("_b")), ["kind", "rep"])
-              .filter(F.col("_a") < F.col("_b")).select("kind", "_a", "_b", F.lit(100.0).alias("score")))
-    return apart.unionByName(copies).select(
-        "kind", F.least("_a", "_b").alias("id"), F.greatest("_a", "_b").alias("sim_id"), "score")
 
+# --- J12: refinement ------------------------------------------------------------
 
 def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
                 engine: str = "bitparallel") -> DataFrame:
@@ -63,8 +126,10 @@ def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
     Texts are joined back by ``(kind, id)`` twice, the pairs are spread evenly
     over the cluster (the cost is CPU, not bytes), the lossless length bound
     drops hopeless pairs, and the edit distance runs with the largest distance
-    that can still pass as early-exit bound.  All lengths take the same plan;
-    ``engine='builtin'`` uses Spark's ``levenshtein`` and gives the same value."""
+    that can still pass as early-exit bound; q-gram counts bound what the rest of a
+    pair must cost, which ends most pairs after a fraction of their text.  All
+    lengths take the same plan; ``engine='builtin'`` uses Spark's ``levenshtein``
+    and gives the same value."""
     l = texts.select("kind", "id", F.col("value").alias("_lv"))
     r = texts.select("kind", F.col("id").alias("sim_id"), F.col("value").alias("_rv"))
     joined = cands.select("kind", "id", "sim_id").join(l, ["kind", "id"]).join(r, ["kind", "sim_id"])
@@ -84,10 +149,64 @@ def score_pairs(cands: DataFrame, texts: DataFrame, threshold: float,
         scored = with_d.select("kind", "id", "sim_id",
                                F.when(F.col("_d") < 0, F.lit(None).cast("double"))
                                .otherwise(S.score_pct(sim)).alias("score"))
-    return scored.filter(F.col("score") >= F.lit(float(threshold))).select(*PAIR_COLS)
+    return scored.filter(F.col("score") >= F.lit(float(threshold))).select("kind", "id", "sim_id", "score")
+
+
+# --- J4 / J6: length ranges -----------------------------------------------------
+
+def length_histogram(df: DataFrame) -> DataFrame:
+    """``(kind, len, n)``; a null text has length 0."""
+    size = F.length(F.coalesce("value", F.lit("")))
+    return df.select("kind", size.alias("len")).groupBy("kind", "len").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rows_up_to(hist: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked(kind, at)`` with ``upto``, the rows of the kind no longer than ``at``.
+
+    One ordered prefix sum per kind over the lengths that occur and those asked for;
+    its rows are lengths, not texts."""
+    from pyspark.sql import Window
+
+    points = hist.select("kind", F.col("len").cast("long").alias("at"), "n", F.lit(0).alias("_q")).unionByName(
+        asked.select("kind", F.col("at").cast("long").alias("at"), F.lit(0).cast("long").alias("n"), F.lit(1).alias("_q")).distinct())
+    upto = F.sum("n").over(Window.partitionBy("kind").orderBy("at", "_q"))
+    return points.withColumn("upto", upto).filter(F.col("_q") == 1).select("kind", "at", "upto")
+
+
+def _counted(hist: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Histogram rows with ``_in``: rows whose length lies in [low, high]."""
+    h = hist.select("*", (low - 1).cast("long").alias("_lo"), high.cast("long").alias("_hi"))
+    sums = rows_up_to(hist, h.select("kind", F.col("_lo").alias("at")).unionByName(h.select("kind", F.col("_hi").alias("at"))))
+    sums = cut_lineage(sums)
+    return (h.join(sums.select("kind", F.col("at").alias("_lo"), F.col("upto").alias("_a")), ["kind", "_lo"])
+            .join(sums.select("kind", F.col("at").alias("_hi"), F.col("upto").alias("_b")), ["kind", "_hi"])
+            .withColumn("_in", F.col("_b") - F.col("_a")))
+
+
+def length_ratio_classes(df: DataFrame, min_similarity: float) -> DataFrame:
+    """J4 as classes ``(kind, len, n, n_links)``: each of the ``n`` rows of a length pairs
+    with ``n_links`` others, those whose length ratio ``min/max`` is at least
+    ``min_similarity/100``.  Empty texts pair with nothing and have no class."""
+    r = F.lit(min_similarity / 100.0)
+    hist = cut_lineage(length_histogram(df).filter(F.col("len") > 0))
+    # the integer borders of the ratio test as doubles compute it
+    ln = F.col("len").cast("double")
+    lo, hi = F.ceil(ln * r), F.floor(ln / r)
+    lo = F.when((lo - 1) / ln >= r, lo - 1).when(lo / ln < r, lo + 1).otherwise(lo)
+    hi = F.when(ln / (hi + 1) >= r, hi + 1).when(ln / hi < r, hi - 1).otherwise(hi)
+    return _counted(hist, lo, hi).select("kind", "len", "n", (F.col("_in") - 1).alias("n_links"))
 
 
-# --- J4 / J6: length range joins -----------------------------------------
+def length_window_classes(df: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """J6 as classes ``(kind, len, n, n_longer, pairs)``: in (length, pos) order each of
+    the ``n`` rows of a length meets the later rows of its own length and ``n_longer``
+    rows of greater length, at most ``int(len / threshold)``; ``pairs`` counts both."""
+    hist = cut_lineage(length_histogram(df))
+    out = _counted(hist, F.col("len") + 1, F.greatest(F.floor(F.col("len") / F.lit(threshold)), F.col("len")))
+    n = F.col("n")
+    return out.select("kind", "len", "n", F.col("_in").alias("n_longer"),
+                      (n * F.col("_in") + (n * (n - 1) / 2).cast("long")).alias("pairs"))
+
 
 def _length_band_join(df: DataFrame, ratio: float) -> DataFrame:
     """Pairs ``(a, b)`` with ``(len_a, id_a) < (len_b, id_b)`` and ``len_a/len_b``
@@ -104,8 +223,9 @@ def _length_band_join(df: DataFrame, ratio: float) -> DataFrame:
 
 
 def length_ratio_pairs(df: DataFrame, min_similarity: float) -> DataFrame:
-    """Unordered pairs whose length ratio ``min/max >= min_similarity/100``;
-    empty texts never pair.  Returns ``(kind, id, sim_id)`` with ``id < sim_id``."""
+    """J4 as a list: unordered pairs whose length ratio ``min/max >= min_similarity/100``;
+    empty texts never pair.  Returns ``(kind, id, sim_id)`` with ``id < sim_id``.  As
+    many rows as pairs: for small kinds; :func:`length_ratio_classes` counts them."""
     r = min_similarity / 100.0
     base = df.select("kind", "id", F.length("value").alias("len")).filter(F.col("len") > 0)
     j = _length_band_join(base, r)
@@ -114,8 +234,8 @@ def length_ratio_pairs(df: DataFrame, min_similarity: float) -> DataFrame:
 
 
 def length_window_pairs(df: DataFrame, threshold: float = 0.7, pos: str = "id") -> DataFrame:
-    """Sort by (length, pos); pair each row with later rows whose length is at
-    most ``int(len / threshold)``.  Returns ``(kind, id, sim_id)``, shorter first."""
+    """J6 as a list: sort by (length, pos); pair each row with later rows whose length
+    is at most ``int(len / threshold)``.  Returns ``(kind, id, sim_id)``, shorter first."""
     base = df.select("kind", "id", F.col(pos).alias("_pos"), F.length("value").alias("len"))
     width = max(threshold - 1e-9, 1e-9)
     b = base.withColumn("_b", S.log_bucket(F.col("len"), width))
@@ -130,35 +250,84 @@ def length_window_pairs(df: DataFrame, threshold: float = 0.7, pos: str = "id")
     return j.select("kind", "id", "sim_id")
 
 
-def _ordered(j: DataFrame) -> DataFrame:
-    return j.select("kind", F.least("id", "sim_id").alias("id"), F.greatest("id", "sim_id").alias("sim_id"))
+# --- J5: shared prefixes -----------------------------------------------------------
 
+def prefix_classes(df: DataFrame, min_similarity: float) -> DataFrame:
+    """J5 as classes: rows that share the first ``int(r * shortest non-empty length of the
+    kind)`` characters.  One row per text, ``(kind, id, class_id, n_links)``: the smallest
+    id of its class and the number of others in it.
 
-def prefix_pairs(df: DataFrame, min_similarity: float) -> DataFrame:
-    """Pairs sharing the first ``int(r * shortest non-empty length of the kind)``
-    characters (both texts at least that long).  Equi-join on the prefix."""
+    Where the prefix has length 0 (a kind with a very short text) all non-empty texts of
+    the kind are one class; empty texts have none."""
     r = min_similarity / 100.0
     t = df.select("kind", "id", "value").filter(F.length("value") > 0)
     k = t.groupBy("kind").agg(F.floor(F.min(F.length("value")) * F.lit(r)).cast("int").alias("_k"))
-    keyed = (t.join(k, "kind").filter(F.length("value") >= F.col("_k"))
-             .select("kind", "id", F.expr("substring(value, 1, _k)").alias("_pfx")))
-    l = keyed.alias("l")
-    rgt = keyed.select("kind", F.col("id").alias("sim_id"), "_pfx")
-    return l.join(rgt, ["kind", "_pfx"]).filter(F.col("id") < F.col("sim_id")).select("kind", "id", "sim_id")
+    keyed = t.join(k, "kind").select("kind", "id", F.xxhash64(F.expr("substring(value, 1, _k)")).alias("_h"),
+                                     F.expr("substring(value, 1, _k)").alias("_pfx"))
+    classes = keyed.groupBy("kind", "_pfx").agg(F.min("id").alias("class_id"), (F.count(F.lit(1)) - 1).alias("n_links"))
+    return keyed.join(classes, ["kind", "_pfx"]).select("kind", "id", "class_id", "n_links")
 
 
 # --- J3: exact threshold join ------------------------------------------------
 
-def near_duplicates_exact(df: DataFrame, threshold: float = 75, include_empty: bool = False) -> DataFrame:
-    """Every pair of one kind whose rounded score is >= ``threshold``.
-
-    Candidate pairs of distinct texts come from the lossless length-ratio band
-    join (J4 with the rounding slack), then the edit distance decides."""
-    texts, members = _collapse(_texts(df, include_empty))
+def _most_edits(m: Column, threshold: float) -> Column:
+    """Edits that a pair whose longer text has ``m`` characters may differ by."""
+    return F.floor(m * F.lit((100.0 - threshold + 0.005) / 100.0)).cast("int")
+
+
+def segment_pairs(texts: DataFrame, threshold: float, longest: int = SEGMENT_MAX) -> DataFrame:
+    """Candidates among short texts: all pairs within the edits that ``threshold`` allows
+    whose longer text has at most ``longest`` characters.  Lossless for T >= 75.
+
+    With at most k edits, one of k + 1 segments of the shorter text stands unchanged in
+    the longer one.  Segment i can have moved by at most i places, counted from the left,
+    and by k - i counted from the right, which leaves few substrings to look up."""
+    if threshold < 75:
+        raise ValueError("segments need a threshold of 75 or more")
+    base = texts.select("kind", "id", "value", F.length("value").alias("len")).filter(
+        (F.col("len") > 0) & (F.col("len") <= longest))
+    ratio = (threshold - 0.005) / 100.0
+    # start of segment i of k + 1 in a text of n characters, from 0
+    cut = "cast(floor({n} * {i} / ({k} + 1)) as int)".format
+
+    # the shorter side, for every k that a longer partner can have
+    most = _most_edits(F.floor(F.col("len") / F.lit(ratio)), threshold)
+    short = base.withColumn("k", F.explode(F.sequence(_most_edits(F.col("len"), threshold), most)))
+    short = short.select("kind", "id", "len", "k", F.explode(F.expr("sequence(0, k)")).alias("i"), "value")
+    a, b = cut(n="len", i="i", k="k"), cut(n="len", i="(i + 1)", k="k")
+    short = short.select("kind", "id", "len", "k", "i", F.expr(f"substring(value, {a} + 1, {b} - {a})").alias("seg"))
+
+    # the longer side, for every length that a shorter partner can have
+    long = base.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("m"), "value",
+                       _most_edits(F.col("len"), threshold).alias("k"),
+                       F.explode(F.sequence(F.ceil(F.col("len") * F.lit(ratio)).cast("int"), F.col("len"))).alias("len"))
+    long = long.select("*", F.explode(F.expr("sequence(0, k)")).alias("i"))
+    long = long.select("*", F.expr(a).alias("p"), F.expr(f"{b} - {a}").alias("w"))
+    lo = "greatest(p - i, p + (m - len) - (k - i), 0)"
+    hi = "least(p + i, p + (m - len) + (k - i), m - w)"
+    long = long.filter(F.expr(f"{lo} <= {hi}")).select("*", F.explode(F.expr(f"sequence({lo}, {hi})")).alias("q"))
+    long = long.select("kind", "sim_id", "m", "len", "k", "i", F.expr("substring(value, q + 1, w)").alias("seg"))
+
+    met = short.join(long, ["kind", "len", "k", "i", "seg"]).filter(
+        (F.col("len") < F.col("m")) | (F.col("id") < F.col("sim_id")))
+    return _ordered(met).distinct()
+
+
+def exact_candidates(texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of texts that the lossless filters of J3 leave: segments where both are
+    short, length ratio elsewhere."""
     lens = texts.select("kind", "id", F.length("value").alias("len"))
-    r = (threshold - 0.005) / 100.0
-    cands = _length_band_join(lens, r).filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return _expand(score_pairs(_ordered(cands), texts, threshold), members)
+    by_length = _length_band_join(lens, (threshold - 0.005) / 100.0).filter(
+        S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
+    if threshold < 75:
+        return _ordered(by_length)
+    return _ordered(by_length.filter(F.col("_rl") > SEGMENT_MAX)).unionByName(segment_pairs(texts, threshold))
+
+
+def near_duplicates_exact(df: DataFrame, threshold: float = 75) -> DataFrame:
+    """Links of all texts of one kind whose rounded score is >= ``threshold``."""
+    reps, copies = text_classes(df)
+    return links(score_pairs(exact_candidates(reps, threshold), reps, threshold), copies)
 
 
 # --- J7 / J8 / J9: SimHash paths ----------------------------------------------
@@ -173,68 +342,129 @@ def signatures(df: DataFrame, bits: int = 64, materialize: bool = True) -> DataF
     return cut_lineage(sig) if materialize else sig
 
 
-def _block_bounds(bits: int, blocks: int) -> list[tuple[int, int]]:
-    return [(i * bits // blocks, (i + 1) * bits // blocks) for i in range(blocks)]
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _blocks_join(sig: DataFrame, bounds: list[tuple[int, int]], max_hamming: int) -> DataFrame:
-    """Equi-join on ``(kind, block, block bits)``; a pair is emitted only by the
-    lowest block on which it agrees, so no ``distinct`` shuffle is needed."""
-    def block_val(h, lo, hi):
-        width = hi - lo
-        mask = F.lit((1 << width) - 1 if width < 64 else -1).cast("long")
-        return F.shiftrightunsigned(h, lo).bitwiseAND(mask)
+def _met(sig_pairs: DataFrame, x: Column, first: Column, max_hamming: int) -> DataFrame:
+    """Pairs found by a block join that are kept: by the first block that finds them,
+    so no ``distinct`` shuffle follows, and within ``max_hamming`` bits."""
+    return sig_pairs.filter((first == F.col("blk")) & (F.bit_count(x) <= F.lit(max_hamming))).select(
+        "kind", F.least("id", "sim_id").alias("id"), F.greatest("id", "sim_id").alias("sim_id"),
+        F.col("len").alias("_ll"), F.col("len_r").alias("_rl"), F.bit_count(x).cast("int").alias("hamming"))
 
-    keys = F.array(*[F.struct(F.lit(i).alias("blk"), block_val(F.col("h"), lo, hi).alias("key"))
-                     for i, (lo, hi) in enumerate(bounds)])
-    exploded = sig.select("kind", "id", "len", "h", F.explode(keys).alias("_k")).select(
-        "kind", "id", "len", "h", F.col("_k.blk").alias("blk"), F.col("_k.key").alias("key"))
-    l = exploded
-    r = exploded.select("kind", "blk", "key", F.col("id").alias("sim_id"), F.col("len").alias("_rl"),
-                        F.col("h").alias("_rh"))
-    x = F.col("h").bitwiseXOR(F.col("_rh"))
+
+def _blocks_join(sig: DataFrame, masks: Sequence[int], max_hamming: int) -> DataFrame:
+    """Tiled join on ``(kind, block, block bits)``; a block is a mask of bits."""
+    keys = F.array(*[F.struct(F.lit(i).alias("blk"), F.col("h").bitwiseAND(F.lit(_signed(m))).alias("key"))
+                     for i, m in enumerate(masks)])
+    exploded = sig.select("kind", "id", "len", "h", F.inline(keys))
+    x = F.col("h").bitwiseXOR(F.col("h_r"))
     first = F.lit(-1)
-    for i in reversed(range(len(bounds))):
-        lo, hi = bounds[i]
-        first = F.when(block_val(x, lo, hi) == 0, F.lit(i)).otherwise(first)
-    return (l.join(r, ["kind", "blk", "key"])
-            .filter((F.col("id") < F.col("sim_id")) & (first == F.col("blk"))
-                    & (F.bit_count(x) <= F.lit(max_hamming)))
-            .select("kind", "id", "sim_id", F.col("len").alias("_ll"), "_rl"))
+    for i in reversed(range(len(masks))):
+        first = F.when(x.bitwiseAND(F.lit(_signed(masks[i]))) == 0, F.lit(i)).otherwise(first)
+    return _met(tiled_self_join(exploded, ["kind", "blk", "key"], ["len", "h"]), x, first, max_hamming)
+
+
+def block_plan(ones: Sequence[float], max_hamming: int, sizes: Sequence[int]) -> list[tuple[int, int]]:
+    """Blocks ``(mask, radius)`` for an exact Hamming join by the pigeonhole principle: with
+    ``sum(radius + 1) = max_hamming + 1`` every pair within ``max_hamming`` bits is within
+    ``radius`` on some block.
+
+    ``ones`` is each bit's share of ones, ``sizes`` the rows per kind.  Bits are dealt by
+    entropy so that blocks tell rows apart equally well.  Few blocks are selective but
+    need every value within the radius looked up; many blocks need few look-ups but
+    meet most rows.  The number of blocks with the least rows made and pairs met wins."""
+    bits = len(ones)
+    same = [p * p + (1 - p) * (1 - p) for p in ones]          # chance that two rows agree on a bit
+    order = sorted(range(bits), key=lambda i: same[i])
+    best = None
+    for m in range(1, min(max_hamming + 1, bits) + 1):
+        blocks = [[] for _ in range(m)]
+        for n, bit in enumerate(order):                        # dealt to and fro
+            blocks[n % m if (n // m) % 2 == 0 else m - 1 - n % m].append(bit)
+        radius = [(max_hamming + 1) // m - 1 + (i < (max_hamming + 1) % m) for i in range(m)]
+        probes, met = 0, 0.0
+        for own, r in zip(blocks, radius):
+            probes += sum(math.comb(len(own), j) for j in range(r + 1))
+            # chance of at most r differences, bit by bit
+            chance = [1.0] + [0.0] * r
+            for bit in own:
+                chance = [chance[j] * same[bit] + (chance[j - 1] * (1 - same[bit]) if j else 0.0) for j in range(r + 1)]
+            met += sum(chance)
+        if probes > MAX_PROBES:
+            continue
+        cost = sum(n * (probes + m) + n * n / 2 * met for n in sizes)
+        if best is None or cost < best[0]:
+            best = (cost, [(sum(1 << b for b in own), r) for own, r in zip(blocks, radius)])
+    return best[1]
+
+
+def _flips(mask: int, radius: int) -> list[int]:
+    """All values that differ from 0 by at most ``radius`` bits of ``mask``."""
+    own = [1 << b for b in range(64) if mask >> b & 1]
+    return [sum(c) for r in range(radius + 1) for c in combinations(own, r)]
 
 
 def hamming_pairs(sig: DataFrame, max_hamming: int, bits: int = 64) -> DataFrame:
-    """Exact Hamming join: by pigeonhole a pair within ``t`` bits agrees on at
-    least one of ``t + 1`` blocks, so an equi-join on blocks finds all of them."""
-    blocks = min(max_hamming + 1, bits)
-    return _blocks_join(sig, _block_bounds(bits, blocks), max_hamming)
+    """Exact Hamming join by the pigeonhole principle (:func:`block_plan`): one side shows
+    its bits of every block, the other looks up all values within the block's radius."""
+    shares = [F.avg(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(1))).alias(f"b{i}") for i in range(bits)]
+    ones = [p or 0.0 for p in sig.agg(*shares).first()]
+    # kinds by size class, so that many kinds are few numbers
+    sizes = [(r.n, r.k) for r in sig.groupBy("kind").count().groupBy(F.floor(F.log2("count")).alias("c")).agg(
+        F.max("count").alias("n"), F.count(F.lit(1)).alias("k")).collect()]
+    plan = block_plan(ones, max_hamming, [n for n, k in sizes for _ in range(min(k, 1000))] or [1])
+    if all(r == 0 for _, r in plan):
+        return _blocks_join(sig, [m for m, _ in plan], max_hamming)
+    shown = F.array(*[F.struct(F.lit(i).alias("blk"), F.col("h").bitwiseAND(F.lit(_signed(m))).alias("key"))
+                      for i, (m, _) in enumerate(plan)])
+    looked = F.expr("array(" + ", ".join(f"struct({i} AS blk, {_signed(m)}L AS m, {_signed(f)}L AS f)"
+                                        for i, (m, r) in enumerate(plan) for f in _flips(m, r)).replace("-9223372036854775808L", "(-9223372036854775807L - 1L)") + ")")
+    left = sig.select("kind", "id", "len", "h", F.inline(shown))
+    right = sig.select("kind", F.col("id").alias("sim_id"), F.col("len").alias("len_r"), F.col("h").alias("h_r"), F.inline(looked)).select(
+        "kind", "sim_id", "len_r", "h_r", "blk", F.col("h_r").bitwiseAND(F.col("m")).bitwiseXOR(F.col("f")).alias("key"))
+    x = F.col("h").bitwiseXOR(F.col("h_r"))
+    first = F.lit(-1)
+    for i, (m, r) in reversed(list(enumerate(plan))):
+        first = F.when(F.bit_count(x.bitwiseAND(F.lit(_signed(m)))) <= r, F.lit(i)).otherwise(first)
+    # a pair is met from either side; the one with the smaller id shows, the other looks up
+    return _met(left.join(right, ["kind", "blk", "key"]).filter(F.col("id") < F.col("sim_id")), x, first, max_hamming)
 
 
 def lsh_pairs(sig: DataFrame, max_hamming: int, bits: int = 64, bands: int = 16) -> DataFrame:
     """Pairs sharing at least one LSH band (``bits // bands`` bits each,
     remainder ignored) and within ``max_hamming`` bits."""
     rows = bits // bands
-    return _blocks_join(sig, [(b * rows, (b + 1) * rows) for b in range(bands)], max_hamming)
+    return _blocks_join(sig, [((1 << rows) - 1) << (b * rows) for b in range(bands)], max_hamming)
 
 
-def near_duplicates_simhash(df: DataFrame, threshold: float = 75, bits: int = 64,
-                            include_empty: bool = False) -> DataFrame:
-    """Hamming distance <= ``int((1-T/100)*bits)``, then exact score >= T."""
-    texts, members = _collapse(_texts(df, include_empty))
-    sig = signatures(texts, bits)
-    cands = hamming_pairs(sig, S.hamming_threshold(threshold, bits), bits)
+def candidate_links(df: DataFrame, threshold: float = 75, bits: int = 64, bands: int = 16) -> DataFrame:
+    """J8 as links ``(kind, id, sim_id, hamming, simhash_similarity, link)`` of the
+    candidate pairs of classes, and the copies with distance 0."""
+    reps, copies = text_classes(df)
+    near = lsh_pairs(signatures(reps, bits), S.hamming_threshold(threshold, bits), bits, bands)
+    both = near.select("kind", "id", "sim_id", "hamming", F.lit(NEAR).alias("link")).unionByName(
+        copies.select("kind", "id", "sim_id", F.lit(0).alias("hamming"), "link"))
+    return both.select("kind", "id", "sim_id", "hamming",
+                       (F.lit(1.0) - F.col("hamming") / F.lit(float(bits))).alias("simhash_similarity"), "link")
+
+
+def _refined(reps: DataFrame, copies: DataFrame, cands: DataFrame, threshold: float) -> DataFrame:
     cands = cands.filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return _expand(score_pairs(cands, texts, threshold), members)
+    return links(score_pairs(cands, reps, threshold), copies)
 
 
-def near_duplicates_lsh(df: DataFrame, threshold: float = 75, bits: int = 64, bands: int = 16,
-                        include_empty: bool = False) -> DataFrame:
+def near_duplicates_simhash(df: DataFrame, threshold: float = 75, bits: int = 64) -> DataFrame:
+    """Hamming distance <= ``int((1-T/100)*bits)``, then exact score >= T."""
+    reps, copies = text_classes(df)
+    return _refined(reps, copies, hamming_pairs(signatures(reps, bits), S.hamming_threshold(threshold, bits), bits), threshold)
+
+
+def near_duplicates_lsh(df: DataFrame, threshold: float = 75, bits: int = 64, bands: int = 16) -> DataFrame:
     """J9 (flagship): SimHash -> LSH bands -> Hamming gate -> exact score >= T."""
-    texts, members = _collapse(_texts(df, include_empty))
-    sig = signatures(texts, bits)
-    cands = lsh_pairs(sig, S.hamming_threshold(threshold, bits), bits, bands)
-    cands = cands.filter(S.length_ratio_ok(F.col("_ll"), F.col("_rl"), threshold))
-    return _expand(score_pairs(cands, texts, threshold), members)
+    reps, copies = text_classes(df)
+    return _refined(reps, copies, lsh_pairs(signatures(reps, bits), S.hamming_threshold(threshold, bits), bits, bands), threshold)
 
 
 def near_duplicates(df: DataFrame, threshold: float = 50, method: str = "lsh", bits: int = 64,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kindred.functions import similarity as S
-from kindred.functions.editdistance import banded_distance, edit_distance, fast_levenshtein
+from kindred.functions.editdistance import Grams, banded_distance, edit_distance, fast_levenshtein
 
 
 def dp(a, b):
@@ -94,3 +94,5 @@ def test_banded_distance_matches_dp():
         if not b or k >= len(b):
             continue
         assert banded_distance(a, b, k) == (d if d <= k else -1)
+        rest = Grams().rest_cost(a, b)
+        assert rest[0] <= d and banded_distance(a, b, k, rest) == (d if d <= k else -1)

@@ -15,9 +15,8 @@ from kindred.operators.graph import connected_components, drop_largest
 FILL_COLS = ("id", "value", "kind", "check_admin")
 
 
-def fill_reviewed(rows: DataFrame, pos: str = "pos", chunk_rows: int | None = None) -> DataFrame:
-    kw = {} if chunk_rows is None else {"chunk_rows": chunk_rows}
-    return forward_fill(rows, FILL_COLS, pos=pos, **kw)
+def fill_reviewed(rows: DataFrame, pos: str = "pos") -> DataFrame:
+    return forward_fill(rows, FILL_COLS, pos=pos)
 
 
 def filled_counts(filled: DataFrame) -> DataFrame:
@@ -63,8 +62,8 @@ def flat_ids(kept: DataFrame, filled: DataFrame) -> DataFrame:
     """Kept ids ``(kind, component, id)`` as one flat list with ``position``
     from 0: kinds in first-appearance order, groups by smallest id, ids ascending."""
     first = filled.filter(F.col("kind").isNotNull()).groupBy("kind").agg(F.min("pos").alias("kind_pos"))
-    return sequential_ids(kept.join(first, "kind"), ["kind_pos", "component", "id"], 0, out="position",
-                          chunk_cols=["kind_pos"], pos="component").drop("kind_pos")
+    return sequential_ids(kept.join(first, "kind"), ["kind_pos", "component", "id"], 0,
+                          out="position").drop("kind_pos")
 
 
 def related_pipeline(rows: DataFrame, exceptions: DataFrame) -> DataFrame:

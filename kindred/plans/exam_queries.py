@@ -117,8 +117,7 @@ def q_w2(spark, d):
     sk = E.split_skills(x).join(x.select(F.col("id").alias("exam_id"), "test"), "exam_id").select(
         F.lit(1).alias("src"), "level", "test", "exam_id", "part_pos")
     u = reg.unionByName(sk)
-    out = sequential_ids(u, ["src", "level", "test", "exam_id", "part_pos"], E.REGULAR_FIRST_ID, out="new_id",
-                         chunk_cols=["src", "level", "test"], pos="exam_id")
+    out = sequential_ids(u, ["src", "level", "test", "exam_id", "part_pos"], E.REGULAR_FIRST_ID, out="new_id")
     return out.select("src", "exam_id", "part_pos", "new_id")
 
 
@@ -187,12 +186,6 @@ def q_e9(spark, d):
     return t.unionByName(tl)
 
 
-def _ai_processed(spark, d):
-    a = _ai(spark, d)
-    return a.withColumns({"title": E.decrement_title("title"),
-                          "title_lang": F.transform_values("title_lang", lambda k, v: E.decrement_title(v))})
-
-
 AI_SKILLS = f"""aid AS (SELECT id, level, {DEC('title')} AS title FROM ai),
 atld AS (SELECT id, lang, {DEC('text')} AS text FROM atl),
 ask AS (SELECT aid.id AS exam_id, apt.part_pos, aid.level, aid.title, apt.name, apt.time FROM aid JOIN apt ON apt.id = aid.id
@@ -203,7 +196,7 @@ ask AS (SELECT aid.id AS exam_id, apt.part_pos, aid.level, aid.title, apt.name,
 t AS (SELECT *, 'Test ' || {TN('title')} || ' - ' || name AS t0 FROM ask)
 SELECT exam_id, part_pos, level, {DEC('t0')} AS title, time FROM t""")
 def q_e12(spark, d):
-    s = E.ai_skill_split(_ai_processed(spark, d))
+    s = E.ai_skill_split(_ai(spark, d), first_decrement=True)
     return s.select("exam_id", "part_pos", "level", "title", "time")
 
 
@@ -216,7 +209,7 @@ x AS (SELECT ask.exam_id, ask.part_pos, atld.lang,
       WHERE {TN('atld.text')} IS NOT NULL)
 SELECT exam_id, part_pos, lang, {DEC('t0')} AS title FROM x""")
 def q_e12l(spark, d):
-    s = E.ai_skill_split(_ai_processed(spark, d))
+    s = E.ai_skill_split(_ai(spark, d), first_decrement=True)
     return s.select("exam_id", "part_pos", F.explode("title_lang").alias("lang", "title"))
 
 
@@ -224,7 +217,6 @@ def q_e12l(spark, d):
 SELECT exam_id, part_pos, CAST({E.AI_SKILL_FIRST_ID} + row_number() OVER (ORDER BY exam_id, part_pos) - 1 AS BIGINT) AS new_id
 FROM ask""")
 def q_w3(spark, d):
-    s = E.ai_skill_split(_ai_processed(spark, d)).withColumn("_c", F.lit(0))
-    out = sequential_ids(s, ["exam_id", "part_pos"], E.AI_SKILL_FIRST_ID, out="new_id", chunk_cols=["_c"],
-                         pos="exam_id")
+    s = E.ai_skill_split(_ai(spark, d), first_decrement=True)
+    out = sequential_ids(s, ["exam_id", "part_pos"], E.AI_SKILL_FIRST_ID, out="new_id")
     return out.select("exam_id", "part_pos", "new_id")

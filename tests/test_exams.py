@@ -57,3 +57,14 @@ def test_flatten_groups(spark):
     df = spark.createDataFrame([('[1, [2, 3], "a", [[4]]]',), ("not json",)], "g string")
     got = [r.r for r in df.select(E.flatten_groups_json("g").alias("r")).collect()]
     assert got == [["1", "2", "3", '"a"', "[4]"], []]
+
+
+def test_exams_of_one_id_keep_their_own_titles(spark):
+    schema = "id long, level int, title string, title_lang map<string,string>, parts array<struct<name:string,time:int>>"
+    part = [("Reading", 10)]
+    df = spark.createDataFrame([(1, 1, "Test 65", {"en": "Test 65"}, part), (1, 1, "Test 70", {"en": "Test 70", "ru": None}, part),
+                                (2, 1, "Test 65", None, part), (3, 1, "Nothing", {"en": "Test 9"}, part)], schema)
+    got = sorted(((r.title, r.title_lang.get("en")) for r in E.split_skills(df).collect()), key=str)
+    assert got == [("Test 105 - Reading", "Test 105 - Reading"), ("Test 105 - Reading", None), ("Test 110 - Reading", "Test 110 - Reading")]
+    twice = sorted(((r.title, r.title_lang.get("en")) for r in E.ai_skill_split(df, first_decrement=True).collect()), key=str)
+    assert twice == [("Test 1 - Reading", "Test 1 - Reading"), ("Test 1 - Reading", "Test 1 - Reading"), ("Test 1 - Reading", None)]

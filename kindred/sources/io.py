@@ -7,7 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
+
+from kindred.sources.exam_files import read_named_files
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -38,6 +40,7 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_to_json(spark: SparkSession, csv_path: str, json_path: str) -> DataFrame:
+    """S4 as a job: a header CSV rewritten as JSON lines; returns the rows."""
     df = read_csv_text(spark, csv_path)
     write_json(df, json_path)
     return df
@@ -69,29 +72,41 @@ def ai_exam_level(name_col: str = "file_name"):
     return F.coalesce(F.regexp_extract(low, r"level_(\d+)", 1).try_cast("int"), F.lit(0))
 
 
-def _array_files(spark: SparkSession, directory: str, schema: StructType | str, glob: str) -> DataFrame:
-    """Items of JSON array files (or of files with one object) with ``file_name``
-    and their position ``pos`` in the file."""
-    files = (spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(directory)
-             .select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("file_name"), "value"))
+def _items(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
+    """Items of the JSON files of a folder as ``schema``, with ``file_name`` and their
+    position ``pos`` in the file; an item that is no record is dropped."""
     record = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    items = F.from_json("value", ArrayType(record))
-    return files.select("file_name", F.posexplode(items).alias("pos", "item")).select("item.*", "file_name", "pos")
+    files = read_named_files(spark, directory)
+    return (files.withColumn("_r", F.from_json("item", record)).filter(F.col("item").startswith("{"))
+            .select("_r.*", "file_name", "pos"))
 
 
 def read_exam_files(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
     """Every exam file of a folder with its level and test from the name and
-    the item order in the file as ``pos``; files with other names are not read."""
-    df = _array_files(spark, directory, schema, "Level_*_Test_*.json")
+    the item order in the file as ``pos``; files with other names are left out."""
     keys = exam_file_keys()
-    return df.withColumns({"file_level": keys["level"], "file_test": keys["test"]}).filter(
+    return _items(spark, directory, schema).withColumns({"file_level": keys["level"], "file_test": keys["test"]}).filter(
         F.col("file_level").isNotNull())
 
 
 def read_ai_exam_files(spark: SparkSession, directory: str, schema: StructType | str) -> DataFrame:
     """Every ``.json`` file of a folder, its level from the name (else 0) and
     the item order in the file as ``pos``."""
-    return _array_files(spark, directory, schema, "*.json").withColumn("file_level", ai_exam_level())
+    return _items(spark, directory, schema).withColumn("file_level", ai_exam_level())
+
+
+def write_sheets(frames: dict[str, DataFrame], path: str) -> None:
+    """S10 for sheets with columns of their own: one folder ``sheet=<name>`` each."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{path}/sheet={name}")
+
+
+def read_sheet_frames(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """S12 for such a folder: every sheet by its name, with its own columns."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hpath)
+    names = sorted(f.getPath().getName() for f in found)
+    return {n.removeprefix("sheet="): spark.read.parquet(f"{path}/{n}") for n in names if n.startswith("sheet=")}
 
 
 def report_sink(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

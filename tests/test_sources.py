@@ -2,7 +2,10 @@ import json
 import os
 import tempfile
 
-from kindred.sources import io
+import pytest
+from pyspark.sql import functions as F
+
+from kindred.sources import exam_files, io
 
 
 def test_csv_with_bom_and_quotes(spark):
@@ -48,3 +51,36 @@ def test_id_list(spark):
         f.write("[8, 9]")
     got = sorted(r.id for r in io.read_id_list(spark, d).collect())
     assert got == [5, 6, 7, 8, 9]
+
+
+def test_named_files_round_trip(spark):
+    d = tempfile.mkdtemp(prefix="kindred-named-")
+    rows = spark.range(60).select(F.concat(F.lit("Level_"), F.col("id") % 3, F.lit("_Test_"), F.col("id") % 4, F.lit(".json")).alias("file_name"),
+                                  (F.lit(100) - F.col("id")).alias("pos"), F.concat(F.lit('{"id":'), F.col("id"), F.lit(',"t":"é\\n\\""}')).alias("item"))
+    exam_files.write_exam_files(rows, d)
+    assert len(os.listdir(d)) == 12 and not [n for n in os.listdir(d) if n.startswith("_")]
+    with open(os.path.join(d, "Level_1_Test_2.json"), encoding="utf-8") as f:
+        assert [x["id"] for x in json.load(f)] == [58, 46, 34, 22, 10]
+    for tasks in (1, 5):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        back = exam_files.read_named_files(spark, d)
+        assert back.rdd.getNumPartitions() <= 5
+        got = {(r.file_name, r.pos): json.loads(r.item)["id"] for r in back.collect()}
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert len(got) == 60 and got["Level_1_Test_2.json", 0] == 58
+
+
+def test_file_of_two_tasks_is_refused_and_leaves_nothing(spark):
+    d = tempfile.mkdtemp(prefix="kindred-named-")
+    exam_files.register_source(spark)
+    rows = spark.range(4).repartition(4).selectExpr("'a.json' AS file_name", "0L AS number", "cast(id AS int) AS pos", "'{}' AS item")
+    with pytest.raises(Exception, match="several tasks"):
+        rows.write.format("exam_files").mode("append").save(d)
+    assert os.listdir(d) == []
+
+
+def test_sheets_keep_their_columns(spark):
+    d = tempfile.mkdtemp(prefix="kindred-sheets-")
+    io.write_sheets({"one": spark.range(2), "two": spark.range(3).withColumnRenamed("id", "x")}, d)
+    back = io.read_sheet_frames(spark, d)
+    assert {k: (v.columns, v.count()) for k, v in back.items()} == {"one": (["id"], 2), "two": (["x"], 3)}

@@ -7,6 +7,8 @@ codegen.  Java regex rules apply: ``\\w``/``\\s`` are ASCII unless ``(?U)``;
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -221,21 +223,65 @@ def answer_check_text(col1, col2, pattern: str, group: int = 0) -> Column:
 # --- P13, P14, T10: text of HTML ---------------------------------------------------
 # Rule: script and style elements, comments and the doctype give their content as
 # text; every other tag (``<`` and a letter, ``/``, ``!`` or ``?`` up to ``>``) is
-# cut out; then the named character references below are decoded once.
+# cut out; then character references are decoded once.
 
 HTML_TOKEN = (r"(?is)<script\b[^>]*>(.*?)</script>|<style\b[^>]*>(.*?)</style>|<!--(.*?)-->"
               r"|<!doctype\s+([^>]*)>|<[a-z/!?][^>]*>")
-#: Named character references, the ampersand last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", "\u00a0"),
-            ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&hellip;", "\u2026"),
-            ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&amp;", "&"))
-
-
-def decode_entities(c) -> Column:
-    out = _c(c)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+# References as HTML defines them: ``&#233;`` and ``&#xE9;`` (the ``;`` may be missing), a
+# name of the standard's table with ``;``, else the longest name that the standard also
+# knows without one; anything else stays.  The table is Python's, by parameter.
+NAMED_REFERENCES = html.entities.html5
+#: Code points that the standard reads as windows-1252, its free places as they are.
+CP1252 = {n: bytes([n]).decode("cp1252", errors="ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _code_point(n: Column) -> Column:
+    """Text of a code point as a numeric reference gives it."""
+    low = n.bitwiseAND(F.lit(0xFFFF))
+    gone = (n.between(1, 8) | (n == 0x0B) | n.between(0x0E, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF) | (low >= 0xFFFE))
+    old = F.create_map(*[F.lit(x) for kv in CP1252.items() for x in kv])
+    return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�"))
+            .when(n.between(0x80, 0x9F), F.element_at(old, n.cast("int"))).when(gone, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+
+def _reference(part: Column, names: dict[str, str]) -> Column:
+    """``part`` starts with ``&``: the reference there replaced, the rest kept."""
+    def table(entries):
+        # one constant that is folded into a literal map
+        return F.map_from_arrays(*[F.split(F.lit("\x01".join(x)), "\x01") for x in zip(*entries)])
+
+    whole = table(sorted(((k, v) for k, v in names.items() if k.endswith(";")), key=lambda kv: (len(kv[0]), kv[0])))
+    bare = {k: v for k, v in names.items() if not k.endswith(";")}
+    prefix = table(bare.items())
+    longest = "|".join(sorted(bare, key=lambda k: (-len(k), k)))
+
+    def number(digits, base):
+        # longer than any code point: beyond the last one
+        value = F.ltrim(digits, F.lit("0"))
+        n = F.when(F.length(value) > 8, F.lit(1 << 40)).otherwise(F.coalesce(F.conv(digits, base, 10).cast("long"), F.lit(0).cast("long")))
+        return _code_point(n)
+
+    def cut(length):
+        return F.substr(part, length + 1)
+
+    dec = F.regexp_extract(part, r"^&#([0-9]+);?", 1)
+    hexa = F.regexp_extract(part, r"^&#[xX]([0-9a-fA-F]+);?", 1)
+    name = F.regexp_extract(part, r"^&([A-Za-z][A-Za-z0-9]*;)", 1)
+    start = F.regexp_extract(part, f"^&({longest})", 1)
+    numeric = F.length(F.regexp_extract(part, r"^&#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0))
+    return (F.when(dec != "", F.concat(number(dec, 10), cut(numeric)))
+            .when(hexa != "", F.concat(number(hexa, 16), cut(numeric)))
+            .when(F.map_contains_key(whole, name), F.concat(F.element_at(whole, name), cut(F.length(name) + 1)))
+            .when(start != "", F.concat(F.element_at(prefix, start), cut(F.length(start) + 1)))
+            .otherwise(part))
+
+
+def decode_entities(c, names: dict[str, str] = NAMED_REFERENCES) -> Column:
+    """Character references decoded once.  A text is cut before every ``&``; each piece
+    has at most one reference, at its start."""
+    pieces = F.transform(F.split(_c(c), "(?=&)"), lambda p: F.when(p.startswith("&"), _reference(p, names)).otherwise(p))
+    return F.when(F.contains(_c(c), F.lit("&")), F.array_join(pieces, "")).otherwise(_c(c))
 
 
 def text_of_html(c) -> Column:

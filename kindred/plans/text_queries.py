@@ -18,6 +18,18 @@ def _docs(spark, d):
     return read_table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
+#: Character references put behind every page, by its id: named ones with and without ``;``,
+#: longest prefixes, numbers in both bases, code points the standard replaces, and none at all.
+REFERENCES = ("&eacute; caf&eacute &copy2; &notit; &notin;", "&#233; &#xE9; &#XE9 &#128512; &#x80; &#0; &#xD800;",
+              "&CounterClockwiseContourIntegral; &nosuch; & &; &# &#x; &amp;lt; &ampamp;", "&#0000000000000233;&#99999999999;&#11;&NotEqualTilde;",
+              "plain")
+
+
+def _marked_pages(spark, d):
+    tail = F.get(F.array(*[F.lit(f"<p>{x}</p>") for x in REFERENCES]), (F.col("page_id") % len(REFERENCES)).cast("int"))
+    return read_table(spark, d, "pages").select(F.col("page_id").alias("id"), F.concat("html", tail).alias("text"))
+
+
 def _pages(spark, d):
     return read_table(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("text"))
 
@@ -145,29 +157,58 @@ _TOKENS = ("(?is)<script\\b[^>]*>(.*?)</script>|<style\\b[^>]*>(.*?)</style>|<!-
            "|<!doctype\\s+([^>]*)>|<[a-z/!?][^>]*>")
 
 
+def _text_list(items) -> str:
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in items) + "]"
+
+
+_NAMES = X.NAMED_REFERENCES
+_BARE = sorted((k for k in _NAMES if not k.endswith(";")), key=lambda k: (-len(k), k))
+_OLD = "".join(X.CP1252[n] for n in range(0x80, 0xA0))
+# the table of names as one row, and the rule for one reference
+_TABLE = f"""names AS (SELECT map({_text_list(_NAMES)}, {_text_list(_NAMES.values())}) AS m),
+marked AS (SELECT page_id, html || '<p>' || {_text_list(REFERENCES)}[page_id % {len(REFERENCES)} + 1] || '</p>' AS html FROM pages)"""
+_POINT = f"""CASE WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN chr(65533)
+  WHEN n BETWEEN 128 AND 159 THEN substr('{_OLD}', n - 127, 1)
+  WHEN n BETWEEN 1 AND 8 OR n IN (11, 127) OR n BETWEEN 14 AND 31 OR n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN ''
+  ELSE chr(n) END"""
+
+
+def _point(number: str) -> str:
+    return _POINT.replace("n ", f"(least({number}, 2000000)::INTEGER) ").replace("chr(n)", f"chr(least({number}, 1114111)::INTEGER)")
+
+
 def _decoded(x: str) -> str:
-    for name, code in (("lt", 60), ("gt", 62), ("quot", 34), ("apos", 39), ("#39", 39), ("nbsp", 160), ("copy", 169),
-                       ("reg", 174), ("middot", 183), ("hellip", 8230), ("ndash", 8211), ("mdash", 8212), ("amp", 38)):
-        x = f"replace({x}, '&{name};', chr({code}))"
-    return x
+    """Pieces between ampersands; each but the first has at most one reference, at its start."""
+    dec, hexa = "regexp_extract(p, '^#([0-9]+);?', 1)", "regexp_extract(p, '^#[xX]([0-9a-fA-F]+);?', 1)"
+    name, bare = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*;)', 1)", f"regexp_extract(p, '^({'|'.join(_BARE)})', 1)"
+    rest = "substr(p, length(regexp_extract(p, '^#(?:[xX][0-9a-fA-F]+|[0-9]+);?', 0)) + 1)"
+    return f"""(string_split({x}, '&')[1] || coalesce(array_to_string(list_transform(string_split({x}, '&')[2:], lambda p:
+  CASE WHEN {dec} <> '' THEN {_point(f"TRY_CAST({dec} AS HUGEINT)")} || {rest}
+       WHEN {hexa} <> '' THEN {_point(f"TRY_CAST('0x' || right({hexa}, 8) AS HUGEINT)")} || {rest}
+       WHEN names.m[{name}] IS NOT NULL THEN names.m[{name}] || substr(p, length({name}) + 1)
+       WHEN {bare} <> '' THEN names.m[{bare}] || substr(p, length({bare}) + 1)
+       ELSE '&' || p END), ''), ''))"""
 
 
 _CUT = f"regexp_replace(html, '{_TOKENS}', '\\1\\2\\3\\4', 'g')"
 _CUT_APART = f"regexp_replace(html, '{_TOKENS}', chr(1) || '\\1\\2\\3\\4' || chr(1), 'g')"
-_STRIPPED = f"regexp_replace({_decoded('x')}, '^\\s+|\\s+$', '', 'g')"
 
 
-@register("P13", f"SELECT page_id AS id, CASE WHEN regexp_matches(html, '<.*?>') THEN {_decoded(_CUT)} ELSE html END AS text FROM pages")
+@register("P13", f"""WITH {_TABLE}, c AS (SELECT page_id, html, {_CUT} AS cut FROM marked)
+SELECT page_id AS id, CASE WHEN regexp_matches(html, '<.*?>') THEN {_decoded("cut")} ELSE html END AS text FROM c, names""")
 def q_p13(spark, d):
-    return _pages(spark, d).select("id", X.text_of_html(F.col("text")).alias("text"))
+    return _marked_pages(spark, d).select("id", X.text_of_html(F.col("text")).alias("text"))
 
 
-@register("P14", f"""SELECT page_id AS id, CASE WHEN regexp_matches(html, '<.*?>') THEN
-  CASE WHEN starts_with(html, '()<') THEN '()' ELSE '' END || coalesce(array_to_string(list_filter(
-    list_transform(string_split({_CUT_APART}, chr(1)), lambda x: {_STRIPPED}), lambda y: regexp_matches(y, '[a-zA-Z0-9]')), ''), '')
-  ELSE html END AS text FROM pages""")
+@register("P14", f"""WITH {_TABLE}, c AS (SELECT page_id, html, unnest(string_split({_CUT_APART}, chr(1))) AS node,
+    generate_subscripts(string_split({_CUT_APART}, chr(1)), 1) AS i FROM marked),
+t AS (SELECT page_id, html, i, regexp_replace({_decoded("node")}, '^\\s+|\\s+$', '', 'g') AS x FROM c, names)
+SELECT page_id AS id, CASE WHEN regexp_matches(any_value(html), '<.*?>') THEN
+  CASE WHEN starts_with(any_value(html), '()<') THEN '()' ELSE '' END
+  || coalesce(string_agg(x, '' ORDER BY i) FILTER (WHERE regexp_matches(x, '[a-zA-Z0-9]')), '') ELSE any_value(html) END AS text
+FROM t GROUP BY page_id""")
 def q_p14(spark, d):
-    return _pages(spark, d).select("id", X.latin_text_of_html(F.col("text")).alias("text"))
+    return _marked_pages(spark, d).select("id", X.latin_text_of_html(F.col("text")).alias("text"))
 
 
 @register("T10", """SELECT page_id AS id,

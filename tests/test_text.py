@@ -1,3 +1,4 @@
+import html
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,12 @@ def test_row_checks_are_not_constant(spark, sf):
         df = registry.queries()[name](spark, sf)
         column = [c for c in df.columns if c not in ("id", "n")][0]
         assert df.select(column).distinct().count() > 1, name
+
+
+def test_character_references_as_html_defines_them(spark):
+    texts = ["&eacute; caf&eacute &copy2; &notit; &notin;", "&#233;&#xE9;&#XE9 &#128512;&#x80;&#x81;&#0;&#xD800;&#x110000;&#11;&#xFFFF;",
+             "&CounterClockwiseContourIntegral;&nosuch; & &; &# &#x; &amp;lt; &ampamp;", "&#0000000000000233;&#99999999999;", "", "&", None]
+    texts += [f"a&{name}b" for name in X.NAMED_REFERENCES]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.o for r in df.select("i", X.decode_entities("t").alias("o")).collect()}
+    assert got == {i: None if t is None else html.unescape(t) for i, t in enumerate(texts)}

@@ -61,8 +61,9 @@ def fx_blueprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return p.select(((F.col("p_size") % 7) + 1).cast("int").alias("level"), F.col("p_type").alias("section"),
                     F.col("p_brand").alias("kind"), F.col("p_retailprice").alias("score"),
-                    F.lit(1).cast("long").alias("count_question"),
-                    F.array(F.lit(1).cast("long")).alias("sub_count_question"))
+                    (F.col("p_size") % 5 + 1).cast("long").alias("count_question"),
+                    F.array((F.col("p_size") % 3).cast("long"), (F.col("p_partkey") % 4).cast("long")).alias("sub_count_question"),
+                    F.col("p_size").cast("long").alias("time"))
 
 
 def fx_sheets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

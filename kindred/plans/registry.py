@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kindred.operators.report import KIND_ORDER
 from kindred.plans import fixtures as fx
 from kindred.plans import oracle as O
 
@@ -34,44 +35,69 @@ T_DOCS = 75.0      # default threshold of the reference's join functions
 BITS, BANDS = 64, 16
 
 
-def _pairs_sql(cand_where: str, threshold: float, cte: str = O.DOCS_CTE) -> str:
-    return f"""WITH {cte},
-t AS (SELECT * FROM docs WHERE length(value) > 0),
-{O.simhash_ctes('t', BITS)},
+#: Classes of equal texts by their smallest id; null counts as empty.
+CLASSES = "t AS (SELECT kind, min(id) AS id, coalesce(value, '') AS value FROM docs GROUP BY ALL)"
+COPIES = """SELECT d.kind, t.id, d.id AS sim_id, {cols}, 'copy' AS link
+FROM docs d JOIN t ON t.kind = d.kind AND t.value = coalesce(d.value, '') WHERE d.id <> t.id"""
+
+
+def _ratio(threshold: float) -> str:
+    return (f"least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(threshold - 0.005) / 100}")
+
+
+def _scored(cand_where: str, threshold: float, kind_cte: str = "") -> str:
+    """CTE ``s``: scores of the rows of ``t`` that pass the signature gate."""
+    return f"""{O.simhash_ctes('t', BITS)},{kind_cte}
 c AS (
   SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x
   FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
 s AS (
   SELECT c.kind, c.id, c.sim_id, {O.score_expr('l.value', 'r.value')} AS score
   FROM c JOIN t l ON l.kind = c.kind AND l.id = c.id JOIN t r ON r.kind = c.kind AND r.id = c.sim_id
-  WHERE {cand_where}
-    AND least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(threshold - 0.005) / 100})
+  WHERE {cand_where} AND {_ratio(threshold)})"""
+
+
+def _links_sql(cand_where: str, threshold: float, cte: str = O.DOCS_CTE, kind_cte: str = "") -> str:
+    """Links of a signature join: similar classes, and members to their representative."""
+    return f"""WITH {cte}, {CLASSES},
+{_scored(cand_where, threshold, kind_cte)}
+SELECT kind, id, sim_id, score, 'near' AS link FROM s WHERE score >= {threshold}
+UNION ALL {COPIES.format(cols='100.0 AS score')}"""
+
+
+def _pairs_sql(cand_where: str, threshold: float, cte: str = O.DOCS_CTE) -> str:
+    """The same as all pairs of rows, which reports are held against."""
+    return f"""WITH {cte}, t AS (SELECT kind, id, coalesce(value, '') AS value FROM docs),
+{_scored(cand_where, threshold)}
 SELECT kind, id, sim_id, score FROM s WHERE score >= {threshold}"""
 
 
+def _exact_links_sql(threshold: float, cte: str = O.DOCS_CTE) -> str:
+    return f"""WITH {cte}, {CLASSES},
+s AS (
+  SELECT l.kind, l.id, r.id AS sim_id, {O.score_expr('l.value', 'r.value')} AS score
+  FROM t l JOIN t r ON l.kind = r.kind AND l.id < r.id WHERE {_ratio(threshold)})
+SELECT kind, id, sim_id, score, 'near' AS link FROM s WHERE score >= {threshold}
+UNION ALL {COPIES.format(cols='100.0 AS score')}"""
+
+
 def _ham(threshold: float) -> int:
     return int((1 - threshold / 100) * BITS)
 
 
-@register("J9", _pairs_sql(f"bit_count(c.x) <= {_ham(T_DOCS)} AND {O.band_any('c.x', BITS, BANDS)}", T_DOCS))
+@register("J9", _links_sql(f"bit_count(c.x) <= {_ham(T_DOCS)} AND {O.band_any('c.x', BITS, BANDS)}", T_DOCS))
 def q_j9(spark: SparkSession, d: str) -> DataFrame:
     from kindred.operators.simjoin import near_duplicates_lsh
     return near_duplicates_lsh(fx.fx_docs(spark, d), T_DOCS, BITS, BANDS)
 
 
-@register("J7", _pairs_sql(f"bit_count(c.x) <= {_ham(T_DOCS)}", T_DOCS))
+@register("J7", _links_sql(f"bit_count(c.x) <= {_ham(T_DOCS)}", T_DOCS))
 def q_j7(spark: SparkSession, d: str) -> DataFrame:
     from kindred.operators.simjoin import near_duplicates_simhash
     return near_duplicates_simhash(fx.fx_docs(spark, d), T_DOCS, BITS)
 
 
-@register("J3", f"""WITH {O.DOCS_CTE},
-t AS (SELECT * FROM docs WHERE length(value) > 0),
-s AS (
-  SELECT l.kind, l.id, r.id AS sim_id, {O.score_expr('l.value', 'r.value')} AS score
-  FROM t l JOIN t r ON l.kind = r.kind AND l.id < r.id
-  WHERE least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(T_DOCS - 0.005) / 100})
-SELECT kind, id, sim_id, score FROM s WHERE score >= {T_DOCS}""")
+@register("J3", _exact_links_sql(T_DOCS))
 def q_j3(spark: SparkSession, d: str) -> DataFrame:
     from kindred.operators.simjoin import near_duplicates_exact
     return near_duplicates_exact(fx.fx_docs(spark, d), T_DOCS)
@@ -100,65 +126,62 @@ def q_f8(spark, d):
         "kind", "id", F.col("b.band").alias("band"), F.col("b.key").alias("key"))
 
 
-@register("J8", f"""WITH {O.DOCS_CTE},
-t AS (SELECT * FROM docs WHERE length(value) > 0),
+@register("J8", f"""WITH {O.DOCS_CTE}, {CLASSES},
 {O.simhash_ctes('t', BITS)},
 c AS (SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id)
-SELECT kind, id, sim_id, CAST(bit_count(x) AS INTEGER) AS hamming, 1.0 - bit_count(x) / {float(BITS)} AS simhash_similarity
-FROM c WHERE bit_count(x) <= {_ham(T_DOCS)} AND {O.band_any('x', BITS, BANDS)}""")
+SELECT kind, id, sim_id, CAST(bit_count(x) AS INTEGER) AS hamming, 1.0 - bit_count(x) / {float(BITS)} AS simhash_similarity, 'near' AS link
+FROM c WHERE bit_count(x) <= {_ham(T_DOCS)} AND {O.band_any('x', BITS, BANDS)}
+UNION ALL {COPIES.format(cols='0 AS hamming, 1.0 AS simhash_similarity')}""")
 def q_j8(spark, d):
-    from kindred.functions.similarity import hamming_threshold
-    from kindred.operators.simjoin import _texts, lsh_pairs, signatures
-    sig = signatures(_texts(fx.fx_docs(spark, d), False), BITS)
-    p = lsh_pairs(sig, hamming_threshold(T_DOCS, BITS), BITS, BANDS)
-    h = sig.select("kind", "id", "h")
-    hr = sig.select("kind", F.col("id").alias("sim_id"), F.col("h").alias("h2"))
-    x = p.join(h, ["kind", "id"]).join(hr, ["kind", "sim_id"])
-    from kindred.functions.similarity import hamming, simhash_similarity
-    return x.select("kind", "id", "sim_id", hamming("h", "h2").alias("hamming"),
-                    simhash_similarity("h", "h2", BITS).alias("simhash_similarity"))
+    from kindred.operators.simjoin import candidate_links
+    return candidate_links(fx.fx_docs(spark, d), T_DOCS, BITS, BANDS)
 
 
 PREFILTER = 0.7 * T_DOCS   # the reference prefilters at 70 % of the threshold
 
 
-@register("J4", f"""WITH {O.DOCS_CTE}, t AS (SELECT * FROM docs WHERE length(value) > 0)
-SELECT a.kind, a.id, b.id AS sim_id FROM t a JOIN t b ON a.kind = b.kind AND a.id < b.id
-WHERE least(length(a.value), length(b.value)) / greatest(length(a.value), length(b.value)) >= {PREFILTER / 100}""")
+@register("J4", f"""WITH {O.DOCS_CTE},
+h AS (SELECT kind, length(value) AS len, count(*) AS n FROM docs WHERE length(value) > 0 GROUP BY ALL)
+SELECT a.kind, CAST(a.len AS INTEGER) AS len, a.n, CAST(sum(b.n) - 1 AS BIGINT) AS n_links FROM h a JOIN h b ON a.kind = b.kind
+  AND least(a.len, b.len) / greatest(a.len, b.len) >= {PREFILTER / 100} GROUP BY ALL""")
 def q_j4(spark, d):
-    from kindred.operators.simjoin import length_ratio_pairs
-    return length_ratio_pairs(fx.fx_docs(spark, d), PREFILTER)
+    from kindred.operators.simjoin import length_ratio_classes
+    return length_ratio_classes(fx.fx_docs(spark, d), PREFILTER)
 
 
 @register("J5", f"""WITH {O.DOCS_CTE}, t AS (SELECT * FROM docs WHERE length(value) > 0),
 k AS (SELECT kind, CAST(floor(min(length(value)) * {PREFILTER / 100}) AS INTEGER) AS k FROM t GROUP BY kind),
-p AS (SELECT t.kind, t.id, substr(t.value, 1, k.k) AS pfx FROM t JOIN k USING (kind) WHERE length(t.value) >= k.k)
-SELECT a.kind, a.id, b.id AS sim_id FROM p a JOIN p b ON a.kind = b.kind AND a.pfx = b.pfx AND a.id < b.id""")
+p AS (SELECT t.kind, t.id, substr(t.value, 1, k.k) AS pfx FROM t JOIN k USING (kind))
+SELECT a.kind, a.id, min(b.id) AS class_id, count(*) - 1 AS n_links
+FROM p a JOIN p b ON a.kind = b.kind AND a.pfx = b.pfx GROUP BY a.kind, a.id""")
 def q_j5(spark, d):
-    from kindred.operators.simjoin import prefix_pairs
-    return prefix_pairs(fx.fx_docs(spark, d), PREFILTER)
+    from kindred.operators.simjoin import prefix_classes
+    return prefix_classes(fx.fx_docs(spark, d), PREFILTER)
 
 
-@register("J6", f"""WITH {O.DOCS_CTE}, t AS (SELECT kind, id, length(value) AS len FROM docs)
-SELECT a.kind, a.id, b.id AS sim_id FROM t a JOIN t b ON a.kind = b.kind
+@register("J6", f"""WITH {O.DOCS_CTE}, t AS (SELECT kind, id, length(coalesce(value, '')) AS len FROM docs),
+p AS (SELECT a.kind, a.len, count(*) AS pairs, count(*) FILTER (WHERE b.len > a.len) AS longer FROM t a JOIN t b ON a.kind = b.kind
   AND (a.len < b.len OR (a.len = b.len AND a.id < b.id))
-  AND b.len <= floor(a.len / 0.7) AND b.len >= floor(a.len * 0.7)""")
+  AND b.len <= floor(a.len / 0.7) AND b.len >= floor(a.len * 0.7) GROUP BY ALL)
+SELECT t.kind, CAST(t.len AS INTEGER) AS len, count(*) AS n, CAST(coalesce(any_value(longer), 0) / count(*) AS BIGINT) AS n_longer,
+       coalesce(any_value(pairs), 0) AS pairs
+FROM t LEFT JOIN p ON p.kind = t.kind AND p.len = t.len GROUP BY t.kind, t.len""")
 def q_j6(spark, d):
-    from kindred.operators.simjoin import length_window_pairs
-    return length_window_pairs(fx.fx_docs(spark, d), 0.7, pos="id")
+    from kindred.operators.simjoin import length_window_classes
+    return length_window_classes(fx.fx_docs(spark, d), 0.7)
 
 
 # --- short names from part: exact copies, hot buckets -----------------------
 T_SHORT = 75.0
 
 
-def _short_pairs_sql(where: str) -> str:
-    return _pairs_sql(where, T_SHORT, O.SHORT_CTE)
-
-
-J9S_SQL = _short_pairs_sql(f"bit_count(c.x) <= {_ham(T_SHORT)} AND {O.band_any('c.x', BITS, BANDS)}")
-J3S_SQL = f"""WITH {O.SHORT_CTE},
-t AS (SELECT * FROM docs WHERE length(value) > 0),
+SHORT_GATE = f"bit_count(c.x) <= {_ham(T_SHORT)} AND {O.band_any('c.x', BITS, BANDS)}"
+J9S_SQL = _links_sql(SHORT_GATE, T_SHORT, O.SHORT_CTE)
+J3S_SQL = _exact_links_sql(T_SHORT, O.SHORT_CTE)
+# all pairs of rows, for the reports
+J9S_PAIRS = _pairs_sql(SHORT_GATE, T_SHORT, O.SHORT_CTE)
+J3S_PAIRS = f"""WITH {O.SHORT_CTE},
+t AS (SELECT kind, id, coalesce(value, '') AS value FROM docs),
 s AS (
   SELECT l.kind, l.id, r.id AS sim_id, {O.score_expr('l.value', 'r.value')} AS score
   FROM t l JOIN t r ON l.kind = r.kind AND l.id < r.id)
@@ -177,24 +200,16 @@ def q_j3s(spark, d):
     return near_duplicates_exact(fx.fx_short(spark, d), T_SHORT)
 
 
-@register("J10", f"""WITH {O.DOCS_CTE},
-t0 AS (SELECT * FROM docs WHERE length(value) > 0),
-sz AS (SELECT kind, count(*) AS kind_rows FROM docs GROUP BY kind),
-t AS (SELECT t0.*, sz.kind_rows FROM t0 JOIN sz USING (kind)),
-{O.simhash_ctes('t', BITS)},
-c AS (SELECT a.kind, a.id, b.id AS sim_id, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
-s AS (
-  SELECT c.kind, c.id, c.sim_id, {O.score_expr('l.value', 'r.value')} AS score
-  FROM c JOIN t l ON l.kind = c.kind AND l.id = c.id JOIN t r ON r.kind = c.kind AND r.id = c.sim_id
-  WHERE bit_count(c.x) <= {_ham(50)} AND (l.kind_rows <= 10 OR {O.band_any('c.x', BITS, BANDS)})
-    AND least(length(l.value), length(r.value)) >= greatest(length(l.value), length(r.value)) * {(50 - 0.005) / 100})
-SELECT kind, id, sim_id, score FROM s WHERE score >= 50.0""")
+@register("J10", _links_sql(
+    f"bit_count(c.x) <= {_ham(50)} AND (sz.kind_rows <= 10 OR {O.band_any('c.x', BITS, BANDS)})", 50.0,
+    kind_cte="\nsz AS (SELECT kind, count(*) AS kind_rows FROM docs GROUP BY kind),").replace(
+        "FROM c JOIN t l", "FROM c JOIN sz ON sz.kind = c.kind JOIN t l"))
 def q_j10(spark, d):
     from kindred.operators.simjoin import near_duplicates
     return near_duplicates(fx.fx_docs(spark, d), 50.0, "auto", BITS, BANDS)
 
 
-@register("A7", f"""WITH a AS ({J9S_SQL}), b AS ({J3S_SQL}),
+@register("A7", f"""WITH a AS ({J9S_PAIRS}), b AS ({J3S_PAIRS}),
 cnt AS (SELECT (SELECT count(*) FROM a) AS pa, (SELECT count(*) FROM b) AS pb,
                (SELECT count(*) FROM a JOIN b USING (kind, id, sim_id)) AS common)
 SELECT CAST(pa AS BIGINT) AS pairs_a, CAST(pb AS BIGINT) AS pairs_b, CAST(common AS BIGINT) AS common,
@@ -207,7 +222,7 @@ def q_a7(spark, d):
     return pair_agreement(q_j9s(spark, d), q_j3s(spark, d))
 
 
-@register("A8", f"""WITH p AS ({J9S_SQL}),
+@register("A8", f"""WITH p AS ({J9S_PAIRS}),
 m AS (SELECT kind, id FROM p UNION SELECT kind, sim_id FROM p),
 tot AS (SELECT p_brand AS kind, count(*) AS total FROM part GROUP BY p_brand),
 mt AS (SELECT kind, count(DISTINCT id) AS matched FROM m GROUP BY kind)
@@ -220,7 +235,7 @@ def q_a8(spark, d):
 
 
 @register("A9", f"""WITH {O.SHORT_CTE},
-t AS (SELECT * FROM docs WHERE length(value) > 0),
+t AS (SELECT kind, id, coalesce(value, '') AS value FROM docs),
 {O.simhash_ctes('t', BITS)},
 c AS (SELECT a.kind, xor(a.h, b.h) AS x FROM sig a JOIN sig b ON a.kind = b.kind AND a.id < b.id),
 cand AS (SELECT kind, count(*) AS candidates FROM c WHERE bit_count(x) <= {_ham(T_SHORT)} AND {O.band_any('x', BITS, BANDS)} GROUP BY kind),
@@ -230,26 +245,47 @@ SELECT n.kind, CAST(n.n AS BIGINT) AS n, CAST(coalesce(candidates, 0) AS BIGINT)
        CASE WHEN n.n < 2 THEN 0.0 ELSE coalesce(candidates, 0) / (n.n * (n.n - 1) / 2) END AS candidate_ratio
 FROM n LEFT JOIN cand USING (kind)""")
 def q_a9(spark, d):
-    from kindred.functions.similarity import hamming_threshold
     from kindred.operators.report import candidate_reduction
-    from kindred.operators.simjoin import _texts, lsh_pairs, signatures
-    t = _texts(fx.fx_short(spark, d), False)
-    cands = lsh_pairs(signatures(t, BITS), hamming_threshold(T_SHORT, BITS), BITS, BANDS)
-    return candidate_reduction(t, cands)
+    from kindred.operators.simjoin import candidate_links
+    rows = fx.fx_short(spark, d)
+    return candidate_reduction(rows, candidate_links(rows, T_SHORT, BITS, BANDS))
 
 
-@register("A2", f"""WITH p0 AS ({J9S_SQL}),
+@register("A2", f"""WITH p0 AS ({J9S_PAIRS}),
 p AS (SELECT kind, id, sim_id, score FROM p0 UNION ALL SELECT kind, sim_id, id, score FROM p0)
 SELECT kind, id, CAST(count(*) AS BIGINT) AS n_matches, max(score) AS best_score,
        min(sim_id) FILTER (WHERE score = best) AS best_sim_id
 FROM (SELECT *, max(score) OVER (PARTITION BY kind, id) AS best FROM p) GROUP BY kind, id""")
 def q_a2(spark, d):
     from kindred.operators.report import match_summary
+    return match_summary(q_j9s(spark, d))
+
+
+@register("A2N", f"""WITH p0 AS ({J9S_SQL}), {O.SHORT_CTE},
+p AS (SELECT kind, id, sim_id, score FROM p0 UNION ALL SELECT kind, sim_id, id, score FROM p0)
+SELECT p.kind, p.id, p.sim_id, p.score, o.value AS sim_value, o.check_admin AS sim_check_admin
+FROM p JOIN docs o ON o.kind = p.kind AND o.id = p.sim_id""")
+def q_a2n(spark, d):
+    # nested matches per row, hubs in parts of about twenty; flat again for the comparison
+    from kindred.operators.report import nest_matches
     from kindred.operators.simjoin import mirror
-    return match_summary(mirror(q_j9s(spark, d)))
+    nested = nest_matches(fx.fx_short(spark, d), mirror(q_j9s(spark, d)), limit=20)
+    return nested.select("kind", "id", F.explode("similarities").alias("sim_id", "m")).select(
+        "kind", "id", "sim_id", "m.score", F.col("m.value").alias("sim_value"), F.col("m.check_admin").alias("sim_check_admin"))
+
+
+@register("R3", """WITH i AS (SELECT lang AS kind, doc_id // 3 AS id, doc_id AS pos, text AS value, CAST(doc_id % 5 AS INTEGER) AS check_admin FROM documents)
+SELECT kind, id, min(pos) AS pos, arg_min(value, pos) AS value, arg_min(check_admin, pos) AS check_admin FROM i GROUP BY kind, id""")
+def q_r3(spark, d):
+    # up to three documents with one key: the first of them is the base
+    from kindred.operators.report import merge_items
+    from kindred.session import read_table
+    docs = read_table(spark, d, "documents")
+    return merge_items(docs.select(F.col("lang").alias("kind"), F.floor(F.col("doc_id") / 3).alias("id"), F.col("doc_id").alias("pos"),
+                                   F.col("text").alias("value"), (F.col("doc_id") % 5).cast("int").alias("check_admin")))
 
 
-@register("P15", f"""WITH {O.SHORT_CTE}, p AS ({J9S_SQL})
+@register("P15", f"""WITH {O.SHORT_CTE}, p AS ({J9S_PAIRS})
 SELECT id, kind, check_admin FROM docs WHERE id IN (SELECT id FROM p UNION SELECT sim_id FROM p)""")
 def q_p15(spark, d):
     from kindred.operators.simjoin import mirror
@@ -292,12 +328,13 @@ def q_a3(spark, d):
 
 
 BLUEPRINT_CTE = """bp AS (SELECT CAST(p_size % 7 + 1 AS INTEGER) AS level, p_type AS section, p_brand AS kind,
-                      p_retailprice AS score, CAST(1 AS BIGINT) AS count_question FROM part)"""
+                      p_retailprice AS score, CAST(p_size % 5 + 1 AS BIGINT) AS count_question,
+                      CAST(p_size % 3 + p_partkey % 4 AS BIGINT) AS sub_count, CAST(p_size AS BIGINT) AS time FROM part)"""
 
 
 @register("A10", f"""WITH {BLUEPRINT_CTE}
-SELECT level, section, CAST(sum(count_question) AS BIGINT) AS questions, CAST(sum(count_question) AS BIGINT) AS sub_questions,
-       sum(score) AS score FROM bp GROUP BY level, section""")
+SELECT level, section, CAST(sum(count_question) AS BIGINT) AS questions, CAST(sum(sub_count) AS BIGINT) AS sub_questions,
+       sum(score) AS score, CAST(sum(time) AS BIGINT) AS time FROM bp GROUP BY level, section""")
 def q_a10(spark, d):
     from kindred.operators.report import blueprint_totals
     return blueprint_totals(fx.fx_blueprint(spark, d))
@@ -339,11 +376,20 @@ def q_r1(spark, d):
     return report_rows(items, mirror(q_j9s(spark, d)))
 
 
-@register("O1", f"""WITH {O.DOCS_CTE}, k AS (SELECT DISTINCT kind FROM docs)
-SELECT kind, CAST(52 + dense_rank() OVER (ORDER BY kind) - 1 AS INTEGER) AS sheet_pos FROM k""")
+LISTED = ", ".join(f"('{k}', {i})" for i, k in enumerate(KIND_ORDER))
+
+
+@register("O1", f"""WITH l AS (SELECT * FROM (VALUES {LISTED}) v(kind, listed)),
+k AS (SELECT DISTINCT coalesce(l.kind, 'extra_' || (p_size % 7)) AS kind, listed FROM part LEFT JOIN l ON l.listed = 2 * (p_partkey % 40))
+SELECT kind, CAST(coalesce(listed, {len(KIND_ORDER)} + dense_rank() OVER (PARTITION BY listed IS NULL ORDER BY kind) - 1) AS INTEGER) AS sheet_pos FROM k""")
 def q_o1(spark, d):
+    # every second kind of the list occurs, beside kinds that are not on it
     from kindred.operators.report import kind_order
-    return kind_order(fx.fx_docs(spark, d))
+    from kindred.session import read_table
+    at = 2 * (F.col("p_partkey") % 40)
+    listed = F.get(F.array(*[F.lit(k) for k in KIND_ORDER]), at.cast("int"))
+    part = read_table(spark, d, "part")
+    return kind_order(part.select(F.coalesce(listed, F.concat(F.lit("extra_"), F.col("p_size") % 7)).alias("kind")))
 
 
 @register("O3", f"""WITH {O.DOCS_CTE}
@@ -381,11 +427,14 @@ sm AS (SELECT sheet, string_agg(v, ',' ORDER BY rn) AS sample_ids FROM t WHERE r
 SELECT c.sheet, column_name, total_ids, unique_ids, coalesce(sample_ids, '') AS sample_ids FROM c LEFT JOIN sm USING (sheet)""")
 def q_a1(spark, d):
     from kindred.operators.report import id_audit
+    from kindred.plans.source_queries import folder
+    from kindred.sources.io import read_sheet_frames, write_sheets
     sheets = fx.fx_sheets(spark, d)
     blank = sheets.pop("_blank")
     pos = {"events": "event_id", "documents": "doc_id", "embeddings": "vec_id", "part": "p_partkey"}
-    blanked = {k: (blank(v, pos[k]) if k in pos else v) for k, v in sheets.items()}
-    return id_audit(blanked, pos_cols={**{k: "_pos" for k in pos}, "region": "r_regionkey"})
+    path = folder(spark, "sheets")
+    write_sheets({k: (blank(v, pos[k]) if k in pos else v) for k, v in sheets.items()}, path)
+    return id_audit(read_sheet_frames(spark, path), pos_cols={**{k: "_pos" for k in pos}, "region": "r_regionkey"})
 
 
 # ---------------------------------------------------------------------------

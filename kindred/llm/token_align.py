@@ -286,6 +286,9 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """The same with the SHA-256 of the groups in place of their text, which is several
+    times the document and so never written."""
     groups = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.encode("groups", "UTF-8"), 256))
-    return align_documents(docs, path_a, path_b).select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", groups.alias("groups_sha256"))
+    rows = materialise(aligned(docs, path_a, path_b).withColumn("groups", groups), "aligned")
+    return link_scores(rows).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))

@@ -24,8 +24,6 @@ from kindred.llm.common import ascii_lower, materialise
 #: (verdict, host, path): a rule fits its host and subdomains and paths that start with its path.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-#: Levels of a template; what lies deeper is the template's tail, one wildcard.
-LEVELS = 4
 #: A node generalises its literal children if it has more than this many and
 #: fewer than two urls a child.
 FANOUT = 8
@@ -58,22 +56,28 @@ def lexical(segment: Column) -> Column:
 
 
 def template_parts(path: Column) -> Column:
-    """LEVELS + 1 strings: the first segments, then the wildcard tail or ''."""
-    parts = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), lexical)
-    heads = [F.coalesce(F.get(parts, i), F.lit("")) for i in range(LEVELS)]
-    tail = F.when(F.size(parts) > LEVELS, F.lit("**")).otherwise(F.lit(""))
-    return F.array(*heads, tail)
+    """All segments of a path, variable ones as wildcards."""
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), lexical)
+
+
+def _shape(segment: Column) -> Column:
+    """What of a segment counts for the form of a branch: wildcards and empty ones."""
+    return F.when(F.length(segment) == 0, F.lit("")).when(segment.startswith("*"), segment).otherwise(F.lit("w"))
 
 
 def grow(nodes: DataFrame) -> DataFrame:
-    """``nodes(host, parts, template, n, labelled, blocked)``: settle the
-    template's levels from the root; returns the same rows with ``template``."""
-    for level in range(LEVELS):
-        nodes = nodes.withColumn("seg", F.get("parts", level)).withColumn(
-            "rest", F.array_join(F.transform(F.slice("parts", level + 2, LEVELS + 1), lambda s: F.when(
-                F.length(s) > 0, F.when(s.startswith("*"), s).otherwise(F.lit("w"))).otherwise(F.lit(""))), "/"))
+    """``nodes(host, parts, template, n, labelled, blocked)``: settle the templates level
+    by level from the root, until no branch splits any more; returns the same rows
+    with ``template``.  What is left of a path below its last split stays as it is."""
+    level = 0
+    while True:
+        apart = nodes.groupBy("host", "template").agg(F.count(F.lit(1)).alias("k"), F.max(F.size("parts")).alias("deep"))
+        if not apart.filter((F.col("k") > 1) & (F.col("deep") > level)).limit(1).count():
+            break
+        own = nodes.withColumn("seg", F.coalesce(F.get("parts", level), F.lit(""))).withColumn(
+            "rest", F.array_join(F.transform(F.slice("parts", level + 2, F.size("parts")), _shape), "/"))
         key = ["host", "template"]
-        child = nodes.groupBy(*key, "seg", "rest").agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
+        child = own.groupBy(*key, "seg", "rest").agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
         by_shape = child.groupBy(*key, "rest").agg(
             F.sum("l").alias("sl"), F.sum("b").alias("sb"), F.sum("n").alias("sn"), F.count(F.lit(1)).alias("kids"))
         both = child.join(by_shape, [*key, "rest"])
@@ -86,10 +90,11 @@ def grow(nodes: DataFrame) -> DataFrame:
         label = F.when(F.col("seg").startswith("*") | (F.col("seg") == ""), F.col("seg")).when(variable, F.lit("*")).when(
             similar, F.concat(F.lit("+"), F.when(F.col("b") * 2 > F.col("l"), F.lit("b")).otherwise(F.lit("a")))).otherwise(F.col("seg"))
         names = both.select(*key, "seg", "rest", label.alias("label"))
-        nodes = nodes.join(names, [*key, "seg", "rest"]).withColumn(
-            "template", F.concat("template", F.lit("/"), "label")).drop("seg", "rest", "label")
-        nodes = materialise(nodes, f"level{level}")
-    return nodes.withColumn("template", F.concat("template", F.get("parts", LEVELS)))
+        grown = F.when(F.size("parts") > level, F.concat("template", F.lit("/"), "label")).otherwise(F.col("template"))
+        nodes = materialise(own.join(names, [*key, "seg", "rest"]).withColumn("template", grown).drop("seg", "rest", "label"), f"level{level}")
+        level += 1
+    tail = F.transform(F.slice("parts", level + 1, F.greatest(F.size("parts"), F.lit(1))), lambda x: F.concat(F.lit("/"), x))
+    return nodes.withColumn("template", F.concat("template", F.array_join(tail, "")))
 
 
 def judged_templates(nodes: DataFrame) -> DataFrame:

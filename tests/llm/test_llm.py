@@ -335,6 +335,15 @@ def test_embeddings_with_repeated_ids(spark):
 
 
 # --- 1 urls
+def test_url_templates_reach_every_depth(spark):
+    """Branches that differ only far below the root are told apart by their labels."""
+    rows = [(i, f"http://h.org/a/b/c/d/{'spam' if i % 2 else 'good'}/x{i}/page") for i in range(60)] + [(99, "http://h.org/" + "s/" * 40 + "end")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 2 == 1) for i in range(40)], "page_id long, blocked boolean")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, rules=(), labels=labels).collect()}
+    assert got == {i: "block" if i % 2 and i < 60 else "allow" for i, _ in rows}
+
+
 def test_url_filter_rules_and_templates(spark):
     rows = [(1, "https://A.Example.com/en/5?x"), (2, "http://www.example.com/en/x"), (3, "x://com/"), (4, "http://notexample.com/en/1"),
             (5, "http://b.net/es/1"), (6, "http://b.net/de/1"), (7, None), (8, "no scheme"), (9, "http://example.com"), (10, "http://EXAMPLE.com#/en/"), (11, "a://b://c/d")]

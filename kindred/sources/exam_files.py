@@ -15,6 +15,7 @@ knows (``file``, ``hdfs``, ``s3``, ``gs``) or a plain path.
 
 from __future__ import annotations
 
+import codecs
 import json
 import re
 from collections.abc import Iterator
@@ -25,7 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 SCHEMA = "file_name string, number long, pos int, item string"
+#: Bytes of a file that a reading task decodes at a time.
+CHUNK = 1 << 20
 HIDDEN = "_writing-"
+_BLANK = re.compile(r"[ \t\n\r]*")
 
 
 def file_number(name: str) -> int:
@@ -43,6 +47,63 @@ def open_folder(path: str):
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
+def stream_items(stream, chunk: int = CHUNK) -> Iterator:
+    """The elements of a JSON array, or one other value, parsed as the bytes arrive: only
+    the element at hand and one chunk are held, whatever the size of the file."""
+    text, decode = codecs.getincrementaldecoder("utf-8-sig")(), json.JSONDecoder().raw_decode
+    held, at, ended = "", 0, False
+
+    def more() -> None:
+        nonlocal held, at, ended
+        got = stream.read(max(chunk, len(held) - at))     # a long element doubles what is held
+        held, at, ended = held[at:] + text.decode(got, not got), 0, not got
+
+    def char() -> str:
+        """The next character that is no white space, '' at the end."""
+        nonlocal at
+        while True:
+            at = _BLANK.match(held, at).end()
+            if at < len(held):
+                return held[at]
+            if ended:
+                return ""
+            more()
+
+    def value():
+        nonlocal at
+        while True:
+            try:
+                out, end = decode(held, at)
+            except json.JSONDecodeError:
+                if ended:
+                    raise
+            else:
+                # a number may go on in the next chunk
+                if ended or end < len(held) and held[end] not in ".eE":
+                    at = end
+                    return out
+            more()
+
+    if char() != "[":
+        yield value()
+    else:
+        at += 1
+        if char() == "]":
+            at += 1
+        else:
+            while True:
+                char()
+                yield value()
+                after = char()
+                if after not in (",", "]"):
+                    raise json.JSONDecodeError("Expecting ',' delimiter", held, at)
+                at += 1
+                if after == "]":
+                    break
+    if char():
+        raise json.JSONDecodeError("Extra data", held, at)
+
+
 class ExamFiles(InputPartition):
     """Consecutive files of the listing that one task reads."""
 
@@ -71,10 +132,9 @@ class ExamFilesReader(DataSourceReader):
         store, folder = open_folder(self.path)
         for name in part.names:
             with store.open_input_stream(f"{folder}/{name}") as f:
-                data = json.loads(f.read().decode("utf-8-sig"))
-            number = file_number(name)
-            for pos, item in enumerate(data if isinstance(data, list) else [data]):
-                yield name, number, pos, json.dumps(item, ensure_ascii=False)
+                number = file_number(name)
+                for pos, item in enumerate(stream_items(f)):
+                    yield name, number, pos, json.dumps(item, ensure_ascii=False)
 
 
 @dataclass

@@ -84,3 +84,34 @@ def test_sheets_keep_their_columns(spark):
     io.write_sheets({"one": spark.range(2), "two": spark.range(3).withColumnRenamed("id", "x")}, d)
     back = io.read_sheet_frames(spark, d)
     assert {k: (v.columns, v.count()) for k, v in back.items()} == {"one": (["id"], 2), "two": (["x"], 3)}
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 64, 1 << 20])
+def test_items_are_parsed_as_they_arrive(chunk):
+    import io as streams
+    import json
+
+    from kindred.sources.exam_files import stream_items
+    items = [{"a": "Đề, ]thi[", "b": [1, {"c": None}]}, 12345, "x\"y", [], {}, -1.5e3, True]
+    for data in (items, [], items[0], 17, "s"):
+        for raw in (json.dumps(data, ensure_ascii=False, indent=1), json.dumps(data)):
+            got = list(stream_items(streams.BytesIO(b"\xef\xbb\xbf " + raw.encode("utf-8") + b"\n"), chunk))
+            assert got == (data if isinstance(data, list) else [data])
+    for bad in ("", "[1, 2", "[1 2]", "[1] 2", "[1,]", "{"):
+        with pytest.raises(json.JSONDecodeError):
+            list(stream_items(streams.BytesIO(bad.encode()), chunk))
+
+
+def test_a_large_file_is_not_held_whole():
+    import io as streams
+
+    from kindred.sources.exam_files import stream_items
+
+    class Counted(streams.BytesIO):
+        most = 0
+
+        def read(self, n=-1):
+            assert 0 <= n <= 1 << 16
+            return super().read(n)
+    raw = b"[" + b",\n".join(b'{"id": %d}' % i for i in range(200_000)) + b"]"
+    assert sum(x["id"] for x in stream_items(Counted(raw), 1 << 12)) == 199_999 * 100_000

@@ -555,3 +555,21 @@ def test_executors_need_no_copy_of_the_package(tmp_path):
     out = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo, ckpt=str(tmp_path / "ckpt"))], cwd=tmp_path, env=env,
                          capture_output=True, text=True, timeout=600)
     assert "RIGHT 120" in out.stdout and "SCORED 120" in out.stdout, out.stderr[-2000:]
+
+
+def test_line_dedup_keeps_texts_out_of_python_workers(spark):
+    """Texts went through a pandas UDF: lines beyond the 64th, blank, and dropped in long texts."""
+    long = "\n".join(f"own {i}" if i % 3 else " Shared \t" for i in range(300))
+    rows = [(i, long.replace("own", f"own{i}")) for i in range(12)] + [(50, None), (51, ""), (None, "shared\nx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    digest = line_dedup.dedup_digest(df)
+    plan = digest._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan and "ArrowEvalPython" not in line_dedup.dedup_lines(df)._jdf.queryExecution().toString()
+    got = {r.doc_id: r for r in digest.collect()}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(df).collect()}
+    for i, text in rows[:12]:
+        want = "\n".join(x for x in text.split("\n") if x != " Shared \t")
+        assert kept[i] == want
+        assert (got[i].n_lines, got[i].n_dropped, got[i].kept_sha256) == (300, 100, hashlib.sha256(want.encode()).hexdigest())
+    assert kept[50] is None and kept[51] == "" and kept[None] == "x"
+    assert (got[50].n_lines, got[50].n_dropped) == (1, 0)

@@ -573,3 +573,20 @@ def test_line_dedup_keeps_texts_out_of_python_workers(spark):
         assert (got[i].n_lines, got[i].n_dropped, got[i].kept_sha256) == (300, 100, hashlib.sha256(want.encode()).hexdigest())
     assert kept[50] is None and kept[51] == "" and kept[None] == "x"
     assert (got[50].n_lines, got[50].n_dropped) == (1, 0)
+
+
+def test_language_calibration_reads_every_training_row(spark):
+    """Temperature and limits came from the 2,000 training rows of smallest hash; the odd
+    text is the row of largest hash."""
+    ids = spark.range(2700).filter("crc32(cast(id as string)) % 5 <> 0")
+    assert ids.count() > 2000
+    last = ids.orderBy(F.xxhash64("id").desc()).first().id
+    plain = F.repeat(F.concat(F.lit("the house of "), F.col("id").cast("string"), F.lit(" and the river ")), 4)
+    odd = F.lit("zxqj wvkk qzzx jjxq kvvw " * 5)
+    df = ids.select(F.col("id").alias("doc_id"), F.when(F.col("id") == last, odd).otherwise(plain).alias("text"),
+                    F.lit("en").alias("lang"))
+    judge, scored = language_id.fit(df, ["doc_id"])
+    entropy = {r.doc_id: judge.entropies(r._parts)[0][0] for r in scored.collect()}
+    assert len(entropy) == ids.count() and max(entropy, key=entropy.get) == last
+    assert judge.limit == {0: entropy[last]}
+    assert {r.doc_id: r.entropy for r in language_id.identify(df).collect()} == pytest.approx(entropy)

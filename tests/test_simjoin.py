@@ -221,3 +221,16 @@ def test_prefix_classes(spark):
     got = {r.id: (r.class_id, r.n_links) for r in J.prefix_classes(rows, 50).collect()}
     # kind m: the shortest text has one character, the prefix none, so all are one class
     assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0), 5: (5, 2), 6: (5, 2), 7: (5, 2)}
+
+
+def test_length_classes_name_every_row(spark):
+    """J4 and J6 gave one row per length and did not say which rows it stands for."""
+    rows = [("k", 5, "abcd"), ("k", 2, "wxyz"), ("k", 9, "abcde"), ("k", 7, ""), ("k", 8, None), ("m", 1, "abcd")]
+    df = spark.createDataFrame(rows, "kind string, id long, value string")
+    got = {(r.kind, r.id): (r.class_id, r.n, r.n_links) for r in
+           J.with_length_class(df.filter(F.length("value") > 0), J.length_ratio_classes(df, 52.5)).collect()}
+    assert got == {("k", 5): (2, 2, 2), ("k", 2): (2, 2, 2), ("k", 9): (9, 1, 2), ("m", 1): (1, 1, 0)}
+    got = {(r.kind, r.id): (r.class_id, r.n, r.n_longer, r.pairs) for r in
+           J.with_length_class(df, J.length_window_classes(df, 0.7)).collect()}
+    assert got == {("k", 5): (2, 2, 1, 3), ("k", 2): (2, 2, 1, 3), ("k", 9): (9, 1, 0, 0),
+                   ("k", 7): (7, 2, 0, 1), ("k", 8): (7, 2, 0, 1), ("m", 1): (1, 1, 0, 0)}

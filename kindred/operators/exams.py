@@ -8,8 +8,6 @@ titles are rewritten with regex/replace expressions per language.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,22 +102,12 @@ def _ko_number(v: Column) -> Column:
     return F.nullif(F.regexp_extract(v, r"(?U)^(\d+)\s+번", 1), F.lit("")).try_cast("long")
 
 
-def _title_langs(exams: DataFrame, by: Sequence[str], rewrite) -> DataFrame:
-    """``(exam_id, _h, _tl)``: the ``title_lang`` of every exam with its texts rewritten.
-
-    Titles repeat from exam to exam, so ``rewrite`` runs once on each distinct (lang,
-    text, *by) - it adds ``base``, null where the title has no number - and the
-    dictionary is joined back.  ``_h`` tells exams of one id with different titles
-    apart."""
-    long = exams.select(F.col("id").alias("exam_id"), title_hash("title_lang").alias("_h"), *by,
-                        F.explode("title_lang").alias("lang", "text"))
-    words = rewrite(long.select("lang", "text", *by).distinct()).filter("base IS NOT NULL").select("lang", "text", *by, "base")
-    return (long.join(words, ["lang", "text", *by]).groupBy("exam_id", "_h")
-            .agg(F.map_from_entries(F.collect_set(F.struct("lang", "base"))).alias("_tl")))
-
-
-def title_hash(title_lang) -> Column:
-    return F.xxhash64(F.map_entries(_c(title_lang)))
+def _parsed_langs(title_lang) -> Column:
+    """Per language ``struct(text, n, ko)`` for titles that carry a number, parsed once
+    per exam (before the parts are exploded)."""
+    parsed = F.transform_values(_c(title_lang), lambda k, v: F.struct(
+        v.alias("text"), title_number(v).alias("n"), _ko_number(v).alias("ko")))
+    return F.map_filter(parsed, lambda k, x: x["n"].isNotNull())
 
 
 def _no_titles() -> Column:
@@ -129,27 +117,22 @@ def _no_titles() -> Column:
 def split_skills(exams: DataFrame, inc: Column | None = None) -> DataFrame:
     """E5+E6: one exam per Listening/Reading/Writing part of an exam whose title
     has a number; ``score 100, type 5, active 0, sequence 0, groups []``.
-    Titles are rewritten once per distinct title, before ``posexplode``."""
-    exams = exams.withColumn("_inc", increment_for("level") if inc is None else inc)
-
-    def rewrite(words):
-        x = words.withColumns({"_n": title_number("text"), "_ko": _ko_number(F.col("text"))})
-        new = F.col("_n") + F.col("_inc")
-        return x.withColumn("base", F.when((F.col("lang") == "ko") & F.col("_ko").isNotNull() & F.col("_n").isNotNull(),
-                                           F.concat(new.cast("string"), F.lit(" 번 시험지")))
-                            .otherwise(_replace_num(F.col("text"), F.col("_n"), new)))
-
-    pre = exams.select(F.col("id").alias("exam_id"), title_hash("title_lang").alias("_h"), "level", "parts", "_inc",
-                       title_number("title").alias("_tn"))
-    p = pre.filter(F.col("_tn").isNotNull()).select(
-        "exam_id", "_h", "level", "_inc", "_tn", F.posexplode("parts").alias("part_pos", "part"))
-    p = p.filter(F.col("part.name").isin(SKILLS)).join(_title_langs(exams, ["_inc"], rewrite), ["exam_id", "_h"], "left")
+    Titles are rewritten once per exam, before ``posexplode``, with no shuffle."""
+    inc = increment_for("level") if inc is None else inc
+    pre = exams.select(F.col("id").alias("exam_id"), "level", "parts", inc.alias("_inc"),
+                       title_number("title").alias("_tn"), _parsed_langs("title_lang").alias("_tl"))
+    new = lambda x: (x["n"] + F.col("_inc")).cast("string")
+    base = F.transform_values("_tl", lambda k, x: F.when((k == "ko") & x["ko"].isNotNull(), F.concat(new(x), F.lit(" 번 시험지")))
+                              .otherwise(F.replace(x["text"], x["n"].cast("string"), new(x))))
+    pre = pre.filter(F.col("_tn").isNotNull()).select(
+        "exam_id", "level", "_inc", "_tn", F.coalesce(base, _no_titles()).alias("_tl"), "parts")
+    p = pre.select("exam_id", "level", "_inc", "_tn", "_tl", F.posexplode("parts").alias("part_pos", "part"))
+    p = p.filter(F.col("part.name").isin(SKILLS))
     skill = F.col("part.name")
     return p.select(
         "exam_id", "part_pos", "level",
         F.concat(F.lit("Test "), (F.col("_tn") + F.col("_inc")).cast("string"), F.lit(" - "), skill).alias("title"),
-        F.transform_values(F.coalesce("_tl", _no_titles()), lambda k, v: F.concat(v, F.lit(" - "), skill_suffix(skill, k)))
-        .alias("title_lang"),
+        F.transform_values("_tl", lambda k, v: F.concat(v, F.lit(" - "), skill_suffix(skill, k))).alias("title_lang"),
         F.array("part").alias("parts"), F.col("part.time").alias("time"),
         F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"), F.lit(0).alias("sequence"))
 
@@ -254,31 +237,27 @@ def ai_skill_split(exams: DataFrame, second_decrement: bool = True, first_decrem
     with ``first_decrement``); the reference decrements the skill titles a second
     time, kept by default.
 
-    Titles are built and decremented once per distinct title, before ``posexplode``:
-    the fixed skill suffixes contain none of the decrement patterns, so decrementing
-    ``title + " - " + suffix`` equals decrementing ``title`` and appending."""
-    def again(df, col):
-        return df.withColumn(col, decrement_title(col)) if second_decrement else df
-
-    def rewrite(words):
-        x = words.withColumn("_t", decrement_title("text") if first_decrement else F.col("text"))
-        x = x.withColumns({"_n": title_number("_t"), "_ko": _ko_number(F.col("_t"))}).filter("_n IS NOT NULL")
-        base = F.when((F.col("lang") == "ko") & F.col("_ko").isNotNull(),
-                      F.concat(F.col("_n").cast("string"), F.lit(" 번 시험지"))).otherwise(F.col("_t"))
-        return again(x.withColumn("base", base), "base")
-
-    titles = exams.select("title").distinct().withColumn("_t", decrement_title("title") if first_decrement else F.col("title"))
-    titles = titles.withColumn("_n", title_number("_t")).filter("_n IS NOT NULL").select(
-        "title", F.concat(F.lit("Test "), F.col("_n").cast("string")).alias("_t"))
-    per_exam = exams.select(F.col("id").alias("exam_id"), title_hash("title_lang").alias("_h"), "level", "parts", "title").join(
-        again(titles, "_t"), "title")
-    p = per_exam.select("exam_id", "_h", "level", "_t", F.posexplode("parts").alias("part_pos", "part")).filter(
-        F.col("part.name").isin(SKILLS)).join(_title_langs(exams, [], rewrite), ["exam_id", "_h"], "left")
+    Titles are built and decremented once per exam, before ``posexplode`` and with no
+    shuffle: the fixed skill suffixes contain none of the decrement patterns, so
+    decrementing ``title + " - " + suffix`` equals decrementing ``title`` and appending."""
+    if first_decrement:
+        exams = exams.withColumns({"title": decrement_title("title"),
+                                   "title_lang": F.transform_values("title_lang", lambda k, v: decrement_title(v))})
+    parsed = exams.select(F.col("id").alias("exam_id"), "level", "parts", title_number("title").alias("_tn"),
+                          _parsed_langs("title_lang").alias("_tl")).filter(F.col("_tn").isNotNull())
+    base_title = F.concat(F.lit("Test "), F.col("_tn").cast("string"))
+    base_langs = F.transform_values("_tl", lambda k, x: F.when(
+        (k == "ko") & x["ko"].isNotNull(), F.concat(x["n"].cast("string"), F.lit(" 번 시험지"))).otherwise(x["text"]))
+    per_exam = parsed.select("exam_id", "level", "parts", base_title.alias("_t"), F.coalesce(base_langs, _no_titles()).alias("_tl"))
+    if second_decrement:
+        per_exam = per_exam.withColumns({"_t": decrement_title("_t"),
+                                         "_tl": F.transform_values("_tl", lambda k, v: decrement_title(v))})
+    p = per_exam.select("exam_id", "level", "_t", "_tl", F.posexplode("parts").alias("part_pos", "part")).filter(
+        F.col("part.name").isin(SKILLS))
     skill = F.col("part.name")
     return p.select("exam_id", "part_pos", "level",
                     F.concat(F.col("_t"), F.lit(" - "), skill).alias("title"),
-                    F.transform_values(F.coalesce("_tl", _no_titles()),
-                                       lambda k, v: F.concat(v, F.lit(" - "), skill_suffix(skill, k))).alias("title_lang"),
+                    F.transform_values("_tl", lambda k, v: F.concat(v, F.lit(" - "), skill_suffix(skill, k))).alias("title_lang"),
                     F.array("part").alias("parts"), F.coalesce(F.col("part.time"), F.lit(30)).alias("time"),
                     F.lit(100).alias("score"), F.lit(0).alias("active"), F.lit(5).alias("type"),
                     F.lit(0).alias("sequence"))

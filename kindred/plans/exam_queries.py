@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from kindred.operators import exams as E
 from kindred.operators.fill import sequential_ids
+from kindred.operators.parallel import spread
 from kindred.plans import fixtures as fx
 from kindred.plans.registry import register
+from kindred.session import write_once
 
 
 def TN(t: str) -> str:
@@ -217,6 +219,8 @@ def q_e12l(spark, d):
 SELECT exam_id, part_pos, CAST({E.AI_SKILL_FIRST_ID} + row_number() OVER (ORDER BY exam_id, part_pos) - 1 AS BIGINT) AS new_id
 FROM ask""")
 def q_w3(spark, d):
-    s = E.ai_skill_split(_ai(spark, d), first_decrement=True)
+    # titles cost CPU, not bytes, so they are spread; written before they are numbered, as the
+    # range partitioning samples its input
+    s = write_once(E.ai_skill_split(spread(_ai(spark, d), "id"), first_decrement=True), "skills")
     out = sequential_ids(s, ["exam_id", "part_pos"], E.AI_SKILL_FIRST_ID, out="new_id")
     return out.select("exam_id", "part_pos", "new_id")

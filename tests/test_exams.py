@@ -68,3 +68,22 @@ def test_exams_of_one_id_keep_their_own_titles(spark):
     assert got == [("Test 105 - Reading", "Test 105 - Reading"), ("Test 105 - Reading", None), ("Test 110 - Reading", "Test 110 - Reading")]
     twice = sorted(((r.title, r.title_lang.get("en")) for r in E.ai_skill_split(df, first_decrement=True).collect()), key=str)
     assert twice == [("Test 1 - Reading", "Test 1 - Reading"), ("Test 1 - Reading", "Test 1 - Reading"), ("Test 1 - Reading", None)]
+
+
+def test_skill_titles_need_no_shuffle(spark):
+    schema = "id long, level int, title string, title_lang map<string,string>, parts array<struct<name:string,time:int>>"
+    df = spark.createDataFrame([(1, 1, "Test 65", {"en": "Test 65", "ko": "65 번 시험지", "vi": "none"}, [("Reading", 10)])], schema)
+    for found in (E.split_skills(df), E.ai_skill_split(df, first_decrement=True)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    assert E.ai_skill_split(df, first_decrement=True).first().title_lang == {"en": "Test 1 - Reading", "ko": "1 번 시험지 - 읽기"}
+
+
+def test_exams_are_numbered_from_written_columns(spark):
+    rows = [(i * 7919 % 500, None if i % 3 else {"a": "x"}, [i]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, m map<string,string>, l array<long>")
+    from kindred.operators.fill import in_order, sequential_ids
+    plan = in_order(df, ["id"], 8).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ReadSchema: struct<id:bigint>" in plan
+    got = {r.id: (r.n, r.m, r.l) for r in sequential_ids(df, ["id"], 5, out="n", chunks=8).collect()}
+    assert got == {i: (i + 5, m, l) for i, m, l in rows}

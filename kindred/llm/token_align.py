@@ -42,8 +42,8 @@ BLOCK = 2_000_000
 #: Distinct pieces of text that a worker remembers beside those of its last block; bounds memory, not results.
 CACHE = 250_000
 SPACE = "▁"
-#: A space between two characters that are no white space.
-CUT = re.compile(r"(?<=\S)(?= \S)")
+#: A space between two characters that are no white space; the space comes first, so that it is searched for.
+CUT = re.compile(r" (?<=\S )(?=\S)")
 DOC, PAIRS = 0, 1
 SCHEMA = ("block long, role int, row int, doc_id long, n_a long, n_b long, n_groups long, n_links long, "
           "groups string, refs array<int>, times array<int>")
@@ -63,7 +63,9 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     Inside a slice of x and y tokens no ends agree, so its x + y - 1 distinct ends
     each close one link, the one of the two tokens that cover the byte before."""
-    closing = np.union1d(ends_a, ends_b)
+    closing = np.concatenate((ends_a, ends_b))
+    closing.sort(kind="stable")          # two sorted runs, which are merged
+    closing = closing[np.append(closing[:-1] != closing[1:], True)] if len(closing) else closing
     return np.searchsorted(ends_a, closing), np.searchsorted(ends_b, closing)
 
 
@@ -133,7 +135,10 @@ class Tokenizers:
 
     def pieces(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers end a token."""
-        return CUT.split(" " + text) if self.cuts else [" " + text]
+        if not self.cuts:
+            return [" " + text]
+        first, *rest = CUT.split(" " + text)
+        return [first, *map(" ".__add__, rest)]
 
     def learn(self, new: list[str]) -> None:
         """Encode pieces that were not met before, and align them all in one row."""

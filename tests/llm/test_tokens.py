@@ -228,3 +228,22 @@ def test_pointer_sort_orders_terms():
     ordered = [terms[i] for i in order]
     assert ordered == sorted(terms)
     assert [terms[order[r]] for r in run] == ordered
+
+
+def test_pieces_are_cut_before_single_spaces():
+    import random
+    import re
+
+    from kindred.llm.token_align import Tokenizers, links
+    import numpy as np
+
+    rng = random.Random(5)
+    cutter = Tokenizers.__new__(Tokenizers)
+    cutter.cuts = True
+    for _ in range(3000):
+        text = "".join(rng.choice(" \n\t 　ab") for _ in range(rng.randint(1, 12)))
+        assert cutter.pieces(text) == re.split(r"(?<=\S)(?= \S)", " " + text)
+    for _ in range(300):
+        a, b = (np.cumsum([rng.randint(1, 4) for _ in range(rng.randint(0, 9))] or [0], dtype=np.int64) for _ in range(2))
+        closing = sorted(set(a.tolist()) | set(b.tolist()))
+        assert [x.tolist() for x in links(a, b)] == [np.searchsorted(e, closing).tolist() for e in (a, b)]

@@ -1,23 +1,22 @@
 """HTML extraction with wrappers inferred per host and layout.
 
-A page is a stream of structural tags and texts.  Pages of one layout (the set of
-containers that hold text) are aligned by the paths of their texts, over all
-pages of the host: a path is a slot where texts differ, or constant.  The
-smallest container that holds all slots of a layout outside boilerplate is its
-main container, and every page gives the text of the container of its layout,
-less the boilerplate inside.
-
-``infer`` writes a few pages as one union-free regular expression: neighbouring
-equal blocks fold into a repeated group, differing texts become slots and tags
-that only one side has become optional groups.
+A page is a tree of structural tags and texts.  All pages of one layout of a host
+(the set of containers that hold text) are generalised to one wrapper, a
+union-free regular expression: neighbouring equal blocks fold into a repeated
+group, differing texts become slots and tags that only one side has become
+optional groups.  The smallest container that holds all slots of a layout outside
+boilerplate is its main container, and every page gives the text of the container
+of its layout, less the boilerplate inside.
 """
 
 from __future__ import annotations
 
 import difflib
+import functools
 import hashlib
 import html as entities
 import itertools
+import pickle
 import re
 
 import pandas as pd
@@ -29,6 +28,18 @@ from kindred.llm.url_filter import host_and_path
 
 #: Differing pages that must agree at a path before its text counts as constant.
 DIFFERENT = 3
+#: Neighbouring nodes that may repeat together.
+PERIOD = 4
+#: Neighbouring nodes of a wrapper beyond which they go in any order; bounds a wrapper, no text is lost by it.
+SIBLINGS = 200
+#: Nested elements of a wrapper, the rest of a path below them counts as one; bounds recursion.
+DEEP = 60
+#: Letters of a text that a wrapper shows; longer texts are told apart by their hash.
+SHOWN = 40
+#: Buckets in which the shapes of a layout are aligned first.
+BUCKETS = 256
+#: Shapes that a task holds before it writes them.
+HELD = 1000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _RAW = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg")}
@@ -123,8 +134,8 @@ def parse(page: str):
         yield ("close", stack.pop())
 
 
-def texts(page: str):
-    """(path of labels, inside boilerplate, block text) of every block, in order."""
+def texts(events):
+    """(path of labels, inside boilerplate, block text) of every block of a parsed page, in order."""
     path, boiler, parts = [], [], []
 
     def block():
@@ -132,7 +143,7 @@ def texts(page: str):
         parts.clear()
         return [(tuple(path), any(boiler), text)] if text else []
 
-    for event in parse(page):
+    for event in events:
         if event[0] == "text":
             parts.append(event[1])
             continue
@@ -147,158 +158,192 @@ def texts(page: str):
 
 
 # --- wrapper inference -------------------------------------------------------
-# A wrapper is a list of nodes: ("tag", "<x>"), ("text", path, boilerplate, value or None for a slot,
-# mean length), ("many", nodes) and ("maybe", nodes).
+# A wrapper is a list of nodes, a node a tuple (label, boilerplate, nodes, value, varied, seen, times).
+# The label is that of an element, TEXT, GROUP (neighbours that repeat together) or MIXED (neighbours
+# in any order).  A text has a value (what one page says there, None once pages differ), whether
+# more than one text was met, and one bit of the hash of each page that has it.  ``times`` is
+# "" for once, "?" for optional, "+" for repeated and "*" for both.
+TEXT, GROUP, MIXED = "#", "(", "(?"
 
-def stream(page: str) -> list:
-    nodes, path, boiler, parts = [], [], [], []
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def tree(events, bit: int = 0) -> list:
+    """Elements of a parsed page that hold text and their texts, unfolded.  What is
+    open below DEEP elements goes by the rest of its path, as one element."""
+    root: list = []
+    open_: list[tuple[str, bool, list]] = [("", False, root)]
+    parts: list[str] = []
 
     def block():
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            nodes.append(("text", tuple(path), any(boiler), text, len(text)))
-
-    for event in parse(page):
+            value = text if len(text) <= SHOWN else f"{text[:SHOWN]} {_hash(text)}"
+            node = (TEXT, False, [], value, False, 1 << bit, "")
+            if rest := open_[DEEP + 1:]:
+                node = ("/".join(n for n, _, _ in rest), any(b for _, b, _ in rest), [node], None, False, 0, "")
+            open_[min(DEEP, len(open_) - 1)][2].append(node)
+
+    def close():
+        name, boiler, nodes = open_.pop()
+        if nodes:
+            open_[-1][2].append((name, boiler, nodes, None, False, 0, ""))
+
+    for event in events:
         if event[0] == "text":
             parts.append(event[1])
             continue
         block()
         if event[0] == "open":
-            path.append(event[1])
-            boiler.append(event[2])
-            nodes.append(("tag", f"<{event[1]}>"))
-        elif event[0] == "close" and path:
-            nodes.append(("tag", f"</{path.pop()}>"))
-            boiler.pop()
+            open_.append((event[1].replace("/", "|"), event[2], []))
+        elif event[0] == "close" and len(open_) > 1:
+            close()
     block()
-    return nodes
+    while len(open_) > 1:
+        close()
+    return root
 
 
-def shape(node) -> tuple:
-    """What alignment compares: texts are equal whatever they say."""
-    if node[0] == "tag":
-        return node
-    if node[0] == "text":
-        return ("text", node[1])
-    return ("group", tuple(shape(n) for n in node[1]))
+def key(node):
+    """What alignment compares: the element, whatever it holds; texts are equal whatever they say."""
+    return (GROUP, *map(key, node[2])) if node[0] == GROUP else node[0]
 
 
-def fold(nodes: list) -> list:
-    """Fold neighbouring equal balanced blocks into one repeated group."""
-    out: list = []
-    blocks: list[tuple[int, tuple]] = []  # start and shape of the balanced block that ends at out's end
-    opened: list[int] = []
-    for node in nodes:
-        out.append(node)
-        if node[0] != "tag":
-            continue
-        if not node[1].startswith("</"):
-            opened.append(len(out) - 1)
-            continue
-        start = opened.pop() if opened else len(out) - 1
-        own = out[start:]
-        key = tuple(shape(n) for n in own)
-        before = out[start - 1] if start else None
-        if before is not None and before[0] == "many" and tuple(shape(n) for n in before[1]) == key:
-            out[start - 1:] = [("many", merge(before[1], own))]
-        elif before == ("tag", node[1]):
-            size = len(own)
-            if start >= size and tuple(shape(n) for n in out[start - size:start]) == key:
-                out[start - size:] = [("many", merge(out[start - size:start], own))]
-    return out
-
-
-def merge(a: list, b: list) -> list:
-    """Merge two node lists of equal shape: differing texts become slots."""
-    out = []
-    for x, y in zip(a, b):
-        if x[0] == "text":
-            out.append((*x[:3], x[3] if x[3] == y[3] else None, max(x[4], y[4])))
-        elif x[0] in ("many", "maybe"):
-            out.append((x[0], merge(x[1], y[1])))
-        else:
-            out.append(x)
-    return out
+def _times(a: str, b: str) -> str:
+    optional, repeated = a in ("?", "*") or b in ("?", "*"), a in ("+", "*") or b in ("+", "*")
+    return "*" if optional and repeated else "?" if optional else "+" if repeated else ""
+
+
+def joined(x: str | None, y: str | None) -> str | None:
+    """Value of a text that one page says twice."""
+    return None if x is None or y is None else str(_hash(f"{x}\n{y}"))
+
 
+def same(x: str | None, y: str | None) -> str | None:
+    """Value of a text of two pages."""
+    return x if x == y else None
 
-def _bare(node):
-    return shape(node[1][0]) if node[0] in ("many", "maybe") and len(node[1]) == 1 else shape(node)
 
+def unify(x: tuple, y: tuple, value) -> tuple:
+    """The node that fits both of two nodes of one key."""
+    return (x[0], x[1] or y[1], align(x[2], y[2], value), value(x[3], y[3]) if x[0] == TEXT else None,
+            x[4] or y[4] or x[3] != y[3], x[5] | y[5], _times(x[6], y[6]))
 
-def align(wrapper: list, page: list) -> list:
-    """The wrapper generalised by one page: matches merge, the rest is optional."""
-    a, b = [_bare(n) for n in wrapper], [_bare(n) for n in page]
+
+def fold(nodes: list) -> list:
+    """Fold neighbours that repeat, alone or up to PERIOD together, into repeated
+    groups, inside out."""
+    nodes = [(*n[:2], fold(n[2]), *n[3:]) if n[2] else n for n in nodes]
+    for k in range(1, PERIOD + 1):
+        if len(nodes) <= k:
+            break
+        out: list = []
+        keys: list = []
+        for n in nodes:
+            out.append(n)
+            keys.append(key(n))
+            if k == 1:
+                if len(out) > 1 and keys[-1] == keys[-2]:
+                    one = unify(out[-2], out[-1], joined)
+                    out[-2:], keys[-2:] = [(*one[:6], _times(one[6], "+"))], keys[-1:]
+            elif len(out) > k and keys[-k - 1] == (GROUP, *keys[-k:]):
+                group = out[-k - 1]
+                out[-k - 1:], keys[-k - 1:] = [(*group[:2], align(group[2], out[-k:], joined), *group[3:])], keys[-k - 1:-k]
+            elif len(out) >= 2 * k and keys[-2 * k:-k] == keys[-k:]:
+                one = align(out[-2 * k:-k], out[-k:], joined)
+                out[-2 * k:], keys[-2 * k:] = [(GROUP, False, one, None, False, 0, "+")], [(GROUP, *keys[-k:])]
+        nodes = out
+    return mixed(nodes, joined) if len(nodes) > SIBLINGS else nodes
+
+
+def mixed(nodes: list, value) -> list:
+    """Many different neighbours as one repeated group of optional nodes, one for each
+    key; if there are too many keys, elements of running text go by their tag."""
+    flat = []
+    for n in nodes:
+        flat += n[2] if n[0] in (GROUP, MIXED) else [n]
+    if len({key(n) for n in flat}) > SIBLINGS:
+        flat = [(n[0].split(".")[0] if n[0].split(".")[0] in _CONTENT else n[0], *n[1:]) for n in flat]
+    held: dict = {}
+    for n in flat:
+        k = key(n)
+        held[k] = unify(held[k], n, value) if k in held else n
+    return [(MIXED, False, [(*held[k][:6], _times(held[k][6], "?")) for k in sorted(held, key=str)], None, False, 0, "+")]
+
+
+def align(wrapper: list, page: list, value=same) -> list:
+    """The nodes that fit both lists: matches are unified, the rest is optional."""
+    a, b = [key(n) for n in wrapper], [key(n) for n in page]
+    if a == b:
+        return [unify(x, y, value) for x, y in zip(wrapper, page)]
+    if MIXED in a or MIXED in b:
+        return mixed(wrapper + page, value)
     out = []
     for op, i, j, k, m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if op == "equal":
-            for x, y in zip(wrapper[i:j], page[k:m]):
-                if x[0] == y[0]:
-                    out += merge([x], [y])
-                else:
-                    group = x if x[0] in ("many", "maybe") else y
-                    out.append((group[0], group[1]))
-            continue
-        for part in (wrapper[i:j], page[k:m]):
-            if len(part) == 1 and part[0][0] == "maybe":
-                out += part
-            elif part:
-                out.append(("maybe", part))
-    return out
+            out += [unify(x, y, value) for x, y in zip(wrapper[i:j], page[k:m])]
+        else:
+            out += [(*n[:6], _times(n[6], "?")) for n in wrapper[i:j] + page[k:m]]
+    return mixed(out, value) if len(out) > SIBLINGS else out
 
 
 def infer(pages: list[str]) -> list:
-    wrapper: list = []
-    for n, page in enumerate(pages):
-        own = fold(stream(page))
-        wrapper = own if n == 0 else align(wrapper, own)
-    return wrapper
+    """Wrapper of a few pages."""
+    return functools.reduce(align, [page_wrapper(page)[1] for page in pages]) if pages else []
 
 
 def expression(wrapper: list) -> str:
-    """The wrapper as text: #slot for variable text, (...)+ and (...)?."""
+    """The wrapper as text: #slot for variable text, (...)+, (...)? and (...)*."""
     parts = []
-    for n in wrapper:
-        if n[0] == "tag":
-            parts.append(n[1])
-        elif n[0] == "text":
-            parts.append("#slot" if n[3] is None else n[3][:40])
+    for name, _, nodes, value, varied, _, times in wrapper:
+        if name == TEXT:
+            own = "#slot" if varied or value is None else value[:SHOWN]
         else:
-            parts.append("(" + expression(n[1]) + (")+" if n[0] == "many" else ")?"))
+            own = expression(nodes) if name in (GROUP, MIXED) else f"<{name}> {expression(nodes)} </{name}>"
+        parts.append(f"({own}){times}" if times else own)
     return " ".join(parts)
 
 
-def _slots(nodes):
-    for n in nodes:
-        if n[0] == "text":
-            yield n
-        elif n[0] in ("many", "maybe"):
-            yield from _slots(n[1])
+def shape(wrapper: list) -> str:
+    """All of a wrapper but its texts; wrappers of one shape unify in any order."""
+    return "".join(f"{n[0]}{n[6]}<{shape(n[2])}>" for n in wrapper)
 
 
-def main_container(wrapper: list) -> str:
-    """Path (joined by /) of the deepest container with all variable text of one
-    wrapper outside boilerplate."""
-    found = [n for n in _slots(wrapper) if not n[2]]
-    paths = [n[1] for n in found if n[3] is None] or [n[1] for n in found]
+def leaves(wrapper: list, path: tuple = ()):
+    """(path of labels, value, pages seen) of every text outside boilerplate."""
+    for n in wrapper:
+        if n[0] == TEXT:
+            yield path, n[3], n[5]
+        elif not n[1]:
+            yield from leaves(n[2], path if n[0] in (GROUP, MIXED) else (*path, *n[0].split("/")))
+
+
+def common_container(paths: list[tuple]) -> tuple:
+    """The deepest container that holds all of some paths."""
     lo, hi = min(paths, default=()), max(paths, default=())
     n = next((i for i, (x, y) in enumerate(zip(lo, hi)) if x != y), min(len(lo), len(hi)))
     while n and lo[n - 1].split(".")[0] in _CONTENT:
         n -= 1
-    return "/".join(lo[:n])
+    return lo[:n]
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def main_container(wrapper: list) -> str:
+    """Path (joined by /) of the deepest container with all variable text of one
+    wrapper outside boilerplate."""
+    found = [*leaves(wrapper)]
+    return "/".join(common_container([p for p, value, _ in found if value is None] or [p for p, _, _ in found]))
 
 
-def page_blocks(page: str | None) -> tuple[int, list[tuple[str, str]]]:
-    """Layout of a page and its texts outside boilerplate: (path joined by /, text
+def page_blocks(events) -> tuple[int, list[tuple[str, str]]]:
+    """Layout of a parsed page and its texts outside boilerplate: (path joined by /, text
     of neighbouring blocks of that path).  The layout is the set of containers
     that hold text, down to the first element of running text."""
     out: list[list] = []
     frames = set()
-    for path, boiler, text in texts(page) if page else ():
+    for path, boiler, text in texts(events):
         if boiler:
             continue
         path = [x.replace("/", "|") for x in path]
@@ -311,45 +356,94 @@ def page_blocks(page: str | None) -> tuple[int, list[tuple[str, str]]]:
     return _hash("\n".join(sorted(frames))), [(k, " ".join(v)) for k, v in out]
 
 
-def _evidence(batches):
-    """Per page and path: hash of all text at the path, and one bit of the page's hash."""
+def page_wrapper(page: str) -> tuple[int, list]:
+    """Layout of a page and the page as a wrapper."""
+    events = [*parse(page)]
+    layout, blocks = page_blocks(events)
+    return layout, fold(tree(events, _hash("\n".join(t for _, t in blocks)) & 63))
+
+
+def _page_wrappers(batches):
+    """(host, layout, bucket, shape, wrapper) of pages; pages of one shape are unified first."""
+    def rows():
+        out = pd.DataFrame([(h, y, s % BUCKETS, s, pickle.dumps(w)) for (h, y, s), w in held.items()],
+                           columns=["host", "layout", "bucket", "shape", "wrapper"])
+        held.clear()
+        return out.astype({"layout": "int64", "bucket": "int64", "shape": "int64"})
+
+    held: dict[tuple, list] = {}
     for pdf in batches:
-        rows = []
         for host, page in zip(pdf["host"], pdf["html"]):
-            layout, blocks = page_blocks(page)
-            own: dict[str, list] = {}
-            for path, text in blocks:
-                own.setdefault(path, []).append(text)
-            bit = _hash("\n".join(t for _, t in blocks)) & 63
-            rows += [(host, layout, path, _hash("\n".join(v)), bit) for path, v in own.items()]
-        yield pd.DataFrame(rows, columns=["host", "layout", "path", "h", "bit"]).astype({"layout": "int64", "h": "int64", "bit": "int64"})
+            layout, own = page_wrapper(page)
+            at = (host, layout, _hash(shape(own)))
+            held[at] = align(held[at], own) if at in held else own
+            if len(held) >= HELD:
+                yield rows()
+    yield rows()
+
+
+def _unified(pdf: pd.DataFrame) -> list:
+    """One wrapper for all of a group: equal shapes first, then in the order of the
+    shapes, so that the result is the same however pages were dealt to tasks."""
+    by_shape: dict[int, list] = {}
+    for s, w in zip(pdf["shape"], map(pickle.loads, pdf["wrapper"])):
+        by_shape[s] = align(by_shape[s], w) if s in by_shape else w
+    return functools.reduce(align, (by_shape[s] for s in sorted(by_shape)))
+
+
+def _align_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+    own = _unified(pdf)
+    return pdf.iloc[:1][["host", "layout"]].assign(shape=_hash(shape(own)), wrapper=[pickle.dumps(own)])
+
+
+def _layout_paths(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per path of a layout's wrapper: hash of its values, null if one is a slot, and pages seen."""
+    own: dict[str, list] = {}
+    for path, value, seen in leaves(_unified(pdf)):
+        held = own.setdefault("/".join(path), [[], 0])
+        held[0].append(value)
+        held[1] |= seen
+    rows = [(k, None if None in v else str(_hash("\n".join(v))), n - (1 << 64) if n >> 63 else n) for k, (v, n) in own.items()]
+    out = pd.DataFrame(rows, columns=["path", "value", "seen"]).astype({"path": object, "value": object, "seen": "int64"})
+    return out.assign(host=pdf["host"].iloc[0], layout=pdf["layout"].iloc[0])[["host", "layout", "path", "value", "seen"]]
+
+
+def _layout_container(pdf: pd.DataFrame) -> pd.DataFrame:
+    slots = pdf.loc[~pdf["constant"], "path"]
+    paths = [tuple(p.split("/")) if p else () for p in (slots if len(slots) else pdf["path"])]
+    return pdf.iloc[:1][["host", "layout"]].assign(container="/".join(common_container(paths)))
+
+
+def layout_paths(pages: DataFrame) -> DataFrame:
+    """(host, layout, path, value, seen) of the wrapper of every layout of every host.
+
+    Tasks unify the pages of one shape as they read them; the shapes of a layout are
+    aligned in buckets by their hash, then the buckets' wrappers with each other."""
+    host, _ = host_and_path(F.col("url"))
+    own = pages.filter("html is not null").select(host.alias("host"), "html").mapInPandas(
+        _page_wrappers, "host string, layout long, bucket long, shape long, wrapper binary")
+    parts = own.groupBy("host", "layout", "bucket").applyInPandas(_align_bucket, "host string, layout long, shape long, wrapper binary")
+    return parts.groupBy("host", "layout").applyInPandas(_layout_paths, "host string, layout long, path string, value string, seen long")
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, layout, container) over all pages of every host.
 
-    A path is constant where every page of the host that has it says the same
-    there, and at least DIFFERENT of these pages differ elsewhere; all other paths
-    are slots.  The container of a layout is the longest common prefix of its
+    A path is constant where the wrappers of all layouts of the host that have it say
+    the same there, and at least DIFFERENT of the pages differ elsewhere; all other
+    paths are slots.  The container of a layout is the longest common prefix of its
     slots (of all its paths, if it has no slot), so no slot lies outside."""
-    host, _ = host_and_path(F.col("url"))
-    rows = pages.filter("html is not null").select(host.alias("host"), "html").mapInPandas(
-        _evidence, "host string, layout long, path string, h long, bit long")
-    paths = materialise(rows.groupBy("host", "layout", "path").agg(
-        F.min("h").alias("lo"), F.max("h").alias("hi"), F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("seen")), "paths")
-    fixed = materialise(paths.groupBy("host", "path").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.bit_or("seen").alias("seen"))
-                        .filter((F.col("lo") == F.col("hi")) & (F.bit_count("seen") >= DIFFERENT))
-                        .select(F.col("host").alias("_h"), F.col("path").alias("_p")), "fixed")
-    same = F.col("host").eqNullSafe(F.col("_h")) & (F.col("path") == F.col("_p"))
-    known = paths.join(broadcast_if_small(fixed, fixed.count()), same, "left").withColumn("parts", F.split("path", "/"))
-    slot = F.when(F.col("_p").isNull(), F.col("parts"))
-    ends = known.groupBy("host", "layout").agg(
-        F.coalesce(F.min(slot), F.min("parts")).alias("lo"), F.coalesce(F.max(slot), F.max("parts")).alias("hi"))
-    depth = F.array_max(F.filter(
-        F.sequence(F.lit(0), F.least(F.size("lo"), F.size("hi"))),
-        lambda i: (F.slice("lo", F.lit(1), i) == F.slice("hi", F.lit(1), i))
-        & ((i == 0) | ~F.substring_index(F.get(F.col("lo"), i - 1), ".", 1).isin(*sorted(_CONTENT)))))
-    return materialise(ends.select("host", "layout", F.array_join(F.slice("lo", F.lit(1), depth), "/").alias("container")), "wrappers")
+    paths = materialise(layout_paths(pages), "paths")
+    fixed = materialise(paths.groupBy("host", "path").agg(
+        F.count("value").alias("said"), F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.bit_or("seen").alias("seen"))
+        .filter((F.col("said") == F.col("n")) & (F.col("lo") == F.col("hi")) & (F.bit_count("seen") >= DIFFERENT))
+        .select(F.col("host").alias("_h"), F.col("path").alias("_p")), "fixed")
+    here = F.col("host").eqNullSafe(F.col("_h")) & (F.col("path") == F.col("_p"))
+    known = paths.join(broadcast_if_small(fixed, fixed.count()), here, "left").select(
+        "host", "layout", "path", F.col("_p").isNotNull().alias("constant"))
+    return materialise(known.groupBy("host", "layout").applyInPandas(
+        _layout_container, "host string, layout long, container string"), "wrappers")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -364,7 +458,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("layout long, blocks array<struct<path:string,text:string>>")
     def split_page(html: pd.Series) -> pd.DataFrame:
-        found = [page_blocks(h) for h in html]
+        found = [page_blocks(parse(h or "")) for h in html]
         return pd.DataFrame({"layout": [x for x, _ in found], "blocks": [[{"path": k, "text": t} for k, t in b] for _, b in found]})
 
     found = wrappers(pages).withColumnsRenamed({"host": "_h", "layout": "_l"})

@@ -468,6 +468,32 @@ def test_html_every_layout_of_a_host_is_whole(spark):
     assert all(got[i] == f"First {i} Second {i}" for i in range(200, 206)) and got[300] == "Alone"
 
 
+def test_html_slots_come_from_the_aligned_wrapper(spark):
+    # the constant imprint that only some pages have shares its path with the constant menu
+    def wrap(i):
+        tail = "<div class=x>Imprint C</div>" if i % 3 == 0 else ""
+        return f"<html><body><div class=x>Menu A B</div><div class=post><h2>Head {i}</h2>{f'<p>Text {i}</p>' * (1 + i % 2)}</div>{tail}</body></html>"
+
+    df = spark.createDataFrame([(i, f"http://h.org/{i}", wrap(i)) for i in range(24)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_wrapper.extract_pages(df).collect()}
+    assert got == {i: " ".join([f"Head {i}"] + [f"Text {i}"] * (1 + i % 2)) for i in range(24)}
+    w = html_wrapper.infer([wrap(i) for i in range(24)])
+    assert html_wrapper.expression(w) == ("<html> <body> <div.x> Menu A B </div.x> <div.post> <h2> #slot </h2> (<p> #slot </p>)+ </div.post> "
+                                          "(<div.x> Imprint C </div.x>)? </body> </html>")
+    paths = [sorted(map(str, html_wrapper.layout_paths(d).collect())) for d in (df.coalesce(1), df.repartition(7))]
+    assert paths[0] == paths[1] and len(paths[0]) == 3 and sum("value=None" in p for p in paths[0]) == 2
+
+
+def test_wrapper_is_bounded():
+    groups = html_wrapper.infer([f"<body>{'<h2>a</h2><p>b</p><p>c</p>' * n}</body>" for n in (2, 5)])
+    assert html_wrapper.expression(groups) == "<body> (<h2> #slot </h2> (<p> #slot </p>)+)+ </body>"
+    pages = ["<body>" + "".join(f"<p class=c{(i * 37 + j) % 500}>t{j}</p>" for j in range(150)) + "</body>" for i in range(20)]
+    wide = html_wrapper.infer(pages)
+    assert len(wide[0][2][0][2]) <= html_wrapper.SIBLINGS and html_wrapper.main_container(wide) == "body"
+    deep = html_wrapper.infer([f"{'<div>' * 3000}text {i}" for i in range(2)])
+    assert [p for p, _, _ in html_wrapper.leaves(deep)] == [("div",) * 3000]
+
+
 # --- 9 toxicity
 def test_kernel_matches_definition():
     def brute(a, b, n, d):

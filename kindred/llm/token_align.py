@@ -7,7 +7,8 @@ every pair of tokens with overlapping bytes is a link.
 
 A space between two other characters starts a token in both tokenizers (their files are
 asked whether that holds), so it is a common end, and what lies between two of them is
-encoded, aligned and linked once per worker however often it comes.
+encoded, aligned and linked once per worker however often it comes; many such pieces
+are encoded as one text, which is cut again at their ends.
 
 Links are counted by documents over the whole corpus.  Documents are packed into
 blocks of bounded text; a block writes its distinct id pairs once, with the number of
@@ -25,6 +26,7 @@ gives an empty one.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 from itertools import chain
@@ -41,6 +43,8 @@ from kindred.llm.common import materialise
 BLOCK = 2_000_000
 #: Distinct pieces of text that a worker remembers beside those of its last block; bounds memory, not results.
 CACHE = 250_000
+#: Code points of pieces encoded as one text.
+JOINED = 50_000
 SPACE = "▁"
 #: A space between two characters that are no white space; the space comes first, so that it is searched for.
 CUT = re.compile(r" (?<=\S )(?=\S)")
@@ -111,6 +115,7 @@ class Tokenizers:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ("", ",", "|", ";")]
+        self.width = np.array([len(x) for x in self.written], dtype=np.int64)
         self.size_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
 
@@ -135,42 +140,60 @@ class Tokenizers:
 
     def pieces(self, text: str) -> list[str]:
         """Space + text, cut where both tokenizers end a token."""
-        if not self.cuts:
-            return [" " + text]
-        first, *rest = CUT.split(" " + text)
-        return [first, *map(" ".__add__, rest)]
+        return list(map(" ".__add__, CUT.split(text) if self.cuts else [text]))
+
+    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int], bool]]:
+        """Ids of texts that begin with a space in both tokenizers, and whether their bytes are the text's."""
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        out = []
+        for t, x, y in zip(texts, a, b):
+            whole = t.encode()
+            out.append((x, y, b"".join(map(self.bytes_a.__getitem__, x)) == whole and b"".join(map(self.bytes_b.__getitem__, y)) == whole))
+        return out
 
     def learn(self, new: list[str]) -> None:
-        """Encode pieces that were not met before, and align them all in one row."""
-        a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        b = self.b.encode([p[1:] for p in new], num_threads=1)
-        fine = np.ones(len(new), dtype=bool)
-        whole = "".join(new).encode()
-        if any(b"".join(map(table.__getitem__, chain.from_iterable(x))) != whole for table, x in ((self.bytes_a, a), (self.bytes_b, b))):
-            for i, (p, x, y) in enumerate(zip(new, a, b)):
-                whole = p.encode()
-                if b"".join(map(self.bytes_a.__getitem__, x)) != whole or b"".join(map(self.bytes_b.__getitem__, y)) != whole:
-                    fine[i], a[i], b[i] = False, [], []
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a, b))
-        ia, ib = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+        """Encode pieces that were not met before, and align them all in one row.
+
+        Pieces between which ``CUT`` would cut again (one space in front and no other white
+        space at either end) are encoded as one text; where its bytes differ it is taken
+        apart until the pieces at fault are found."""
+        plain, alone = [], []
+        for p in new:
+            (plain if self.cuts and len(p.strip()) == len(p) - 1 else alone).append(p)
+        parts = [plain[lo:hi] for lo, hi in runs([len(p) for p in plain], JOINED)] + [[p] for p in alone]
+        held, a, b, wrong = [], [], [], []         # pieces whose bytes are the text's, and their ids
+        while parts:
+            again: list[list[str]] = []
+            for own, (x, y, fine) in zip(parts, self.encode(["".join(own) for own in parts])):
+                if fine:
+                    held += own
+                    a.append(x)
+                    b.append(y)
+                elif len(own) == 1:
+                    wrong += own
+                else:
+                    again += map(list, itertools.batched(own, -(-len(own) // 16)))
+            parts = again
+        ia, ib = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.size_a[ia]), np.cumsum(self.size_b[ib])
+        letters = np.frombuffer("".join(held).encode("utf-32-le"), dtype="<u4")
+        sizes = np.cumsum(1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF), dtype=np.int64)
+        stop = sizes[np.cumsum(np.fromiter(map(len, held), np.int64, len(held))) - 1]     # last byte of each piece
+        n_a, n_b = (np.diff(np.searchsorted(ends, stop, side="right"), prepend=0) for ends in (ends_a, ends_b))
         cut_a, cut_b = align(ends_a, ends_b)
         la, lb = links(ends_a, ends_b)
-        stop = np.concatenate(([0], ends_a))[np.cumsum(n_a)]        # last byte of each piece
         groups = np.diff(np.searchsorted(ends_a[cut_a - 1], stop, side="right"), prepend=0)
         closing = np.maximum(ends_a[la] - self.size_a[ia[la]], ends_b[lb] - self.size_b[ib[lb]])  # first byte of a link
         linked = np.diff(np.searchsorted(closing, stop), prepend=0)
-        order = group_order(ia, ib, cut_a, cut_b).tolist()
-        text, at = self.written, 0
-        for n in (n_a + n_b).tolist():
-            self.groups.append("".join(map(text.__getitem__, order[at:at + n])))
-            at += n
-        data, at = (ia[la] << 32 | ib[lb]).tobytes(), 0
-        for n in linked.tolist():
-            self.links.append(data[at:at + 8 * n])
-            at += 8 * n
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.fresh.append(np.stack((n_a, n_b, groups, linked, fine), axis=1))
+        order = group_order(ia, ib, cut_a, cut_b)
+        text = "".join(map(self.written.__getitem__, order.tolist()))
+        at = np.concatenate(([0], np.cumsum(self.width[order])))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        self.groups += [text[x:y] for x, y in itertools.pairwise(at)] + [""] * len(wrong)
+        data, at = (ia[la] << 32 | ib[lb]).tobytes(), np.concatenate(([0], 8 * np.cumsum(linked))).tolist()
+        self.links += [data[x:y] for x, y in itertools.pairwise(at)] + [b""] * len(wrong)
+        self.number.update(zip(held + wrong, range(len(self.number), len(self.number) + len(new))))
+        self.fresh += [np.stack((n_a, n_b, groups, linked, np.ones_like(n_a)), axis=1), np.zeros((len(wrong), 5), dtype=np.int64)]
 
     def align(self, texts: list[str]):
         """Per text its counts (A ids, B ids, groups, links), groups and link keys."""

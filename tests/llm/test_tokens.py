@@ -175,6 +175,20 @@ def test_alignment_forgets_and_learns_again(monkeypatch):
     assert [(c, g, k.tolist()) for t in texts for c, g, k in again.align([t])] == want
 
 
+def test_many_pieces_are_encoded_as_one_text():
+    with open(BYTE, "rb") as a, open(PIECE, "rb") as b:
+        own, single = (token_align.Tokenizers(*specs) for specs in [(a.read(), b.read())] * 2)
+    asked = []
+    encode = own.encode
+    own.encode = lambda texts: asked.extend(texts) or encode(texts)
+    texts = [" ".join(f"word{i} naïve {chr(0x4E00 + i)}, x<s>{i}" for i in range(500)), "  two \n spaces ", "a\u2581b \ufb01 c", "é" * 50, "\x1c a \x1c"]
+    got = [(c, g, k.tolist()) for c, g, k in own.align(texts)]
+    assert len(asked) < 150 < 1000 < len(own.number)
+    single.cuts = False         # whole texts as one piece each
+    assert got == [(c, g, k.tolist()) for c, g, k in single.align(texts)]
+    assert got[0][0][0] and got[2] == ((0, 0, 0, 0), "", [])
+
+
 # --- 13 source audit
 def audit_brute(rows, min_docs, top):
     low = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}

@@ -17,7 +17,9 @@ def _rows():
     """Copies in a group larger than a tile, a near copy of them, empty and null texts,
     an id that occurs twice with one text and twice with different texts."""
     rows = [("k", i, WORDS) for i in range(1, 8)] + [("k", 20, WORDS + "x"), ("k", 21, WORDS + "x"), ("k", 3, WORDS)]
-    rows += [("k", 30, ""), ("k", 31, None), ("k", 32, ""), ("m", 1, WORDS), ("m", 2, WORDS), ("k", 5, "another text of its own")]
+    rows += [("k", 30, ""), ("k", 31, None), ("k", 32, ""), ("m", 1, WORDS), ("m", 2, WORDS), ("k", 5, "another text of its own"),
+                                                                                     ("k", 50, "one text of an id"), ("k", 50, "one text of an ID"),
+                                                                                     ("k", 60, "one text of an iD"), ("k", -7, "another text of its owns")]
     return rows + [(None, 40, WORDS), ("k", None, WORDS)]
 
 
